@@ -1,0 +1,27 @@
+"""Joins against dimensions whose size is checked before broadcasting.
+
+``broadcast()`` overrides Spark's own size test, so it is only applied
+behind a bound that was proven on the data: the dimension holds at most
+``max_rows`` rows.  The proof costs one bounded job (it reads at most
+``max_rows + 1`` rows).  Beyond the bound the join is left to the planner
+and to adaptive execution, which sort-merge (or shuffle-hash) it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension that is broadcast, in rows.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows (reads at most max+1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def sized_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(dim)`` if its row count is proven <= ``max_rows``, else
+    ``dim`` unchanged (the planner then picks a shuffle join)."""
+    return F.broadcast(dim) if row_count_at_most(dim, max_rows) else dim
