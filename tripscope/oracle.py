@@ -54,8 +54,8 @@ trips AS (
 ),
 prepared AS (
   SELECT *,
-    strftime(pickup_ts, '%Y-%m-%dT%H:%M:%S.000') AS tpep_pickup_datetime,
-    strftime(dropoff_ts, '%Y-%m-%dT%H:%M:%S.000') AS tpep_dropoff_datetime,
+    strftime(pickup_ts, '%Y-%m-%dT%H:%M:%S.%g') AS tpep_pickup_datetime,
+    strftime(dropoff_ts, '%Y-%m-%dT%H:%M:%S.%g') AS tpep_dropoff_datetime,
     CAST(pickup_ts AS DATE) AS pickup_date,
     CAST(dayofmonth(pickup_ts) AS INTEGER) AS pickup_day,
     CAST(hour(pickup_ts) AS INTEGER) AS pickup_hour,
@@ -88,10 +88,304 @@ FLOW_JOIN = f"""flow AS (
   WHERE {QUALITY})"""
 
 
-def _sql() -> dict[str, str]:
+
+def _view(cols, src: str = "t") -> str:
+    return ", ".join(f"CAST({src}.{c} AS {d}) AS {c}" for c, _, d in cols)
+
+
+def _mean(c: str, where: str | None = None) -> str:
+    f = f" FILTER (WHERE {where})" if where else ""
+    return f"CAST(SUM({c}){f} AS DOUBLE) / NULLIF(COUNT({c}){f}, 0)"
+
+
+KEYS = [("l_orderkey", "", "BIGINT"), ("l_linenumber", "", "INTEGER"), ("l_partkey", "", "BIGINT")]
+GEO_KEYS = KEYS + [("pickup_ts", "", "TIMESTAMP"), ("dropoff_ts", "", "TIMESTAMP"), ("trip_distance", "", "DOUBLE")]
+
+RAW_COLS = [
+    "l_orderkey", "l_linenumber", "l_partkey", "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime",
+    "passenger_count", "trip_distance", "PULocationID", "DOLocationID", "payment_type", "fare_amount",
+    "tip_amount", "extra", "tolls_amount", "Airport_fee", "total_amount", "pickup_latitude",
+    "pickup_longitude", "dropoff_latitude", "dropoff_longitude",
+]
+RAW_SOURCE = {"VendorID": "vendor_id", "PULocationID": "pu_location_id", "DOLocationID": "do_location_id"}
+RAW_EXPLICIT = {
+    "l_orderkey": "BIGINT", "l_linenumber": "BIGINT", "l_partkey": "BIGINT", "VendorID": "INTEGER",
+    "tpep_pickup_datetime": "VARCHAR", "tpep_dropoff_datetime": "VARCHAR", "passenger_count": "INTEGER",
+    "PULocationID": "INTEGER", "DOLocationID": "INTEGER", "payment_type": "INTEGER",
+}
+RAW_INFERRED = {
+    "l_orderkey": "INTEGER", "l_linenumber": "INTEGER", "l_partkey": "INTEGER", "VendorID": "INTEGER",
+    "tpep_pickup_datetime": "TIMESTAMP", "tpep_dropoff_datetime": "TIMESTAMP", "passenger_count": "INTEGER",
+    "PULocationID": "INTEGER", "DOLocationID": "INTEGER", "payment_type": "INTEGER",
+}
+
+
+def _raw_select(types: dict[str, str]) -> str:
+    return ", ".join(
+        f"CAST({RAW_SOURCE.get(c, c)} AS {types.get(c, 'DOUBLE')}) AS {c}" for c in RAW_COLS
+    )
+
+
+def _trip_view(coords: bool = False, text_ts: bool = False, extra=()):
+    from tripscope.sources.views import spec
+
+    return spec(coords=coords, text_ts=text_ts, extra=list(extra))
+
+
+HAVERSINE = """6371.0 * (2 * atan2(sqrt(hav_a), sqrt(1 - hav_a)))"""
+HAV_A = """pow(sin((radians(dropoff_latitude) - radians(pickup_latitude)) / 2), 2)
+    + cos(radians(pickup_latitude)) * cos(radians(dropoff_latitude))
+    * pow(sin((radians(dropoff_longitude) - radians(pickup_longitude)) / 2), 2)"""
+
+GEO_VALID = """trip_distance > 0 AND dropoff_ts > pickup_ts
+  AND pickup_longitude BETWEEN -75 AND -73 AND pickup_latitude BETWEEN 40 AND 42
+  AND dropoff_longitude BETWEEN -75 AND -73 AND dropoff_latitude BETWEEN 40 AND 42"""
+
+GEO_CTES = [
+    f"""gv AS (SELECT *, CAST(dur_sec AS DOUBLE) / 3600.0 AS duration_hours,
+         (trip_distance * 1.60934) / (CAST(dur_sec AS DOUBLE) / 3600.0) AS speed_kmh,
+         {HAV_A} AS hav_a
+  FROM prepared WHERE {GEO_VALID})""",
+    f"""gh AS (SELECT *, {HAVERSINE} AS haversine_km FROM gv)""",
+    """gm AS (SELECT *, (trip_distance * 1.60934) / haversine_km AS detour_ratio
+  FROM gh WHERE haversine_km > 0 AND speed_kmh > 0 AND speed_kmh < 120)""",
+]
+
+BUCKET = """CASE WHEN trip_distance < 1 THEN 'very_short'
+  WHEN trip_distance >= 1 AND trip_distance < 3 THEN 'short'
+  WHEN trip_distance >= 3 AND trip_distance < 10 THEN 'medium' ELSE 'long' END"""
+
+SURCHARGE = "COALESCE(extra, 0) + COALESCE(tolls_amount, 0) + COALESCE(Airport_fee, 0)"
+
+ZONE_REVENUE = f"""zr AS (
+  SELECT z.Borough AS pickup_borough, z.Zone AS pickup_zone, {BUCKET} AS distance_bucket,
+    CAST(COUNT(total_amount) AS BIGINT) AS trips,
+    CAST(SUM(total_amount) AS DOUBLE) AS total_revenue,
+    CAST(SUM(total_amount) AS DOUBLE) / COUNT(total_amount) AS avg_revenue_per_trip,
+    CAST(SUM(total_amount) AS DOUBLE) / CAST(SUM(trip_distance) AS DOUBLE) AS revenue_per_mile,
+    CAST(SUM(total_amount) AS DOUBLE) / (CAST(SUM(dur_sec) AS DOUBLE) / 60.0) AS revenue_per_minute,
+    {_mean('fare_amount')} AS avg_fare_amount,
+    {_mean('tip_amount')} AS avg_tip_amount,
+    CAST(SUM({SURCHARGE}) AS DOUBLE) / CAST(SUM(total_amount) AS DOUBLE) AS surcharge_share
+  FROM prepared t JOIN zones z ON t.pu_location_id = z.LocationID
+  WHERE {FARE_QUALITY}
+  GROUP BY 1, 2, 3)"""
+ZR_GROUP = "pickup_borough, pickup_zone, distance_bucket"
+
+IMB_BASE = [
+    """ft AS (SELECT pickup_hour, pu_location_id, do_location_id FROM prepared
+  WHERE pickup_ts IS NOT NULL AND duration_minutes > 0 AND total_amount > 0)""",
+    """pk AS (SELECT pickup_hour, pu_location_id AS location_id, COUNT(*) AS pickups FROM ft GROUP BY 1, 2)""",
+    """dk AS (SELECT pickup_hour, do_location_id AS location_id, COUNT(*) AS dropoffs FROM ft GROUP BY 1, 2)""",
+    """mt AS (SELECT COALESCE(p.pickup_hour, d.pickup_hour) AS pickup_hour,
+         COALESCE(p.location_id, d.location_id) AS location_id,
+         COALESCE(pickups, 0) AS pickups, COALESCE(dropoffs, 0) AS dropoffs
+  FROM pk p FULL OUTER JOIN dk d ON p.pickup_hour = d.pickup_hour AND p.location_id = d.location_id)""",
+]
+
+
+def _imbalance(min_activity: int, rounded: bool) -> str:
+    net, act = "(m.pickups - m.dropoffs)", "(m.pickups + m.dropoffs)"
+    if rounded:
+        ratio = (
+            f"CASE WHEN {act} > 0 THEN CAST(sign({net}) * ((abs({net}) * 20000 + {act}) // (2 * {act})) AS DOUBLE)"
+            " / 10000.0 ELSE 0.0 END"
+        )
+    else:
+        ratio = f"CASE WHEN {act} > 0 THEN CAST({net} AS DOUBLE) / {act} ELSE 0.0 END"
+    return f"""zi AS (
+  SELECT CAST(m.pickup_hour AS INTEGER) AS pickup_hour, CAST(m.location_id AS INTEGER) AS location_id,
+    z.Borough AS borough, z.Zone AS zone, CAST(m.pickups AS BIGINT) AS pickups,
+    CAST(m.dropoffs AS BIGINT) AS dropoffs, CAST({act} AS BIGINT) AS activity,
+    CAST({net} AS BIGINT) AS net_pickups, {ratio} AS imbalance_ratio, abs({ratio}) AS abs_imbalance_ratio
+  FROM mt m JOIN zones z ON m.location_id = z.LocationID
+  WHERE {act} >= {min_activity})"""
+
+
+def _od(split_day: int, min_trips: int) -> str:
+    h1, h2 = f"pickup_day <= {split_day}", f"pickup_day > {split_day}"
+    return f"""od AS (
+  SELECT CAST(pu_location_id AS INTEGER) AS pu_location_id, CAST(do_location_id AS INTEGER) AS do_location_id,
+    CAST(pickup_hour AS INTEGER) AS pickup_hour,
+    CAST(COUNT(*) FILTER (WHERE {h1}) AS BIGINT) AS trips_h1,
+    CAST(COUNT(*) FILTER (WHERE {h2}) AS BIGINT) AS trips_h2,
+    {_mean('fare_amount', h1)} AS avg_fare_h1, {_mean('fare_amount', h2)} AS avg_fare_h2,
+    {_mean('total_amount', h1)} AS avg_total_h1, {_mean('total_amount', h2)} AS avg_total_h2
+  FROM prepared WHERE duration_minutes > 0 AND trip_distance > 0 AND fare_amount > 0
+  GROUP BY 1, 2, 3)""", f"""odc AS (
+  SELECT *, ROUND((trips_h2 - trips_h1) * 100 / trips_h1, 2) AS trips_change_pct,
+    ROUND((avg_fare_h2 - avg_fare_h1) * 100 / avg_fare_h1, 2) AS fare_change_pct
+  FROM od WHERE trips_h1 >= {min_trips} AND trips_h2 > 0)"""
+
+
+def _profile(keys: str, where: str, null_as_zero: bool) -> str:
+    if null_as_zero:
+        z = lambda c: f"COALESCE({c}, 0)"
+        aggs = f"""CAST(COUNT(DISTINCT NULLIF(pu_location_id, 0)) AS BIGINT) AS unique_pickup_zones,
+    CAST(SUM({z('passenger_count')}) AS DOUBLE) / COUNT(*) AS avg_passenger_count,
+    CAST(SUM(dur_sec) AS DOUBLE) / COUNT(*) / 60.0 AS avg_duration_minutes,
+    CAST(SUM({z('trip_distance')}) AS DOUBLE) / COUNT(*) AS avg_trip_distance,
+    CAST(SUM({z('total_amount')}) AS DOUBLE) / COUNT(*) AS avg_total_amount,
+    CAST(SUM({z('total_amount')}) AS DOUBLE) AS total_revenue"""
+    else:
+        aggs = f"""CAST(COUNT(DISTINCT pu_location_id) AS BIGINT) AS unique_pickup_zones,
+    {_mean('passenger_count')} AS avg_passenger_count,
+    CAST(SUM(dur_sec) AS DOUBLE) / NULLIF(COUNT(dur_sec), 0) / 60.0 AS avg_duration_minutes,
+    {_mean('trip_distance')} AS avg_trip_distance,
+    {_mean('total_amount')} AS avg_total_amount,
+    CAST(SUM(total_amount) AS DOUBLE) AS total_revenue"""
+    return f"""
+SELECT {keys}, CAST(COUNT(*) AS BIGINT) AS trips,
+    {aggs},
+    CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER () * 100 AS trip_share
+FROM prepared WHERE {where}
+GROUP BY {keys}
+ORDER BY trips DESC, total_revenue DESC, {keys}
+LIMIT 12
+"""
+
+
+PAID = "trip_distance > 0 AND fare_amount > 0 AND total_amount > 0 AND payment_type IN (1, 2) AND pickup_hour IS NOT NULL"
+TIP_RATE = "CAST(tip_amount AS DOUBLE) / CAST(fare_amount AS DOUBLE)"
+
+
+def _card_cash() -> str:
+    card, cash = "payment_type = 1", "payment_type = 2"
+    return f"""CAST(COUNT(*) FILTER (WHERE {card}) AS BIGINT) AS card_trips,
+    CAST(COUNT(*) FILTER (WHERE {cash}) AS BIGINT) AS cash_trips,
+    CAST(COUNT(*) FILTER (WHERE {card}) AS DOUBLE) / COUNT(*) AS card_share,
+    {_mean('total_amount', card)} AS avg_total_card, {_mean('total_amount', cash)} AS avg_total_cash,
+    {_mean('fare_amount', card)} AS avg_fare_card, {_mean('fare_amount', cash)} AS avg_fare_cash,
+    SUM({TIP_RATE}) FILTER (WHERE {card}) / NULLIF(COUNT({TIP_RATE}) FILTER (WHERE {card}), 0) AS avg_tip_rate_card"""
+
+
+def _sql(p: dict) -> dict[str, str]:
     q: dict[str, str] = {}
+    W = with_fixture
+    view = _view
+
+    # A. ingest
+    q["csv_explicit_scan"] = W() + f"SELECT {_raw_select(RAW_EXPLICIT)} FROM prepared"
+    q["csv_inferred_scan"] = W() + f"SELECT {_raw_select(RAW_INFERRED)} FROM prepared"
+    q["prepare_trips"] = W() + f"SELECT {view(_trip_view(coords=True, text_ts=True))} FROM prepared t"
+    days = ", ".join(str(d) for d in p["roundtrip_days"])
+    q["partitioned_roundtrip"] = W() + f"SELECT {view(_trip_view())} FROM prepared t WHERE pickup_day IN ({days})"
+    q["prepare_metrics"] = W() + """SELECT CAST(COUNT(*) AS BIGINT) AS raw_rows,
+  CAST(COUNT(*) FILTER (WHERE pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL) AS BIGINT) AS processed_rows,
+  CAST(COUNT(*) - COUNT(*) FILTER (WHERE pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL) AS BIGINT) AS dropped_rows
+FROM prepared"""
+
+    # B. exploration
+    def describe(c: str) -> str:
+        return (f"SELECT '{c}' AS column_name, CAST(COUNT({c}) AS BIGINT) AS n, {_mean(c)} AS mean, "
+                f"stddev_samp(CAST({c} AS DOUBLE)) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
+                f"CAST(MAX({c}) AS DOUBLE) AS max FROM prepared")
+    q["eda_describe"] = W() + describe("trip_distance") + "\nUNION ALL\n" + describe("total_amount")
+    nulls = ", ".join(
+        f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}" for c, _, _ in _trip_view()
+    )
+    q["eda_null_counts"] = W() + f"SELECT {nulls} FROM prepared"
+    q["eda_top_zones"] = W() + """SELECT z.Zone AS zone, CAST(COUNT(*) AS BIGINT) AS trips
+FROM prepared t JOIN zones z ON t.pu_location_id = z.LocationID
+GROUP BY z.Zone ORDER BY trips DESC, zone LIMIT 10"""
+    q["eda_extremes"] = W() + """(SELECT 'max_trip_distance' AS kind, CAST(trip_distance AS DOUBLE) AS trip_distance,
+        CAST(total_amount AS DOUBLE) AS total_amount
+ FROM prepared ORDER BY trip_distance DESC, total_amount DESC LIMIT 1)
+UNION ALL
+(SELECT 'min_total_amount' AS kind, CAST(trip_distance AS DOUBLE) AS trip_distance,
+        CAST(total_amount AS DOUBLE) AS total_amount
+ FROM prepared ORDER BY total_amount ASC, trip_distance DESC LIMIT 1)"""
+
+    # C. demand
+    quality = f"pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL AND {QUALITY}"
+    q["quality_filter"] = W() + f"SELECT {view(_trip_view())} FROM prepared t WHERE {quality}"
+    ddays = ", ".join(str(d) for d in p["demand_days"])
+    dhours = ", ".join(str(h) for h in p["demand_hours"])
+    window = f"pickup_day IN ({ddays}) AND pickup_hour IN ({dhours})"
+    q["demand_window"] = W() + f"SELECT {view(_trip_view())} FROM prepared t WHERE {window}"
+    q["time_band_profile"] = W() + f"""SELECT CASE WHEN pickup_hour BETWEEN 0 AND 5 THEN 'Night'
+  WHEN pickup_hour BETWEEN 6 AND 11 THEN 'Morning' WHEN pickup_hour BETWEEN 12 AND 16 THEN 'Afternoon'
+  WHEN pickup_hour BETWEEN 17 AND 21 THEN 'Evening' ELSE 'Late' END AS time_band,
+  CAST(COUNT(*) AS BIGINT) AS trips
+FROM prepared WHERE {quality} GROUP BY 1"""
+    q["demand_profile_by_date"] = W() + _profile("pickup_date, pickup_hour", f"{quality} AND {window}", False)
+    lo, hi = p["demand_hour_range"]
+    q["demand_profile_by_day"] = W() + _profile("pickup_day, pickup_hour", f"pickup_hour BETWEEN {lo} AND {hi}", False)
+    q["demand_profile_null_as_zero"] = W() + _profile(
+        "pickup_day, pickup_hour",
+        f"pickup_hour BETWEEN {lo} AND {hi} AND pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL",
+        True,
+    )
 
-    q["region_flows"] = with_fixture(FLOW_JOIN) + """
+    # D. geo
+    q["geo_valid_filter"] = W() + f"SELECT {view(_trip_view(coords=True))} FROM prepared t WHERE {GEO_VALID}"
+    q["trip_speed"] = W(*GEO_CTES[:1]) + (
+        f"SELECT {view(GEO_KEYS)}, duration_hours, speed_kmh FROM gv t"
+    )
+    q["haversine_builtin"] = W(f"hv AS (SELECT *, {HAV_A} AS hav_a FROM prepared)") + (
+        f"SELECT {view(KEYS)}, {HAVERSINE} AS haversine_km FROM hv t"
+    )
+    q["haversine_udf"] = W(f"hv AS (SELECT *, {HAV_A} AS hav_a FROM prepared)") + (
+        f"SELECT {view(KEYS)}, ROUND({HAVERSINE} * 1000, 0) AS haversine_m FROM hv t"
+    )
+    q["detour_ratio"] = W(*GEO_CTES) + f"SELECT {view(GEO_KEYS)}, speed_kmh, haversine_km, detour_ratio FROM gm t"
+    q["speed_by_hour"] = W(*GEO_CTES) + """SELECT pickup_hour,
+  SUM(speed_kmh) / COUNT(speed_kmh) AS avg_speed_kmh, SUM(detour_ratio) / COUNT(detour_ratio) AS avg_detour_ratio
+FROM gm GROUP BY pickup_hour"""
+    for key, direction in (("fastest_trips", "DESC"), ("slowest_trips", "ASC")):
+        q[key] = W(*GEO_CTES) + f"""SELECT CAST(pickup_ts AS TIMESTAMP) AS pickup_ts, CAST(dropoff_ts AS TIMESTAMP) AS dropoff_ts,
+  trip_distance AS dist_miles, speed_kmh
+FROM gm ORDER BY speed_kmh {direction}, pickup_ts, dropoff_ts, trip_distance LIMIT 5"""
+
+    # E. revenue
+    q["fare_quality_filter"] = W() + f"SELECT {view(_trip_view())} FROM prepared t WHERE {FARE_QUALITY}"
+    q["distance_bucket"] = W() + f"""SELECT {BUCKET} AS distance_bucket, CAST(COUNT(*) AS BIGINT) AS trips
+FROM prepared WHERE {FARE_QUALITY} GROUP BY 1"""
+    enrich_cols = _trip_view(extra=[("pickup_borough", "", "VARCHAR"), ("pickup_zone", "", "VARCHAR")])
+    q["zone_enrich"] = W(
+        "en AS (SELECT t.*, z.Borough AS pickup_borough, z.Zone AS pickup_zone "
+        "FROM prepared t JOIN zones z ON t.pu_location_id = z.LocationID)"
+    ) + f"SELECT {view(enrich_cols)} FROM en t"
+    q["total_surcharges"] = W() + f"SELECT {view(KEYS)}, CAST({SURCHARGE} AS DOUBLE) AS total_surcharges FROM prepared t"
+    q["zone_revenue"] = W(ZONE_REVENUE) + "SELECT * FROM zr"
+    q["zone_top_revenue"] = W(ZONE_REVENUE) + f"""SELECT {ZR_GROUP}, trips, total_revenue FROM zr
+ORDER BY total_revenue DESC, {ZR_GROUP} LIMIT 5"""
+    q["zone_top_per_mile"] = W(ZONE_REVENUE) + f"""SELECT {ZR_GROUP}, trips, revenue_per_mile AS rev_per_mile FROM zr
+WHERE trips >= {p['revenue_min_trips']} ORDER BY revenue_per_mile DESC, {ZR_GROUP} LIMIT 5"""
+    q["zone_top_per_minute"] = W(ZONE_REVENUE) + f"""SELECT {ZR_GROUP}, trips, revenue_per_minute AS rev_per_min FROM zr
+WHERE trips >= {p['revenue_min_trips']} ORDER BY revenue_per_minute DESC, {ZR_GROUP} LIMIT 5"""
+    q["zone_low_support"] = W(ZONE_REVENUE) + f"""SELECT {ZR_GROUP}, trips, revenue_per_mile AS rev_per_mile FROM zr
+WHERE trips < {p['revenue_low_trips']} ORDER BY revenue_per_mile DESC, {ZR_GROUP} LIMIT 3"""
+    key, every = p["sample"]
+    q["sampled_source"] = W() + f"SELECT {view(_trip_view())} FROM prepared t WHERE {key} % {every} = 0"
+
+    # F. payments
+    q["payment_mix_by_hour"] = W(f"""hs AS (
+  SELECT pickup_hour, payment_type, COUNT(*) AS trips,
+    {_mean('fare_amount')} AS avg_fare_amount, {_mean('total_amount')} AS avg_total_amount,
+    {_mean('tip_amount')} AS avg_tip_amount,
+    SUM({TIP_RATE}) / COUNT({TIP_RATE}) AS tip_rate,
+    CAST(COUNT(*) FILTER (WHERE tip_amount = 0) AS DOUBLE) / COUNT(*) AS zero_tip_share,
+    {_mean('trip_distance')} AS avg_trip_distance,
+    CAST(SUM(dur_sec) AS DOUBLE) / COUNT(dur_sec) / 60.0 AS avg_duration_minutes
+  FROM prepared WHERE {PAID} AND duration_minutes > 0 GROUP BY 1, 2)""") + """SELECT pickup_hour,
+  CASE WHEN payment_type = 1 THEN 'Card' WHEN payment_type = 2 THEN 'Cash' END AS payment_method,
+  CAST(trips AS BIGINT) AS trips,
+  CAST(trips AS DOUBLE) / SUM(trips) OVER (PARTITION BY pickup_hour) AS payment_share_in_hour,
+  avg_fare_amount, avg_total_amount, avg_tip_amount, tip_rate, zero_tip_share, avg_trip_distance,
+  avg_duration_minutes
+FROM hs"""
+    q["card_vs_cash_by_hour"] = W() + f"SELECT pickup_hour, {_card_cash()} FROM prepared WHERE {PAID} GROUP BY pickup_hour"
+    q["vendor_card_summary"] = W(
+        f"vc AS (SELECT vendor_id, {_card_cash()} FROM prepared WHERE {PAID} GROUP BY vendor_id)"
+    ) + "SELECT CAST(vendor_id AS INTEGER) AS vendor_id, card_share, avg_tip_rate_card FROM vc"
+    vendor_sql = W() + f"""SELECT CAST(hour(pickup_ts) AS INTEGER) AS pickup_hour, CAST(COUNT(*) AS BIGINT) AS trips
+FROM prepared WHERE vendor_id = {p['vendor']} GROUP BY 1"""
+    q["vendor_hourly_count"] = vendor_sql
+    q["vendor_hourly_count_csv"] = vendor_sql
+
+    # G. flows
+    q["region_flows"] = W(FLOW_JOIN) + """
 SELECT pu_borough, do_borough, CAST(COUNT(*) AS BIGINT) AS trips,
   CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER () AS trip_share,
   CAST(SUM(total_amount) AS DOUBLE) AS total_revenue,
@@ -101,15 +395,15 @@ SELECT pu_borough, do_borough, CAST(COUNT(*) AS BIGINT) AS trips,
   CAST(SUM(is_airport) AS DOUBLE) / COUNT(*) AS airport_trip_share
 FROM flow GROUP BY pu_borough, do_borough
 """
-    q["region_flow_counts_merge"] = with_fixture(FLOW_JOIN) + """
+    q["region_flow_counts_merge"] = W(FLOW_JOIN) + """
 SELECT pu_borough, do_borough, CAST(COUNT(*) AS BIGINT) AS trips
 FROM flow GROUP BY pu_borough, do_borough
 """
-    q["airport_flag"] = with_fixture(FLOW_JOIN) + """
+    q["airport_flag"] = W(FLOW_JOIN) + """
 SELECT CAST(is_airport AS INTEGER) AS is_airport, CAST(COUNT(*) AS BIGINT) AS trips
 FROM flow GROUP BY is_airport
 """
-    q["airport_flows"] = with_fixture(FLOW_JOIN) + """
+    q["airport_flows"] = W(FLOW_JOIN) + """
 SELECT pu_zone, do_zone, CAST(COUNT(*) AS BIGINT) AS trips,
   CAST(SUM(Airport_fee) AS DOUBLE) / NULLIF(COUNT(Airport_fee), 0) AS avg_airport_fee,
   CAST(SUM(total_amount) AS DOUBLE) / COUNT(total_amount) AS avg_total_amount,
@@ -117,7 +411,32 @@ SELECT pu_zone, do_zone, CAST(COUNT(*) AS BIGINT) AS trips,
   CAST(SUM(trip_distance) AS DOUBLE) / COUNT(trip_distance) AS avg_trip_distance
 FROM flow WHERE is_airport = 1 GROUP BY pu_zone, do_zone
 """
+
+    # H. imbalance
+    ma = p["imbalance_min_activity"]
+    imb = W(*IMB_BASE, _imbalance(ma, False))
+    q["zone_imbalance"] = imb + "SELECT * FROM zi"
+    q["zone_imbalance_union"] = W(*IMB_BASE, _imbalance(ma, True)) + "SELECT * FROM zi"
+    q["imbalance_top_surplus"] = imb + """SELECT pickup_hour, borough, zone, pickups, dropoffs, net_pickups FROM zi
+ORDER BY net_pickups DESC, pickup_hour, borough, zone, pickups, dropoffs, location_id LIMIT 5"""
+    q["imbalance_top_deficit"] = imb + """SELECT pickup_hour, borough, zone, pickups, dropoffs, net_pickups FROM zi
+ORDER BY net_pickups ASC, pickup_hour, borough, zone, pickups, dropoffs, location_id LIMIT 5"""
+    q["imbalance_top_ratio"] = imb + """SELECT pickup_hour, borough, zone, activity, net_pickups, abs_imbalance_ratio FROM zi
+ORDER BY abs_imbalance_ratio DESC, pickup_hour, borough, zone, activity, net_pickups, location_id LIMIT 5"""
+    q["imbalance_by_hour"] = imb + """SELECT pickup_hour, CAST(SUM(abs(net_pickups)) AS BIGINT) AS total_abs_net_pickups,
+  SUM(abs_imbalance_ratio) / COUNT(abs_imbalance_ratio) AS mean_abs_imbalance_ratio
+FROM zi GROUP BY pickup_hour"""
+
+    # I. OD halves
+    odw = W(*_od(p["od_split_day"], p["od_min_trips"]))
+    q["od_halves_change"] = odw + "SELECT * FROM odc"
+    q["od_top_growth"] = odw + """SELECT pu_location_id, do_location_id, pickup_hour, trips_h1, trips_h2, trips_change_pct
+FROM odc ORDER BY trips_change_pct DESC, pu_location_id, do_location_id, pickup_hour LIMIT 5"""
+    q["od_top_decline"] = odw + """SELECT pu_location_id, do_location_id, pickup_hour, trips_h1, trips_h2, trips_change_pct
+FROM odc ORDER BY trips_change_pct ASC, pu_location_id, do_location_id, pickup_hour LIMIT 5"""
     return q
 
 
-ORACLE_SQL = _sql()
+def oracle_sql(params: dict) -> dict[str, str]:
+    """The oracle text of every key, for the given query parameters."""
+    return _sql(params)
