@@ -71,6 +71,12 @@ def prepare_trips(
         & F.col("dropoff_ts").isNotNull()
         & _year_test(F.col("pickup_ts"), years)
     )
+    return enrich_trips(df)
+
+
+def enrich_trips(df: DataFrame) -> DataFrame:
+    """The columns preparation derives from typed ``pickup_ts`` and
+    ``dropoff_ts``: date, hour, duration in minutes, km, day of month."""
     return df.withColumns(
         {
             "pickup_date": F.to_date("pickup_ts"),
@@ -107,16 +113,22 @@ def write_partitioned(
 ) -> None:
     """Overwrite ``path`` with ``df`` partitioned by ``by``.
 
-    With ``files_per_value`` the rows are first shuffled on the partition
-    columns plus a deterministic row hash, so that each partition value
-    gets that many files instead of one small file per input task and
-    value.  The hash (not ``rand``) keeps a retried stage deterministic
-    when an executor is lost.
+    Default: a ``rebalance`` on the partition columns - AQE cuts the
+    shuffle into advisory-sized partitions, splitting a skewed value (one
+    day holding a third of the rows) over several tasks and merging small
+    ones, so each value gets files of about the advisory size instead of
+    one small file per input task and value.
+
+    ``files_per_value=k`` instead fixes k files per value: rows are hashed
+    on the partition columns plus a deterministic row hash (not ``rand``,
+    so a stage retried after an executor loss sends rows to the same place).
     """
     by = list(by)
     if files_per_value:
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
         df = df.repartition(*[F.col(c) for c in by], salt)
+    else:
+        df = df.hint("rebalance", *by)
     df.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 

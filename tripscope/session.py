@@ -20,6 +20,9 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # No Python call-site capture per functions.* call (four Py4J round
+    # trips each); it only decorates error messages.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -85,6 +85,14 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     supplier = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
 
+    # Line items hashed on the order key: the partitioning the sort-merge
+    # join with orders needs at cluster scale (so no extra exchange there),
+    # and parallelism when the table arrives as a few large splits.  An
+    # explicit count keeps AQE from collapsing it on small inputs.
+    # The merge hint keeps the planner from broadcasting the (fact) line
+    # items when their size estimate happens to be small.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    li = li.repartition(n, "l_orderkey").hint("merge")
     oc = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     joined = li.join(oc, F.col("l_orderkey") == F.col("o_orderkey")).join(
         supplier, F.col("l_suppkey") == F.col("s_suppkey")
@@ -156,6 +164,16 @@ RAW_RENAMES = {
 }
 
 
+def text_timestamps(df: DataFrame, ts_format: str = RAW_TS_FORMAT) -> DataFrame:
+    """Add the raw file's text timestamps, formatted from the typed ones."""
+    return df.withColumns(
+        {
+            "tpep_pickup_datetime": F.date_format("pickup_ts", ts_format),
+            "tpep_dropoff_datetime": F.date_format("dropoff_ts", ts_format),
+        }
+    )
+
+
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trips as a raw file holds them: text timestamps, raw id names.
 

@@ -12,10 +12,11 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripscope.operators.prepare import prepare_trips, write_partitioned
+from tripscope.operators.prepare import enrich_trips, prepare_trips, write_partitioned
 from tripscope.session import shared_dir
-from tripscope.sources.fixtures import FIXTURE_VERSION, trips_raw, zones
+from tripscope.sources.fixtures import FIXTURE_VERSION, text_timestamps, trips, trips_raw, zones
 
 PARTITION_COLUMN = "pickup_day"
 
@@ -37,25 +38,58 @@ def store_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     return f"{shared_dir(spark)}/tripscope/v{FIXTURE_VERSION}/{_slug(sf_dir)}/{name}"
 
 
-def build_prepared_trips(spark: SparkSession, sf_dir: str, path: str, files_per_day: int = 1) -> None:
-    """Prepare the raw trips of ``sf_dir`` and write them to ``path``."""
+def prepared_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepared trips, lazily: the typed trips of the fixture with the
+    raw file's text timestamps and the derived columns.  Equal, row for
+    row, to ``prepare_trips(trips_raw(...))`` (the text round trip is
+    lossless for whole-second timestamps), without parsing text."""
+    t = text_timestamps(trips(spark, sf_dir))
+    t = t.withColumns({"pickup_ts": F.col("pickup_ts").cast("timestamp"),
+                       "dropoff_ts": F.col("dropoff_ts").cast("timestamp")})
+    return enrich_trips(t).select(*prepare_trips(trips_raw(spark, sf_dir)).columns)
+
+
+def build_prepared_trips(spark: SparkSession, sf_dir: str, path: str, files_per_day: int | None = None) -> None:
+    """Prepare the trips of ``sf_dir`` and write them to ``path``."""
     write_partitioned(
-        prepare_trips(trips_raw(spark, sf_dir)),
+        prepared_frame(spark, sf_dir),
         path,
         by=[PARTITION_COLUMN],
         files_per_value=files_per_day,
     )
 
 
+# Source frames per (application, sf_dir, name): reusing one DataFrame
+# reuses its file index and analysed plan, so a query does not re-list the
+# table's directories or re-read footers.  Only read-only inputs live here.
+_FRAMES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _memo(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    df = _FRAMES.get(key)
+    if df is None:
+        df = _FRAMES[key] = make()
+    return df
+
+
 def prepared_trips(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """The prepared trips of ``sf_dir`` (26 reference columns + keys and
     coordinates), partitioned by ``pickup_day``."""
     path = store_path(spark, sf_dir, "trips")
-    if rebuild or not path_exists(spark, f"{path}/_SUCCESS"):
-        build_prepared_trips(spark, sf_dir, path)
-    return spark.read.parquet(path)
+    if rebuild:
+        _FRAMES.pop((spark.sparkContext.applicationId, sf_dir.rstrip("/"), "trips"), None)
+
+    def make() -> DataFrame:
+        if rebuild or not path_exists(spark, f"{path}/_SUCCESS"):
+            build_prepared_trips(spark, sf_dir, path)
+        return spark.read.parquet(path)
+
+    return _memo(spark, sf_dir, "trips", make)
 
 
 def zone_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The zone dimension (derived from nation/region; 24 rows)."""
-    return zones(spark, sf_dir)
+    """The zone dimension (derived from nation/region; 24 rows), cached:
+    every query joins it, and re-deriving it costs two scans and a join
+    per query.  A lost cached block is recomputed from its lineage."""
+    return _memo(spark, sf_dir, "zones", lambda: zones(spark, sf_dir).cache())
