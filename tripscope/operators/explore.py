@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripscope.functions.columns import mean
 
@@ -23,6 +24,21 @@ def eda_schema(df: DataFrame) -> DataFrame:
     )
 
 
+def _stddev_samp(df: DataFrame, c: str):
+    """Sample standard deviation.  For a DECIMAL column it is exact up to
+    the last step: n*sum(x^2) - sum(x)^2 is summed exactly in decimal, then
+    one division and one (correctly rounded) square root in double - the
+    same bits on any engine and partitioning.  Other types use the
+    streaming ``stddev_samp``."""
+    x = F.col(c)
+    if isinstance(df.schema[c].dataType, T.DecimalType):
+        n = F.count(x)
+        num = (n * F.sum(x * x) - F.sum(x) * F.sum(x)).cast("double")
+        den = (n * (n - 1)).cast("double")
+        return F.sqrt(F.try_divide(num, den))
+    return F.stddev_samp(x.cast("double"))
+
+
 def eda_describe(df: DataFrame, cols: Sequence[str] = ("trip_distance", "total_amount")) -> DataFrame:
     """Per column: n (non-null), mean, sample stddev, min, max - doubles."""
     aggs = []
@@ -31,7 +47,7 @@ def eda_describe(df: DataFrame, cols: Sequence[str] = ("trip_distance", "total_a
         aggs += [
             F.count(x).alias(f"n{i}"),
             mean(x).alias(f"mean{i}"),
-            F.stddev_samp(x.cast("double")).alias(f"sd{i}"),
+            _stddev_samp(df, c).alias(f"sd{i}"),
             F.min(x).cast("double").alias(f"min{i}"),
             F.max(x).cast("double").alias(f"max{i}"),
         ]

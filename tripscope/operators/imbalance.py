@@ -147,16 +147,20 @@ def imbalance_top_ratio(trips: DataFrame, zones: DataFrame, min_activity: int =
     )
 
 
-def imbalance_by_hour(trips: DataFrame, zones: DataFrame, min_activity: int = 30) -> DataFrame:
-    """Per hour: sum of |net| and mean absolute ratio (of the raw ratios)."""
+def imbalance_by_hour(
+    trips: DataFrame, zones: DataFrame, min_activity: int = 30, digits: int | None = None
+) -> DataFrame:
+    """Per hour: sum of |net| and mean absolute ratio (of the raw ratios;
+    ``digits`` rounds the mean, as the reference prints it to 4)."""
     m = zone_imbalance(trips, zones, min_activity)
+    mean_ratio = F.try_divide(F.sum("abs_imbalance_ratio"), F.count("abs_imbalance_ratio"))
+    if digits is not None:
+        mean_ratio = F.round(mean_ratio, digits)
     return (
         m.groupBy("pickup_hour")
         .agg(
             F.sum(F.abs("net_pickups")).alias("total_abs_net_pickups"),
-            F.try_divide(F.sum("abs_imbalance_ratio"), F.count("abs_imbalance_ratio")).alias(
-                "mean_abs_imbalance_ratio"
-            ),
+            mean_ratio.alias("mean_abs_imbalance_ratio"),
         )
         .orderBy(F.desc("total_abs_net_pickups"), "pickup_hour")
     )

@@ -35,11 +35,16 @@ def tip_rate(tip: str = "tip_amount", fare: str = "fare_amount") -> Column:
 
 
 def payment_mix_by_hour(
-    trips: DataFrame, labels: Mapping[int, str] = PAYMENT_LABELS, digits: bool = False
+    trips: DataFrame,
+    labels: Mapping[int, str] = PAYMENT_LABELS,
+    digits: bool = False,
+    rate_digits: int | None = None,
 ) -> DataFrame:
     """Per (hour, payment method): trips, share in the hour, mean fare,
     total, tip, mean per-trip tip/fare, share of zero tips, mean distance,
-    mean duration.  ``digits=True`` rounds as the reference prints (2 or 4)."""
+    mean duration.  ``digits=True`` rounds every measure as the reference
+    prints (2 or 4); ``rate_digits`` rounds only the mean of per-trip
+    ratios, the one measure that is not a ratio of exact sums."""
     t = _paid_trips(trips, with_duration=True)
     dur = duration_seconds()
     g = t.groupBy("pickup_hour", "payment_type").agg(
@@ -59,6 +64,7 @@ def payment_mix_by_hour(
         )
     share = ratio(F.col("trips"), F.sum("trips").over(Window.partitionBy("pickup_hour")))
     r2, r4 = (2, 4) if digits else (None, None)
+    rate = r4 if digits else rate_digits
     return g.select(
         "pickup_hour",
         label.alias("payment_method"),
@@ -67,7 +73,7 @@ def payment_mix_by_hour(
         maybe_round(F.col("avg_fare_amount"), r2).alias("avg_fare_amount"),
         maybe_round(F.col("avg_total_amount"), r2).alias("avg_total_amount"),
         maybe_round(F.col("avg_tip_amount"), r2).alias("avg_tip_amount"),
-        maybe_round(F.col("tip_rate"), r4).alias("tip_rate"),
+        maybe_round(F.col("tip_rate"), rate).alias("tip_rate"),
         maybe_round(F.col("zero_tip_share"), r4).alias("zero_tip_share"),
         maybe_round(F.col("avg_trip_distance"), r2).alias("avg_trip_distance"),
         maybe_round(F.col("avg_duration_minutes"), r2).alias("avg_duration_minutes"),
@@ -78,7 +84,7 @@ def _is(code: int) -> Column:
     return F.col("payment_type") == code
 
 
-def _card_cash_aggs() -> list[Column]:
+def _card_cash_aggs(rate_digits: int | None = None) -> list[Column]:
     card_n = F.count_if(_is(CARD))
     return [
         card_n.alias("card_trips"),
@@ -88,26 +94,27 @@ def _card_cash_aggs() -> list[Column]:
         mean(F.when(_is(CASH), F.col("total_amount"))).alias("avg_total_cash"),
         mean(F.when(_is(CARD), F.col("fare_amount"))).alias("avg_fare_card"),
         mean(F.when(_is(CASH), F.col("fare_amount"))).alias("avg_fare_cash"),
-        ratio(
-            F.sum(F.when(_is(CARD), tip_rate())), F.count(F.when(_is(CARD), tip_rate()))
+        maybe_round(
+            ratio(F.sum(F.when(_is(CARD), tip_rate())), F.count(F.when(_is(CARD), tip_rate()))),
+            rate_digits,
         ).alias("avg_tip_rate_card"),
     ]
 
 
-def card_vs_cash_by_hour(trips: DataFrame) -> DataFrame:
+def card_vs_cash_by_hour(trips: DataFrame, rate_digits: int | None = None) -> DataFrame:
     """Per hour, card and cash side by side (conditional aggregates); no
     duration filter, as in the reference's step 2."""
     return (
         _paid_trips(trips, with_duration=False)
         .groupBy("pickup_hour")
-        .agg(*_card_cash_aggs())
+        .agg(*_card_cash_aggs(rate_digits))
         .orderBy("pickup_hour")
     )
 
 
-def vendor_card_summary(trips: DataFrame) -> DataFrame:
+def vendor_card_summary(trips: DataFrame, rate_digits: int | None = None) -> DataFrame:
     """Per vendor: card share and mean card tip rate."""
-    g = _paid_trips(trips, with_duration=False).groupBy("vendor_id").agg(*_card_cash_aggs())
+    g = _paid_trips(trips, with_duration=False).groupBy("vendor_id").agg(*_card_cash_aggs(rate_digits))
     return g.select("vendor_id", "card_share", "avg_tip_rate_card").orderBy("vendor_id")
 
 

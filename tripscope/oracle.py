@@ -249,14 +249,15 @@ PAID = "trip_distance > 0 AND fare_amount > 0 AND total_amount > 0 AND payment_t
 TIP_RATE = "CAST(tip_amount AS DOUBLE) / CAST(fare_amount AS DOUBLE)"
 
 
-def _card_cash() -> str:
+def _card_cash(rate_digits: int) -> str:
     card, cash = "payment_type = 1", "payment_type = 2"
     return f"""CAST(COUNT(*) FILTER (WHERE {card}) AS BIGINT) AS card_trips,
     CAST(COUNT(*) FILTER (WHERE {cash}) AS BIGINT) AS cash_trips,
     CAST(COUNT(*) FILTER (WHERE {card}) AS DOUBLE) / COUNT(*) AS card_share,
     {_mean('total_amount', card)} AS avg_total_card, {_mean('total_amount', cash)} AS avg_total_cash,
     {_mean('fare_amount', card)} AS avg_fare_card, {_mean('fare_amount', cash)} AS avg_fare_cash,
-    SUM({TIP_RATE}) FILTER (WHERE {card}) / NULLIF(COUNT({TIP_RATE}) FILTER (WHERE {card}), 0) AS avg_tip_rate_card"""
+    ROUND(SUM({TIP_RATE}) FILTER (WHERE {card}) / NULLIF(COUNT({TIP_RATE}) FILTER (WHERE {card}), 0),
+          {rate_digits}) AS avg_tip_rate_card"""
 
 
 def _sql(p: dict) -> dict[str, str]:
@@ -276,11 +277,14 @@ def _sql(p: dict) -> dict[str, str]:
 FROM prepared"""
 
     # B. exploration
-    def describe(c: str) -> str:
+    def describe(c: str, exact: bool) -> str:
+        w = f"CAST({c} AS DECIMAL(38, 4))"
+        sd = (f"sqrt(CAST(COUNT({c}) * SUM({w} * {w}) - SUM({w}) * SUM({w}) AS DOUBLE) / "
+              f"CAST(COUNT({c}) * (COUNT({c}) - 1) AS DOUBLE))") if exact else f"stddev_samp(CAST({c} AS DOUBLE))"
         return (f"SELECT '{c}' AS column_name, CAST(COUNT({c}) AS BIGINT) AS n, {_mean(c)} AS mean, "
-                f"stddev_samp(CAST({c} AS DOUBLE)) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
+                f"ROUND({sd}, {p['stddev_digits']}) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
                 f"CAST(MAX({c}) AS DOUBLE) AS max FROM prepared")
-    q["eda_describe"] = W() + describe("trip_distance") + "\nUNION ALL\n" + describe("total_amount")
+    q["eda_describe"] = W() + describe("trip_distance", False) + "\nUNION ALL\n" + describe("total_amount", True)
     nulls = ", ".join(
         f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}" for c, _, _ in _trip_view()
     )
@@ -323,15 +327,19 @@ FROM prepared WHERE {quality} GROUP BY 1"""
         f"SELECT {view(GEO_KEYS)}, duration_hours, speed_kmh FROM gv t"
     )
     q["haversine_builtin"] = W(f"hv AS (SELECT *, {HAV_A} AS hav_a FROM prepared)") + (
-        f"SELECT {view(KEYS)}, {HAVERSINE} AS haversine_km FROM hv t"
+        f"SELECT {view(KEYS)}, ROUND({HAVERSINE} * 1000, 0) AS haversine_m FROM hv t"
     )
     q["haversine_udf"] = W(f"hv AS (SELECT *, {HAV_A} AS hav_a FROM prepared)") + (
         f"SELECT {view(KEYS)}, ROUND({HAVERSINE} * 1000, 0) AS haversine_m FROM hv t"
     )
-    q["detour_ratio"] = W(*GEO_CTES) + f"SELECT {view(GEO_KEYS)}, speed_kmh, haversine_km, detour_ratio FROM gm t"
+    q["detour_ratio"] = W(*GEO_CTES) + (
+        f"SELECT {view(GEO_KEYS)}, speed_kmh, ROUND(haversine_km * 1000, 0) AS haversine_m, "
+        f"ROUND(detour_ratio, {p['detour_digits']}) AS detour_ratio FROM gm t"
+    )
     q["speed_by_hour"] = W(*GEO_CTES) + """SELECT pickup_hour,
-  SUM(speed_kmh) / COUNT(speed_kmh) AS avg_speed_kmh, SUM(detour_ratio) / COUNT(detour_ratio) AS avg_detour_ratio
-FROM gm GROUP BY pickup_hour"""
+  ROUND(SUM(speed_kmh) / COUNT(speed_kmh), {sd}) AS avg_speed_kmh,
+  ROUND(SUM(detour_ratio) / COUNT(detour_ratio), {sd}) AS avg_detour_ratio
+FROM gm GROUP BY pickup_hour""".format(sd=p["speed_digits"])
     for key, direction in (("fastest_trips", "DESC"), ("slowest_trips", "ASC")):
         q[key] = W(*GEO_CTES) + f"""SELECT CAST(pickup_ts AS TIMESTAMP) AS pickup_ts, CAST(dropoff_ts AS TIMESTAMP) AS dropoff_ts,
   trip_distance AS dist_miles, speed_kmh
@@ -364,7 +372,7 @@ WHERE trips < {p['revenue_low_trips']} ORDER BY revenue_per_mile DESC, {ZR_GROUP
   SELECT pickup_hour, payment_type, COUNT(*) AS trips,
     {_mean('fare_amount')} AS avg_fare_amount, {_mean('total_amount')} AS avg_total_amount,
     {_mean('tip_amount')} AS avg_tip_amount,
-    SUM({TIP_RATE}) / COUNT({TIP_RATE}) AS tip_rate,
+    ROUND(SUM({TIP_RATE}) / COUNT({TIP_RATE}), {p['rate_digits']}) AS tip_rate,
     CAST(COUNT(*) FILTER (WHERE tip_amount = 0) AS DOUBLE) / COUNT(*) AS zero_tip_share,
     {_mean('trip_distance')} AS avg_trip_distance,
     CAST(SUM(dur_sec) AS DOUBLE) / COUNT(dur_sec) / 60.0 AS avg_duration_minutes
@@ -375,9 +383,9 @@ WHERE trips < {p['revenue_low_trips']} ORDER BY revenue_per_mile DESC, {ZR_GROUP
   avg_fare_amount, avg_total_amount, avg_tip_amount, tip_rate, zero_tip_share, avg_trip_distance,
   avg_duration_minutes
 FROM hs"""
-    q["card_vs_cash_by_hour"] = W() + f"SELECT pickup_hour, {_card_cash()} FROM prepared WHERE {PAID} GROUP BY pickup_hour"
+    q["card_vs_cash_by_hour"] = W() + f"SELECT pickup_hour, {_card_cash(p['rate_digits'])} FROM prepared WHERE {PAID} GROUP BY pickup_hour"
     q["vendor_card_summary"] = W(
-        f"vc AS (SELECT vendor_id, {_card_cash()} FROM prepared WHERE {PAID} GROUP BY vendor_id)"
+        f"vc AS (SELECT vendor_id, {_card_cash(p['rate_digits'])} FROM prepared WHERE {PAID} GROUP BY vendor_id)"
     ) + "SELECT CAST(vendor_id AS INTEGER) AS vendor_id, card_share, avg_tip_rate_card FROM vc"
     vendor_sql = W() + f"""SELECT CAST(hour(pickup_ts) AS INTEGER) AS pickup_hour, CAST(COUNT(*) AS BIGINT) AS trips
 FROM prepared WHERE vendor_id = {p['vendor']} GROUP BY 1"""
@@ -424,8 +432,8 @@ ORDER BY net_pickups ASC, pickup_hour, borough, zone, pickups, dropoffs, locatio
     q["imbalance_top_ratio"] = imb + """SELECT pickup_hour, borough, zone, activity, net_pickups, abs_imbalance_ratio FROM zi
 ORDER BY abs_imbalance_ratio DESC, pickup_hour, borough, zone, activity, net_pickups, location_id LIMIT 5"""
     q["imbalance_by_hour"] = imb + """SELECT pickup_hour, CAST(SUM(abs(net_pickups)) AS BIGINT) AS total_abs_net_pickups,
-  SUM(abs_imbalance_ratio) / COUNT(abs_imbalance_ratio) AS mean_abs_imbalance_ratio
-FROM zi GROUP BY pickup_hour"""
+  ROUND(SUM(abs_imbalance_ratio) / COUNT(abs_imbalance_ratio), {rd}) AS mean_abs_imbalance_ratio
+FROM zi GROUP BY pickup_hour""".format(rd=p["rate_digits"])
 
     # I. OD halves
     odw = W(*_od(p["od_split_day"], p["od_min_trips"]))

@@ -23,6 +23,17 @@ from tripscope.sources.views import spark_view, spec
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Presentation of the measures that are means of per-row floating-point
+# values (a ratio, a speed, a great-circle distance): these differ between
+# engines in the last ulp (summation order, math library), so they are
+# shown at the reference's printed precision - 2 or 4 decimals - or to the
+# metre.  Such values are never exact decimal ties, so rounding is
+# identical everywhere.  Ratios of exact sums stay unrounded.
+RATE_DIGITS = 4
+SPEED_DIGITS = 2
+DETOUR_DIGITS = 6
+STDDEV_DIGITS = 9
+
 # Fixture parameters (FIXTURES.md section 3, sf0.01).
 DEMAND_DAYS = (20, 21, 22)
 DEMAND_HOURS = (3, 4, 5, 6)
@@ -108,7 +119,9 @@ def _ingest() -> dict[str, Query]:
 def _explore() -> dict[str, Query]:
     return {
         "eda_schema": lambda s, d: explore.eda_schema(_t(s, d)),
-        "eda_describe": lambda s, d: explore.eda_describe(_t(s, d), ["trip_distance", "total_amount"]),
+        "eda_describe": lambda s, d: explore.eda_describe(_t(s, d), ["trip_distance", "total_amount"]).withColumn(
+            "stddev", F.round("stddev", STDDEV_DIGITS)
+        ),
         "eda_null_counts": lambda s, d: explore.eda_null_counts(spark_view(_t(s, d), spec())),
         "eda_top_zones": lambda s, d: explore.eda_top_zones(*_tz(s, d), k=10),
         "eda_extremes": lambda s, d: explore.eda_extremes(_t(s, d), "trip_distance", "total_amount"),
@@ -148,17 +161,21 @@ def _geo() -> dict[str, Query]:
         t = geo.trip_speed(quality.geo_valid_filter(_t(s, d)))
         return spark_view(t, GEO_KEYS + [("duration_hours", "double", ""), ("speed_kmh", "double", "")])
 
+    def metres(df):
+        return df.withColumn("haversine_m", F.round(F.col("haversine_km") * 1000, 0))
+
     def hav(s, d):
-        return spark_view(geo.haversine_builtin(_t(s, d)), KEYS + [("haversine_km", "double", "")])
+        return spark_view(metres(geo.haversine_builtin(_t(s, d))), KEYS + [("haversine_m", "double", "")])
 
     def hav_udf(s, d):
-        t = geo.haversine_udf(_t(s, d)).withColumn("haversine_m", F.round(F.col("haversine_km") * 1000, 0))
-        return spark_view(t, KEYS + [("haversine_m", "double", "")])
+        return spark_view(metres(geo.haversine_udf(_t(s, d))), KEYS + [("haversine_m", "double", "")])
 
     def detour(s, d):
-        t = geo.speed_metrics(_t(s, d))
+        t = metres(geo.speed_metrics(_t(s, d))).withColumn(
+            "detour_ratio", F.round("detour_ratio", DETOUR_DIGITS)
+        )
         return spark_view(
-            t, GEO_KEYS + [("speed_kmh", "double", ""), ("haversine_km", "double", ""), ("detour_ratio", "double", "")]
+            t, GEO_KEYS + [("speed_kmh", "double", ""), ("haversine_m", "double", ""), ("detour_ratio", "double", "")]
         )
 
     return {
@@ -169,7 +186,7 @@ def _geo() -> dict[str, Query]:
         "haversine_builtin": hav,
         "haversine_udf": hav_udf,
         "detour_ratio": detour,
-        "speed_by_hour": lambda s, d: geo.speed_by_hour(geo.speed_metrics(_t(s, d))),
+        "speed_by_hour": lambda s, d: geo.speed_by_hour(geo.speed_metrics(_t(s, d)), digits=SPEED_DIGITS),
         "fastest_trips": lambda s, d: geo.fastest_trips(geo.speed_metrics(_t(s, d)), k=5),
         "slowest_trips": lambda s, d: geo.slowest_trips(geo.speed_metrics(_t(s, d)), k=5),
     }
@@ -215,9 +232,9 @@ def _payments() -> dict[str, Query]:
         return payments.vendor_hourly_count(raw.withColumnRenamed("VendorID", "vendor_id"), VENDOR)
 
     return {
-        "payment_mix_by_hour": lambda s, d: payments.payment_mix_by_hour(_t(s, d)),
-        "card_vs_cash_by_hour": lambda s, d: payments.card_vs_cash_by_hour(_t(s, d)),
-        "vendor_card_summary": lambda s, d: payments.vendor_card_summary(_t(s, d)),
+        "payment_mix_by_hour": lambda s, d: payments.payment_mix_by_hour(_t(s, d), rate_digits=RATE_DIGITS),
+        "card_vs_cash_by_hour": lambda s, d: payments.card_vs_cash_by_hour(_t(s, d), rate_digits=RATE_DIGITS),
+        "vendor_card_summary": lambda s, d: payments.vendor_card_summary(_t(s, d), rate_digits=RATE_DIGITS),
         "vendor_hourly_count": lambda s, d: payments.vendor_hourly_count(_t(s, d), VENDOR),
         "vendor_hourly_count_csv": csv_count,
     }
@@ -244,7 +261,9 @@ def _imbalance() -> dict[str, Query]:
         "imbalance_top_surplus": lambda s, d: imbalance.imbalance_top_surplus(*_tz(s, d), min_activity=m, k=5),
         "imbalance_top_deficit": lambda s, d: imbalance.imbalance_top_deficit(*_tz(s, d), min_activity=m, k=5),
         "imbalance_top_ratio": lambda s, d: imbalance.imbalance_top_ratio(*_tz(s, d), min_activity=m, k=5),
-        "imbalance_by_hour": lambda s, d: imbalance.imbalance_by_hour(*_tz(s, d), min_activity=m),
+        "imbalance_by_hour": lambda s, d: imbalance.imbalance_by_hour(
+            *_tz(s, d), min_activity=m, digits=RATE_DIGITS
+        ),
     }
 
 
@@ -269,6 +288,10 @@ PARAMS = {
     "od_min_trips": OD_MIN_TRIPS,
     "sample": (SAMPLE_KEY, SAMPLE_EVERY),
     "vendor": VENDOR,
+    "rate_digits": RATE_DIGITS,
+    "speed_digits": SPEED_DIGITS,
+    "detour_digits": DETOUR_DIGITS,
+    "stddev_digits": STDDEV_DIGITS,
     "roundtrip_days": ROUNDTRIP_DAYS,
 }
 
