@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tripscope.operators import demand, explore, flows, geo, imbalance, od, payments, prepare, quality, revenue
 from tripscope.sources import files
-from tripscope.sources.fixtures import trips_raw
+from tripscope.sources.fixtures import RAW_COLUMNS, trips_raw
 from tripscope.sources.store import path_exists, prepared_trips, store_path, zone_table
 from tripscope.sources.tables import DRIVER_TABLES, read_table
 from tripscope.sources.views import spark_view, spec
@@ -61,13 +61,20 @@ def _tz(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def raw_csv_path(spark: SparkSession, sf_dir: str) -> str:
     """A CSV copy (with header) of the raw trips, written once."""
     path = store_path(spark, sf_dir, "trips_raw_csv")
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        trips_raw(spark, sf_dir).write.mode("overwrite").csv(path, header=True)
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _CSV_READY:
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            trips_raw(spark, sf_dir).write.mode("overwrite").csv(path, header=True)
+        _CSV_READY.add(key)
     return path
 
 
-def raw_csv_schema(spark: SparkSession, sf_dir: str):
-    return files.raw_schema_for(trips_raw(spark, sf_dir).columns)
+_CSV_READY: set[tuple[str, str]] = set()
+
+
+def raw_csv_schema(spark: SparkSession | None = None, sf_dir: str | None = None):
+    """The explicit schema of the raw CSV copy (reference types)."""
+    return files.raw_schema_for(list(RAW_COLUMNS))
 
 
 # ---------------------------------------------------------------- A. ingest

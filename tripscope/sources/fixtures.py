@@ -174,8 +174,18 @@ def text_timestamps(df: DataFrame, ts_format: str = RAW_TS_FORMAT) -> DataFrame:
     )
 
 
+# Column order of the raw trips (and of their CSV copy).
+RAW_COLUMNS = (
+    "l_orderkey", "l_linenumber", "l_partkey", "VendorID", "tpep_pickup_datetime",
+    "tpep_dropoff_datetime", "passenger_count", "trip_distance", "PULocationID", "DOLocationID",
+    "payment_type", "fare_amount", "tip_amount", "extra", "tolls_amount", "Airport_fee",
+    "total_amount", "pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude",
+)
+
+
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trips as a raw file holds them: text timestamps, raw id names.
+    """The trips as a raw file holds them: text timestamps, raw id names
+    (columns in ``RAW_COLUMNS`` order).
 
     This is the input of preparation; the coordinates ride along so that
     the geo jobs can run on the prepared table.
@@ -190,4 +200,6 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             cols.append(F.date_format("dropoff_ts", RAW_TS_FORMAT).alias("tpep_dropoff_datetime"))
         else:
             cols.append(F.col(name).alias(back.get(name, name)))
-    return t.select(*cols)
+    raw = t.select(*cols)
+    assert tuple(raw.columns) == RAW_COLUMNS
+    return raw

@@ -34,8 +34,23 @@ def _slug(sf_dir: str) -> str:
     return f"{tail}-{digest}"
 
 
+def _layout_version() -> str:
+    """Fixture version plus a digest of the modules that define what the
+    stored tables hold: a table written by other code is never reused."""
+    import tripscope.operators.prepare as prep_mod
+    import tripscope.sources.fixtures as fix_mod
+
+    h = hashlib.sha1(str(FIXTURE_VERSION).encode())
+    for mod in (fix_mod, prep_mod):
+        with open(mod.__file__, "rb") as fh:
+            h.update(fh.read())
+    with open(__file__, "rb") as fh:
+        h.update(fh.read())
+    return f"v{FIXTURE_VERSION}-{h.hexdigest()[:10]}"
+
+
 def store_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    return f"{shared_dir(spark)}/tripscope/v{FIXTURE_VERSION}/{_slug(sf_dir)}/{name}"
+    return f"{shared_dir(spark)}/tripscope/{_layout_version()}/{_slug(sf_dir)}/{name}"
 
 
 def prepared_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
