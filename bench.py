@@ -117,6 +117,7 @@ def main() -> None:
     for name, fn in _variants().items():
         times[name] = round(_time(fn, spark, sf_dir), 3)
     headline_total = round(sum(times[n] for n in HEADLINE), 3)
+    rows = prepared_trips(spark, sf_dir).count()
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(
         json.dumps(
@@ -127,6 +128,7 @@ def main() -> None:
                 "queries": times,
                 "prepare": round(prepare_s, 3),
                 "prepare_csv": round(prepare_csv_s, 3),
+                "rows": rows,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": int(cpus),
             }

@@ -91,14 +91,18 @@ def enrich_trips(df: DataFrame) -> DataFrame:
     )
 
 
-def prepare_metrics(raw: DataFrame, keep: Column | None = None) -> DataFrame:
-    """raw_rows, processed_rows, dropped_rows in one pass over ``raw``."""
+def prepare_metrics(raw: DataFrame, keep: Column | None = None, **labels: str) -> DataFrame:
+    """raw_rows, processed_rows, dropped_rows in one pass over ``raw``;
+    ``labels`` (e.g. dataset, partition_column, output_path) are added as
+    literal columns, so the one-row result is the whole metrics record
+    (``to_json(struct(*))`` or ``write.json`` to store it)."""
     keep = keep if keep is not None else keep_condition()
     counted = raw.agg(
         F.count(F.lit(1)).alias("raw_rows"),
         F.count_if(keep).alias("processed_rows"),
     )
     return counted.select(
+        *[F.lit(v).alias(k) for k, v in labels.items()],
         "raw_rows",
         "processed_rows",
         (F.col("raw_rows") - F.col("processed_rows")).alias("dropped_rows"),

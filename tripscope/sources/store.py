@@ -108,3 +108,11 @@ def zone_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     every query joins it, and re-deriving it costs two scans and a join
     per query.  A lost cached block is recomputed from its lineage."""
     return _memo(spark, sf_dir, "zones", lambda: zones(spark, sf_dir).cache())
+
+
+def register_views(spark: SparkSession, sf_dir: str, trips_view: str = "trips", zones_view: str = "zones") -> None:
+    """Name the prepared trips and the zones as temporary views, for SQL
+    (``spark.sql``) and ``spark.table`` callers.  A view is an unexecuted
+    plan: each query over it plans afresh, with pruning and pushdown."""
+    prepared_trips(spark, sf_dir).createOrReplaceTempView(trips_view)
+    zone_table(spark, sf_dir).createOrReplaceTempView(zones_view)
