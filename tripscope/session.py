@@ -79,3 +79,33 @@ def shared_dir(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(base)
     return base.rstrip("/")
+
+
+def scale_conf(
+    input_bytes: int,
+    total_cores: int,
+    executor_memory_gb: float = 8.0,
+    cores_per_executor: int = 4,
+    target_partition_mb: int = 256,
+) -> dict[str, str]:
+    """Sizing settings for a cluster run over ``input_bytes`` of Parquet.
+
+    - scan splits of ``target_partition_mb`` (fewer, larger tasks; each task
+      holds about one split decoded, so a split must fit its share of
+      executor memory: memory / cores, with room for the shuffle buffers);
+    - initial shuffle partitions = input / split size, at least 2 waves of
+      the cluster's cores; AQE coalesces the small ones after each stage
+      and splits skewed ones (a key with a third of the rows) in joins;
+    - advisory partition size = half a split, the size AQE aims for.
+    """
+    per_task_mb = executor_memory_gb * 1024 / max(cores_per_executor, 1)
+    split_mb = max(32, min(target_partition_mb, int(per_task_mb / 4)))
+    partitions = max(2 * total_cores, -(-input_bytes // (split_mb * 1024 * 1024)))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{split_mb}m",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{max(16, split_mb // 2)}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{split_mb * 2}m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
