@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tripscope.operators import demand, explore, flows, geo, imbalance, od, payments, prepare, quality, revenue
 from tripscope.sources import files
 from tripscope.sources.fixtures import RAW_COLUMNS, trips_raw
-from tripscope.sources.store import path_exists, prepared_trips, store_path, zone_table
+from tripscope.sources.store import BUILD_LOCK, path_exists, prepared_trips, store_path, zone_table
 from tripscope.sources.tables import DRIVER_TABLES, read_table
 from tripscope.sources.views import spark_view, spec
 
@@ -63,9 +63,11 @@ def raw_csv_path(spark: SparkSession, sf_dir: str) -> str:
     path = store_path(spark, sf_dir, "trips_raw_csv")
     key = (spark.sparkContext.applicationId, path)
     if key not in _CSV_READY:
-        if not path_exists(spark, f"{path}/_SUCCESS"):
-            trips_raw(spark, sf_dir).write.mode("overwrite").csv(path, header=True)
-        _CSV_READY.add(key)
+        with BUILD_LOCK:
+            if key not in _CSV_READY:
+                if not path_exists(spark, f"{path}/_SUCCESS"):
+                    trips_raw(spark, sf_dir).write.mode("overwrite").csv(path, header=True)
+                _CSV_READY.add(key)
     return path
 
 

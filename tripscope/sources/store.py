@@ -10,6 +10,7 @@ job committed; a half-written one is overwritten.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,13 +79,18 @@ def build_prepared_trips(spark: SparkSession, sf_dir: str, path: str, files_per_
 # reuses its file index and analysed plan, so a query does not re-list the
 # table's directories or re-read footers.  Only read-only inputs live here.
 _FRAMES: dict[tuple[str, str, str], DataFrame] = {}
+# One build at a time: two threads of a session must not both write a path.
+BUILD_LOCK = threading.RLock()
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     df = _FRAMES.get(key)
     if df is None:
-        df = _FRAMES[key] = make()
+        with BUILD_LOCK:
+            df = _FRAMES.get(key)
+            if df is None:
+                df = _FRAMES[key] = make()
     return df
 
 
