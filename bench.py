@@ -118,6 +118,15 @@ def main() -> None:
         times[name] = round(_time(fn, spark, sf_dir), 3)
     headline_total = round(sum(times[n] for n in HEADLINE), 3)
     rows = prepared_trips(spark, sf_dir).count()
+    # The comparisons the reference made between surfaces of one question.
+    pairs = {
+        "q2_udf_over_builtin": ("q2_speed_by_hour_udf", "q2_speed_by_hour"),
+        "q4_csv_over_parquet": ("q4_vendor_count_csv", "q4_vendor_count_parquet"),
+        "q4_csv_inferred_over_parquet": ("q4_vendor_count_csv_inferred", "q4_vendor_count_parquet"),
+        "q5_merge_over_broadcast": ("q5_flow_counts_merge", "q5_flow_counts_broadcast"),
+        "q6b_join_over_one_pass": ("q6b_od_halves_join", "q6b_od_halves"),
+    }
+    ratios = {k: round(times[a] / times[b], 2) for k, (a, b) in pairs.items() if times[b] > 0}
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(
         json.dumps(
@@ -129,6 +138,7 @@ def main() -> None:
                 "prepare": round(prepare_s, 3),
                 "prepare_csv": round(prepare_csv_s, 3),
                 "rows": rows,
+                "variant_ratios": ratios,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": int(cpus),
             }
