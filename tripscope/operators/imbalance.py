@@ -79,7 +79,8 @@ def rounded_ratio(num: Column, den: Column, digits: int) -> Column:
     b = den * 2
     # exact integer floor(a / b): a - pmod(a, b) is a multiple of b
     q = ((a - F.pmod(a, b)) / b).cast("long")
-    return F.when(den > 0, (F.signum(num) * q).cast("double") / F.lit(float(scale))).otherwise(F.lit(0.0))
+    signed = F.when(num < 0, -q).otherwise(q)  # integral: never a negative zero
+    return F.when(den > 0, signed.cast("double") / F.lit(float(scale))).otherwise(F.lit(0.0))
 
 
 def _metrics(counts: DataFrame, zones: DataFrame, min_activity: int, digits: int | None) -> DataFrame:

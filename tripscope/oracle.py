@@ -6,7 +6,8 @@ derives (date, day, hour, duration, km, text timestamps).  Durations come
 from the spec's ``dur_sec``; the Spark side derives them from the two
 timestamps.  Every output column is cast explicitly so both engines
 return the same types; means are SUM / COUNT so that exact sums give the
-same double on both.
+same double on both.  DuckDB's ROUND keeps the sign of a negative value
+that rounds to zero (-0.0); ``+ 0.0`` turns it into the 0.0 Spark gives.
 """
 
 from __future__ import annotations
@@ -213,8 +214,8 @@ def _od(split_day: int, min_trips: int) -> str:
     {_mean('total_amount', h1)} AS avg_total_h1, {_mean('total_amount', h2)} AS avg_total_h2
   FROM prepared WHERE duration_minutes > 0 AND trip_distance > 0 AND fare_amount > 0
   GROUP BY 1, 2, 3)""", f"""odc AS (
-  SELECT *, ROUND((trips_h2 - trips_h1) * 100 / trips_h1, 2) AS trips_change_pct,
-    ROUND((avg_fare_h2 - avg_fare_h1) * 100 / avg_fare_h1, 2) AS fare_change_pct
+  SELECT *, ROUND((trips_h2 - trips_h1) * 100 / trips_h1, 2) + 0.0 AS trips_change_pct,
+    ROUND((avg_fare_h2 - avg_fare_h1) * 100 / avg_fare_h1, 2) + 0.0 AS fare_change_pct
   FROM od WHERE trips_h1 >= {min_trips} AND trips_h2 > 0)"""
 
 
