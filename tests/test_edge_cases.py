@@ -131,3 +131,13 @@ def test_rounded_ratio_is_exact_half_away_from_zero(spark):
     df = spark.createDataFrame([(1, 32), (-1, 32), (1, 3), (0, 5), (3, 0)], "n long, d long")
     got = [r[0] for r in df.select(imbalance.rounded_ratio(F.col("n"), F.col("d"), 4)).collect()]
     assert got == [0.0313, -0.0313, 0.3333, 0.0, 0.0]
+
+
+def test_haversine_null_input_gives_null_in_both_forms(spark):
+    df = spark.createDataFrame(
+        [(40.7, -74.0, 40.8, -73.9), (None, -74.0, 40.8, -73.9)],
+        "pickup_latitude double, pickup_longitude double, dropoff_latitude double, dropoff_longitude double",
+    )
+    for form in (geo.haversine_builtin, geo.haversine_udf):
+        got = [r[0] for r in form(df).select("haversine_km").collect()]
+        assert got[1] is None and abs(got[0] - 13.95) < 0.01
