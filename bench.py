@@ -6,7 +6,7 @@ Steps: (1) prepare - derive the trips from the driver tables and write
 them as day-partitioned Parquet; prepare_csv - the reference's
 preparation job proper (raw CSV copy under the explicit schema -> parse,
 enrich -> day-partitioned Parquet); (2) every headline query on the
-prepared table.  Preparation runs twice, each query three times; the
+prepared table.  Preparation runs twice, each query five times; the
 fastest run is recorded
 (the second run is "hot": JIT-compiled, files in the OS cache), after an
 untimed warm-up on the sf0.001 tables.  Prints ONE JSON line; ``value`` is
@@ -68,7 +68,7 @@ def _variants():
     }
 
 
-def _time(fn, spark, sf_dir, runs: int = 3) -> float:
+def _time(fn, spark, sf_dir, runs: int = 5) -> float:
     best = float("inf")
     for _ in range(runs):
         t0 = time.perf_counter()
