@@ -287,7 +287,8 @@ FROM prepared"""
                 f"CAST(MAX({c}) AS DOUBLE) AS max FROM prepared")
     q["eda_describe"] = W() + describe("trip_distance", False) + "\nUNION ALL\n" + describe("total_amount", True)
     nulls = ", ".join(
-        f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}" for c, _, _ in _trip_view()
+        f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}"
+        for c, _, _ in _trip_view(coords=True, text_ts=True)
     )
     q["eda_null_counts"] = W() + f"SELECT {nulls} FROM prepared"
     q["eda_top_zones"] = W() + """SELECT z.Zone AS zone, CAST(COUNT(*) AS BIGINT) AS trips

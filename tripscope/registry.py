@@ -131,7 +131,9 @@ def _explore() -> dict[str, Query]:
         "eda_describe": lambda s, d: explore.eda_describe(_t(s, d), ["trip_distance", "total_amount"]).withColumn(
             "stddev", F.round("stddev", STDDEV_DIGITS)
         ),
-        "eda_null_counts": lambda s, d: explore.eda_null_counts(spark_view(_t(s, d), spec())),
+        "eda_null_counts": lambda s, d: explore.eda_null_counts(
+            spark_view(_t(s, d), spec(coords=True, text_ts=True))
+        ),
         "eda_top_zones": lambda s, d: explore.eda_top_zones(*_tz(s, d), k=10),
         "eda_extremes": lambda s, d: explore.eda_extremes(_t(s, d), "trip_distance", "total_amount"),
     }
