@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +24,16 @@ PARTITION_COLUMN = "pickup_day"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    """True if ``path`` exists (file or folder), on any file system the
+    session reads.  Creating a reader over the path lists it (no job runs);
+    a missing path raises at that point."""
+    try:
+        spark.read.format("text").load(path)
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return False
+        raise
 
 
 def _slug(sf_dir: str) -> str:
