@@ -68,11 +68,17 @@ def _variants():
     }
 
 
-def _time(fn, spark, sf_dir, runs: int = 5) -> float:
+def _time(fn, spark, sf_dir, runs: int = 5) -> float | None:
+    """Best wall time of ``runs`` collects; None (and a note on stderr) if
+    the query fails, so one failure does not lose the whole record."""
     best = float("inf")
     for _ in range(runs):
         t0 = time.perf_counter()
-        fn(spark, sf_dir).collect()
+        try:
+            fn(spark, sf_dir).collect()
+        except Exception as e:  # noqa: BLE001 - reported, bench goes on
+            print(f"bench: query failed: {type(e).__name__}: {str(e)[:200]}", file=sys.stderr)
+            return None
         best = min(best, time.perf_counter() - t0)
     return best
 
@@ -113,10 +119,12 @@ def main() -> None:
     qs = registry.queries()
     times: dict[str, float] = {}
     for name, key in HEADLINE.items():
-        times[name] = round(_time(qs[key], spark, sf_dir), 3)
+        t = _time(qs[key], spark, sf_dir)
+        times[name] = None if t is None else round(t, 3)
     for name, fn in _variants().items():
-        times[name] = round(_time(fn, spark, sf_dir), 3)
-    headline_total = round(sum(times[n] for n in HEADLINE), 3)
+        t = _time(fn, spark, sf_dir)
+        times[name] = None if t is None else round(t, 3)
+    headline_total = round(sum(times[n] or 0.0 for n in HEADLINE), 3)
     rows = prepared_trips(spark, sf_dir).count()
     # The comparisons the reference made between surfaces of one question.
     pairs = {
@@ -126,7 +134,7 @@ def main() -> None:
         "q5_merge_over_broadcast": ("q5_flow_counts_merge", "q5_flow_counts_broadcast"),
         "q6b_join_over_one_pass": ("q6b_od_halves_join", "q6b_od_halves"),
     }
-    ratios = {k: round(times[a] / times[b], 2) for k, (a, b) in pairs.items() if times[b] > 0}
+    ratios = {k: round(times[a] / times[b], 2) for k, (a, b) in pairs.items() if times[a] and times[b]}
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(
         json.dumps(
@@ -141,6 +149,7 @@ def main() -> None:
                 "variant_ratios": ratios,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": int(cpus),
+                "failed": [n for n, t in times.items() if t is None],
             }
         )
     )

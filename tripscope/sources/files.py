@@ -37,17 +37,6 @@ TRIPS_RAW_2024_SCHEMA = T.StructType(
     ]
 )
 
-# The zone lookup file's schema.
-ZONES_SCHEMA = T.StructType(
-    [
-        T.StructField("LocationID", T.IntegerType()),
-        T.StructField("Borough", T.StringType()),
-        T.StructField("Zone", T.StringType()),
-        T.StructField("service_zone", T.StringType()),
-    ]
-)
-
-
 def csv_explicit_scan(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV with a header under ``schema`` (columns by position); a cell
     that does not parse under its type becomes NULL."""
