@@ -37,6 +37,7 @@ TRIPS_RAW_2024_SCHEMA = T.StructType(
     ]
 )
 
+
 def csv_explicit_scan(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV with a header under ``schema`` (columns by position); a cell
     that does not parse under its type becomes NULL."""
