@@ -74,3 +74,15 @@ def test_partitioned_roundtrip_returns_the_days(spark, tmp_path):
     t = prepared_frame(spark, SF_MID)
     back = prepare.partitioned_roundtrip(t, str(tmp_path / "rt"), days=[1, 2])
     _same(back.select(*t.columns), t.where(F.col("pickup_day").isin(1, 2)))
+
+
+def test_approx_distinct_zones_close_to_exact(spark):
+    from tripscope.operators import demand
+
+    t = prepared_trips(spark, SF_MID)
+    exact = demand.demand_profile_by_day(t, (3, 6), k=None).select("pickup_day", "pickup_hour", "unique_pickup_zones")
+    approx = demand.demand_profile_by_day(t, (3, 6), k=None, approx_rsd=0.01).select(
+        "pickup_day", "pickup_hour", F.col("unique_pickup_zones").alias("approx")
+    )
+    rows = exact.join(approx, ["pickup_day", "pickup_hour"]).collect()
+    assert rows and all(abs(r.approx - r.unique_pickup_zones) <= 0.05 * r.unique_pickup_zones + 1 for r in rows)
