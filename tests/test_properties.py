@@ -46,3 +46,21 @@ def test_scale_conf_sizes_for_a_large_cluster():
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20)
     small = scale_conf(input_bytes=10 * 2**20, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_scale_conf_keys_are_live_settings(spark):
+    # every setting applies to a running session and leaves answers unchanged
+    from tests.conftest import SF_SMALL
+    from tripscope import registry
+
+    before = registry.queries()["zone_imbalance"](spark, SF_SMALL).collect()
+    conf = scale_conf(input_bytes=64 * 2**20, total_cores=4)
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        after = registry.queries()["zone_imbalance"](spark, SF_SMALL).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted(map(tuple, before)) == sorted(map(tuple, after))
