@@ -51,3 +51,16 @@ def test_key_matches_oracle(spark, duck, key):
     assert sorted(cols) == sorted(dcols)
     assert len(rows) == len(drows)
     assert _rows(cols, rows, 9) == _rows(dcols, drows, 9)
+
+
+def test_oracle_sql_uses_only_registered_views():
+    for key, sql in SQL.items():
+        low = sql.lower()
+        assert "read_parquet" not in low and "/root/" not in low and "read_csv" not in low, key
+
+
+def test_outputs_have_unique_plain_names(spark):
+    for key in KEYS:
+        cols = entry.queries()[key](spark, SF_SMALL).columns
+        assert len(cols) == len(set(cols)), key
+        assert all(c.replace("_", "").isalnum() for c in cols), (key, cols)
