@@ -5,7 +5,8 @@ aggregation on the map side; the share of the window is a global window
 sum over the aggregated groups (dates x hours rows, never trip rows); the
 top k is ``TakeOrderedAndProject`` (k rows per partition, then k).
 The distinct zone count is exact (Spark plans it as an aggregate on
-(group, zone) first, so a hot group costs one row per zone per task).
+(group, zone) first, so a hot group costs one row per zone per task), or
+an HLL++ sketch with ``approx_rsd`` (one aggregation level).
 """
 
 from __future__ import annotations
