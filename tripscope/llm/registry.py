@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripscope.llm import block_naming, mixing
+from tripscope.llm import block_naming, mixing, revisits, secret_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_scan": secret_scan.op1_secret_scan,
         "op3_block_naming": block_naming.op3_block_naming,
+        "op4_revisits": revisits.op4_revisits,
         "op10_mixing": mixing.op10_mixing,
     }
 
@@ -19,4 +21,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """Keys without an entry have no SQL form; they are tested against
     brute force, a round trip or held-out accuracy in ``tests/llm``."""
-    return {"op3_block_naming": block_naming.OP3_SQL}
+    return {"op3_block_naming": block_naming.OP3_SQL, "op4_revisits": revisits.OP4_SQL}
