@@ -120,8 +120,13 @@ def exact_duplicates(
     rows = docs.select(F.col(key).alias("key"), ascii_lower(F.col(text)).cast("binary").alias("bytes"))
     numbered, ids = identities(rows, block_bytes=block_bytes)
     members = numbered.join(ids, "row")
-    groups = members.groupBy("level", "name").agg(
-        F.count("*").alias("group_size"), F.max(F.struct(F.col("key"), F.col("row"))).alias("top")
+    # Written, so that the join below has plain rows on both sides and a group
+    # of a third of all rows can be split over tasks.
+    groups = written(
+        members.groupBy("level", "name").agg(
+            F.count("*").alias("group_size"), F.max(F.struct(F.col("key"), F.col("row"))).alias("top")
+        ),
+        "naming-groups",
     )
     return members.join(groups, ["level", "name"]).select(
         F.col("key").alias(key),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripscope.llm import block_naming, mixing, revisits, secret_scan
+from tripscope.llm import block_naming, mixing, packing, revisits, secret_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_scan": secret_scan.op1_secret_scan,
         "op3_block_naming": block_naming.op3_block_naming,
         "op4_revisits": revisits.op4_revisits,
+        "op5_packing": packing.op5_packing,
         "op10_mixing": mixing.op10_mixing,
     }
 

@@ -109,8 +109,11 @@ def resolve_revisits(records: DataFrame, *, ranges: int = RANGES) -> DataFrame:
         found, revisits["record_id"].eqNullSafe(found["record_id"]) & (revisits["url_key"] == found["url_key"])
         & (revisits["ts"] == found["ts"]), "left",
     ).select(revisits["record_id"], revisits["url_key"], "fresh", "response_id")
-    stored = rows.where("full and record_id is not null").groupBy(F.col("record_id").alias("response_id")).agg(
-        F.first("headers").alias("stored")
+    # Written, so that a response with very many revisits can be split in the join.
+    stored = written(
+        rows.where("full and record_id is not null").groupBy(F.col("record_id").alias("response_id"))
+        .agg(F.min("headers").alias("stored")),
+        "revisit-stored",
     )
     tag, modified = header("fresh", "etag"), header("fresh", "last-modified")
     agrees = F.when(tag.isNotNull(), F.coalesce(_weak(tag) == _weak(header("stored", "etag")), F.lit(False))).otherwise(
