@@ -60,10 +60,10 @@ def record_batch(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def slices(batch: pa.RecordBatch, text: str, limit_bytes: int = 4 << 20):
+def slices(batch: pa.RecordBatch, text: str | int, limit_bytes: int = 4 << 20):
     """Rows of a batch in runs of about ``limit_bytes`` of text, so that what a
     task holds as Python objects does not follow the batch's row count."""
-    column = batch.column(batch.schema.get_field_index(text))
+    column = batch.column(text)
     sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, n in enumerate(sizes):
