@@ -3,8 +3,10 @@ follow-the-regularised-leader updates, scored as sparse dot products.
 
 Words are runs of letters and digits, and runs of other signs, in their case;
 features are single words and pairs of neighbours, hashed to ``2**bits``
-weights.  Every occurrence counts 1/sqrt(number of features), so the length of
-a text does not decide.  The model is one array of a fixed size.
+weights, and n-grams of which only is kept that the last word is the first one
+again (one feature per n, whatever the word).  Every occurrence counts
+1/sqrt(number of features), so the length of a text does not decide.  The model
+is one array of a fixed size.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from tripscope.llm.common import held_out, slices, table
 BITS = 18
 #: About so many labelled documents are learnt from, picked by a hash of the id.
 MAX_TRAINED = 12_000
+#: n-grams "the first word again", by the distance of the two words.
+REPEATS = (1, 2, 3, 4)
 _WORDS = re.compile(r"[^\W_]+|[^\w\s]+")
 
 
@@ -47,7 +51,8 @@ def features(text: str | None, bits: int = BITS) -> np.ndarray:
         return np.zeros(0, np.int64)
     h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
     pairs = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - bits)
-    return np.concatenate([h & np.uint64((1 << bits) - 1), pairs]).astype(np.int64)
+    again = [np.full(np.count_nonzero(h[k:] == h[:-k]), k, np.uint64) for k in REPEATS]
+    return np.concatenate([h & np.uint64((1 << bits) - 1), pairs, *again]).astype(np.int64)
 
 
 @dataclass
