@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripscope.llm import block_naming, digests, language_id, mixing, packing, quality, revisits, secret_scan
+from tripscope.llm import (
+    block_naming, digests, language_id, mixing, packing, quality, revisits, secret_scan, setsketch,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_block_naming": block_naming.op3_block_naming,
         "op4_revisits": revisits.op4_revisits,
         "op5_packing": packing.op5_packing,
+        "op6_setsketch": setsketch.op6_setsketch,
         "op7_digests": digests.op7_digests,
         "op8_quality": quality.op8_quality,
         "op9_language": language_id.op9_language,
