@@ -1,11 +1,80 @@
-"""The corpus pipeline: documents through quality, line dedup, near dedup,
-mixing and packing.  Each stage is written as Parquet and read again."""
+"""The corpus pipeline: raw documents to packed training sequences.
+
+Every stage reads all that the one before kept and is written as Parquet.  All
+but the last return the columns of ``documents``; their order is kept.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripscope.llm import line_dedup, mixing, packing, quality, setsketch
+from tripscope.llm.common import table, word_count, written
+
+#: Near duplicates: five-word shingles, this similarity in per cent or more.
+NEAR_THRESHOLD = 80
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores under 0.5 go.  It learns from the
+    labels of the stage's own documents that are not held out."""
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.keep_quality(docs, model)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier line, or are within two edits of one, are
+    cut out of the text.  A document that had words and has none left goes."""
+    had = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    fresh = line_dedup.dedup_lines(docs.withColumn("__had", F.coalesce(had, F.lit(False))))
+    return (
+        fresh.where(~F.col("__had") | had)
+        .withColumn("n_chars", F.when(F.size("dropped_lines") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+        .select(*docs.columns)
+    )
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, that of the
+    smallest id.  Rows of one id stay or go together; without an id they stay."""
+    found = setsketch.near_duplicates(docs, threshold=NEAR_THRESHOLD)
+    gone = found.where("doc_id is not null").groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("not kept")
+    return docs.join(written(gone.select("doc_id"), "pipeline-gone"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are brought to their target weights: a document stands in the
+    result as often as the mix uses it, 0 to 3 times."""
+    size, members = word_count(F.col("text")), F.array("source")
+    mixed, _, _ = mixing.mix(docs, size=size, members=members)
+    uses = written(
+        mixed.where("taken > 0").groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("members").alias("__members"))
+        .agg(F.max(F.expr("taken div size")).cast("int").alias("__uses")),
+        "pipeline-uses",
+    )
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (size == F.col("__size")) & (members == F.col("__members"))
+    return docs.join(uses, same).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__uses"))).alias("__use")).drop("__use")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their place in sequences of 4096 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("line dedup", line_stage),
+    ("near dedup", near_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
+#: Learnt scores, sketches and tokens have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripscope.llm import (
-    block_naming, digests, language_id, mixing, packing, quality, revisits, secret_scan, setsketch,
+    block_naming, digests, language_id, line_dedup, mixing, packing, quality, revisits, secret_scan, setsketch,
 )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": secret_scan.op1_secret_scan,
+        "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_block_naming": block_naming.op3_block_naming,
         "op4_revisits": revisits.op4_revisits,
         "op5_packing": packing.op5_packing,
