@@ -27,10 +27,12 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier line, or are within two edits of one, are
     cut out of the text.  A document that had words and has none left goes."""
     had = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    fresh = line_dedup.dedup_lines(docs.withColumn("__had", F.coalesce(had, F.lit(False))))
+    fresh = line_dedup.dedup_lines(
+        docs.withColumn("__had", F.coalesce(had, F.lit(False))), dropped_as="__lines", links_as="__links"
+    )
     return (
         fresh.where(~F.col("__had") | had)
-        .withColumn("n_chars", F.when(F.size("dropped_lines") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+        .withColumn("n_chars", F.when(F.size("__lines") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
         .select(*docs.columns)
     )
 

@@ -355,11 +355,12 @@ def dropped_lines(
 
 
 def dedup_lines(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+    dropped_as: str = "dropped_lines", links_as: str = "n_links",
 ) -> DataFrame:
     """The rows of ``docs`` without their dropped lines, with two more columns
-    at the end: dropped (array of line numbers) and n_links.  Other columns are
-    as they are.  NULL text stays NULL; a text all of whose lines are dropped
+    at the end: the dropped line numbers (an array) and the number of links,
+    named so that they clash with no column.  Other columns are as they are.  NULL text stays NULL; a text all of whose lines are dropped
     is empty; short lines always stay."""
     dropped = dropped_lines(docs, key=key, text=text, max_edits=max_edits, min_chars=min_chars).select(
         F.col("key").alias("__key"), F.col("h").alias("__h"), F.col("dropped").alias("__dropped"), F.col("n_links").alias("__links")
@@ -370,8 +371,8 @@ def dedup_lines(
     fresh = F.when(F.size("__dropped") > 0, F.array_join(lines, "\n")).otherwise(F.col(text))
     return both.select(
         *[fresh.alias(text) if c == text else docs[c] for c in docs.columns],
-        F.coalesce("__dropped", F.array().cast("array<int>")).alias("dropped_lines"),
-        F.coalesce("__links", F.lit(0)).alias("n_links"),
+        F.coalesce("__dropped", F.array().cast("array<int>")).alias(dropped_as),
+        F.coalesce("__links", F.lit(0)).alias(links_as),
     )
 
 
