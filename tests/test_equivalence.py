@@ -9,7 +9,7 @@ from tests.conftest import SF_MID
 from tripscope import registry
 from tripscope.operators import flows, geo, imbalance, od, payments, prepare
 from tripscope.sources import files
-from tripscope.sources.fixtures import trips_raw
+from tripscope.sources.fixtures import RAW_TS_FORMAT, trips_raw
 from tripscope.sources.store import prepared_frame, prepared_trips, zone_table
 
 
@@ -29,12 +29,12 @@ def test_haversine_builtin_equals_udf_to_the_metre(spark):
     _same(a, b)
 
 
-def test_flow_counts_broadcast_merge_and_preaggregated_agree(spark):
+def test_flow_counts_auto_merge_and_flows_agree(spark):
     t, z = prepared_trips(spark, SF_MID), zone_table(spark, SF_MID)
     merge = flows.region_flow_counts(t, z, "merge")
-    bcast = flows.region_flow_counts(t, z, "broadcast")
+    auto = flows.region_flow_counts(t, z, "auto")
     pre = flows.region_flows(t, z).select("pu_borough", "do_borough", "trips")
-    _same(merge, bcast)
+    _same(merge, auto)
     _same(merge, pre)
 
 
@@ -57,11 +57,17 @@ def test_od_one_pass_equals_two_branch_join(spark):
 def test_vendor_count_csv_equals_parquet(spark):
     t = prepared_trips(spark, SF_MID)
     path = registry.raw_csv_path(spark, SF_MID)
-    explicit = files.csv_explicit_scan(spark, path, registry.raw_csv_schema(spark, SF_MID))
+    explicit = files.csv_explicit_scan(spark, path, registry.raw_csv_schema())
     inferred = files.csv_inferred_scan(spark, path)
     parquet = payments.vendor_hourly_count(t, 1)
-    for csv in (explicit, inferred):
-        _same(parquet, payments.vendor_hourly_count(csv.withColumnRenamed("VendorID", "vendor_id"), 1))
+    hours = (payments.hour_of_text(ts_format=RAW_TS_FORMAT), F.hour("tpep_pickup_datetime"))
+    for csv, hour in zip((explicit, inferred), hours):
+        _same(parquet, payments.vendor_hourly_count(csv.withColumnRenamed("VendorID", "vendor_id"), 1, hour))
+
+
+def test_vendor_summary_dataframe_equals_sql(spark):
+    t = prepared_trips(spark, SF_MID)
+    _same(payments.vendor_card_summary(t, 4), payments.vendor_card_summary_sql(t, 4))
 
 
 def test_store_equals_text_preparation(spark):

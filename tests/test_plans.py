@@ -41,6 +41,37 @@ def test_narrow_read_schema(spark):
     plan = plan_text(_q(spark, "vendor_hourly_count"))
     read = [ln for ln in plan.splitlines() if ln.strip().startswith("ReadSchema:")]
     assert read and all("fare_amount" not in ln and "tip_amount" not in ln for ln in read)
+    assert all("string" not in ln for ln in read)
+
+
+def test_durations_are_stored(spark):
+    for key in ("zone_revenue", "payment_mix_by_hour"):
+        read = [ln for ln in plan_text(_q(spark, key)).splitlines() if ln.strip().startswith("ReadSchema:")]
+        assert read and all("pickup_ts" not in ln and "dropoff_ts" not in ln for ln in read), key
+
+
+def test_extremes_are_one_scan(spark):
+    plan = plan_text(_q(spark, "eda_extremes"))
+    assert len([ln for ln in plan.splitlines() if ln.startswith("(") and "Scan parquet" in ln]) == 1
+
+
+def test_no_pinned_partitions(spark):
+    for key in registry.queries():
+        assert "REPARTITION_BY_NUM" not in plan_text(_q(spark, key)), key
+
+
+def test_plans_of_operators_start_no_job(spark):
+    t, z = prepared_trips(spark, SF_MID), zone_table(spark, SF_MID)
+    z.count()
+    tracker, group = spark.sparkContext.statusTracker(), "no-job-while-planning"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        revenue.zone_enrich(t, z)
+        flows.region_flow_counts(t, z, "auto")
+        flows.region_flow_counts(t, z, "merge")
+        assert list(tracker.getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_no_python_in_builtin_paths(spark):
@@ -54,7 +85,7 @@ def test_udf_variant_is_arrow_batched(spark):
     assert "ArrowEvalPython" in plan
 
 
-def test_zone_enrich_broadcasts_checked_dimension(spark):
+def test_zone_enrich_broadcasts_by_the_estimate(spark):
     t, z = prepared_trips(spark, SF_MID), zone_table(spark, SF_MID)
     plan = plan_text(revenue.zone_enrich(t, z))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
@@ -65,6 +96,9 @@ def test_merge_variant_sort_merges(spark):
     plan = plan_text(flows.region_flow_counts(t, z, "merge"))
     nodes = [ln for ln in plan.splitlines() if ln.startswith("(") and "SortMergeJoin" in ln]
     assert len(nodes) == 2
+    # counted per pair of ids below both joins
+    tree = plan.split("\n(")[0]
+    assert tree.rfind("HashAggregate") > tree.rfind("SortMergeJoin") > 0
 
 
 def test_flows_aggregate_before_joining(spark):

@@ -2,8 +2,8 @@
 
 The skewed input is derived from the sf0.01 trips; AQE's size thresholds
 are lowered to this scale so that the cluster-scale behaviour shows:
-the sort-merge variant splits the hot partition (skew join) and gives the
-pre-aggregated answer; the rebalanced write cuts the hot day into several
+the row-level join splits the hot partition (skew join); the sort-merge
+variant of the flows needs no split, for it joins counts; the rebalanced write cuts the hot day into several
 files; the pre-aggregating operators are unaffected by the hot key.
 """
 
@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_MID
-from tripscope.operators import flows, imbalance, prepare
+from tripscope.operators import flows, imbalance, prepare, revenue
 from tripscope.plans.inspect import plan_text
 from tripscope.sources.store import prepared_trips, zone_table
 
@@ -53,13 +53,14 @@ def small_aqe(spark):
             spark.conf.set(k, v)
 
 
-def test_merge_join_splits_hot_zone(spark, skewed, small_aqe):
+def test_merge_join_needs_no_split(spark, skewed, small_aqe):
     z = zone_table(spark, SF_MID)
     merged = flows.region_flow_counts(skewed, z, "merge")
     rows = merged.collect()
     plan = plan_text(merged)
     assert "isFinalPlan=true" in plan
-    assert "isSkewJoin=true" in plan or "skew=true" in plan
+    # pairs of ids are counted first, so the hot zone is a few rows
+    assert "isSkewJoin=true" not in plan and "skew=true" not in plan
     pre = flows.region_flows(skewed, z).select("pu_borough", "do_borough", "trips")
     assert sorted(map(tuple, rows)) == sorted(map(tuple, pre.collect()))
     hot_borough = z.where(F.col("LocationID") == HOT_ZONE).collect()[0].Borough
@@ -67,6 +68,13 @@ def test_merge_join_splits_hot_zone(spark, skewed, small_aqe):
     assert hot_share > 0.6
 
 
+def test_row_level_join_splits_hot_zone(spark, skewed, small_aqe):
+    z = zone_table(spark, SF_MID).hint("merge")
+    named = revenue.zone_enrich(skewed.select("l_orderkey", "pu_location_id", "total_amount"), z)
+    assert len(named.collect()) == skewed.join(z, F.col("pu_location_id") == F.col("LocationID")).count()
+    assert "skew=true" in plan_text(named) or "isSkewJoin=true" in plan_text(named)
+
+
 def test_rebalanced_write_splits_hot_day(spark, skewed, small_aqe, tmp_path):
     out = str(tmp_path / "skewed")
     prepare.write_partitioned(skewed, out)

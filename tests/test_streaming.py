@@ -12,7 +12,7 @@ from tripscope.streaming import start_prepare_stream
 
 def test_stream_prepare_equals_batch(spark, tmp_path):
     src = registry.raw_csv_path(spark, SF_SMALL)
-    schema = registry.raw_csv_schema(spark, SF_SMALL)
+    schema = registry.raw_csv_schema()
     out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
     q = start_prepare_stream(spark, src, schema, out, ckpt, max_files_per_trigger=2)
     q.awaitTermination(300)

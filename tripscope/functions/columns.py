@@ -46,6 +46,18 @@ def duration_seconds(pickup: str | Column = "pickup_ts", dropoff: str | Column =
     return F.timestamp_diff("SECOND", col_of(pickup), col_of(dropoff))
 
 
+def stored_seconds(columns: Iterable[str]) -> Column:
+    """Duration in whole seconds: the stored column where preparation left
+    one (then a scan needs neither timestamp), else from the timestamps."""
+    return F.col("duration_seconds") if "duration_seconds" in columns else duration_seconds()
+
+
+def zone_role(zones, prefix: str):
+    """The zone dimension under one role: {prefix}_id, _borough, _zone."""
+    names = {"LocationID": "id", "Borough": "borough", "Zone": "zone"}
+    return zones.select(*[F.col(c).alias(f"{prefix}_{n}") for c, n in names.items()])
+
+
 def time_band(hour: str | Column = "pickup_hour") -> Column:
     h = col_of(hour)
     expr = None
@@ -80,11 +92,8 @@ def present_columns(columns: Iterable[str], candidates: Sequence[str]) -> list[s
 
 def total_surcharges(columns: Iterable[str], candidates: Sequence[str] = SURCHARGE_CANDIDATES) -> Column:
     """Sum of the present surcharge columns, NULL counted as 0."""
-    found = present_columns(columns, candidates)
-    expr = F.lit(0)
-    for c in found:
-        expr = expr + F.coalesce(F.col(c), F.lit(0))
-    return expr
+    amounts = [F.nvl(F.col(c), F.lit(0)) for c in present_columns(columns, candidates)]
+    return sum(amounts[1:], amounts[0]) if amounts else F.lit(0)
 
 
 def airport_flag(

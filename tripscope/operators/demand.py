@@ -16,7 +16,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripscope.functions.columns import duration_seconds, mean, ratio, time_band
+from tripscope.functions.columns import mean, ratio, stored_seconds, time_band
 from tripscope.operators.quality import demand_window, quality_filter
 
 # The reference's personal window: days 20-22, hours 3-6.
@@ -47,7 +47,7 @@ def _profile(
     order: Iterable[Column] | None = None,
     approx_rsd: float | None = None,
 ) -> DataFrame:
-    dur = duration_seconds()
+    dur = stored_seconds(trips.columns)
     if null_as_zero:
         # The reference's row-function form: a NULL measure counts as 0 in
         # the mean (every row is in the denominator); zone 0 and NULL are

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tripscope.functions.columns import mean
 
@@ -24,30 +23,18 @@ def eda_schema(df: DataFrame) -> DataFrame:
     )
 
 
-def _stddev_samp(df: DataFrame, c: str):
-    """Sample standard deviation.  For a DECIMAL column it is exact up to
-    the last step: n*sum(x^2) - sum(x)^2 is summed exactly in decimal, then
-    one division and one (correctly rounded) square root in double - the
-    same bits on any engine and partitioning.  Other types use the
-    streaming ``stddev_samp``."""
-    x = F.col(c)
-    if isinstance(df.schema[c].dataType, T.DecimalType):
-        n = F.count(x)
-        num = (n * F.sum(x * x) - F.sum(x) * F.sum(x)).cast("double")
-        den = (n * (n - 1)).cast("double")
-        return F.sqrt(F.try_divide(num, den))
-    return F.stddev_samp(x.cast("double"))
-
-
 def eda_describe(df: DataFrame, cols: Sequence[str] = ("trip_distance", "total_amount")) -> DataFrame:
-    """Per column: n (non-null), mean, sample stddev, min, max - doubles."""
+    """Per column: n (non-null), mean, sample stddev, min, max - doubles.
+    The deviation is Spark's streaming ``stddev_samp`` over doubles: sums of
+    squares in DECIMAL overflow on large input; it holds about the digits
+    that a streaming form can, so show it rounded."""
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c)
         aggs += [
             F.count(x).alias(f"n{i}"),
             mean(x).alias(f"mean{i}"),
-            _stddev_samp(df, c).alias(f"sd{i}"),
+            F.stddev_samp(x.cast("double")).alias(f"sd{i}"),
             F.min(x).cast("double").alias(f"min{i}"),
             F.max(x).cast("double").alias(f"max{i}"),
         ]
@@ -83,14 +70,13 @@ def eda_extremes(
     df: DataFrame, max_col: str = "trip_distance", min_col: str = "total_amount"
 ) -> DataFrame:
     """The row with the largest ``max_col`` and the one with the smallest
-    ``min_col`` (ties broken by the other column, descending), tagged."""
-    cols = [F.col(max_col).cast("double").alias(max_col), F.col(min_col).cast("double").alias(min_col)]
-    longest = (
-        df.select(*cols).orderBy(F.desc(max_col), F.desc(min_col)).limit(1)
-        .select(F.lit("max_" + max_col).alias("kind"), max_col, min_col)
+    ``min_col`` (ties broken by the other column, descending; NULLs do not
+    count), tagged: one aggregate over one scan, unpivoted."""
+    hi, lo = F.col(max_col).cast("double"), F.col(min_col).cast("double")
+    one = df.agg(
+        F.max(F.when(hi.isNotNull(), F.struct(hi.alias("hi"), lo.alias("lo")))).alias("top"),
+        F.min(F.when(lo.isNotNull(), F.struct(lo.alias("lo"), (-hi).alias("hi")))).alias("low"),
     )
-    lowest = (
-        df.select(*cols).orderBy(F.asc(min_col), F.desc(max_col)).limit(1)
-        .select(F.lit("min_" + min_col).alias("kind"), max_col, min_col)
+    return one.selectExpr(
+        f"stack(2, 'max_{max_col}', top.hi, top.lo, 'min_{min_col}', -low.hi, low.lo) AS (kind, {max_col}, {min_col})"
     )
-    return longest.unionByName(lowest)

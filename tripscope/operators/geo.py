@@ -20,7 +20,7 @@ from tripscope.functions.columns import (
     maybe_round,
     ratio,
 )
-from tripscope.functions.udfs import haversine_pandas_udf
+from tripscope.functions.udfs import haversine_arrow_udf
 from tripscope.operators.quality import geo_valid_filter
 
 COORDS = ("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")
@@ -61,7 +61,7 @@ def haversine_udf(
     radius: float = EARTH_RADIUS_KM,
 ) -> DataFrame:
     """The same distance computed by a pandas UDF (NULL if any input is NULL)."""
-    udf = haversine_pandas_udf(radius)
+    udf = haversine_arrow_udf(radius)
     return df.withColumn("haversine_km", udf(F.col(lat1), F.col(lon1), F.col(lat2), F.col(lon2)))
 
 

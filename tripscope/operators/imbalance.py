@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripscope.functions.columns import zone_role
 from tripscope.operators.quality import activity_filter
 
 OUT = [
@@ -92,10 +93,8 @@ def _metrics(counts: DataFrame, zones: DataFrame, min_activity: int, digits: int
     else:
         m = m.withColumn("imbalance_ratio", rounded_ratio(F.col("net_pickups"), F.col("activity"), digits))
         m = m.withColumn("abs_imbalance_ratio", F.abs("imbalance_ratio"))
-    z = zones.select(
-        F.col("LocationID").alias("_zone_id"), F.col("Borough").alias("borough"), F.col("Zone").alias("zone")
-    )
-    named = m.where(F.col("activity") >= min_activity).join(z, F.col("location_id") == F.col("_zone_id"))
+    z = zone_role(zones, "of").withColumnsRenamed({"of_borough": "borough", "of_zone": "zone"})
+    named = m.where(F.col("activity") >= min_activity).join(z, F.col("location_id") == F.col("of_id"))
     return named.select(*OUT)
 
 

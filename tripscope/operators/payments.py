@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripscope.functions.columns import PAYMENT_LABELS, duration_seconds, maybe_round, mean, ratio
+from tripscope.functions.columns import PAYMENT_LABELS, maybe_round, mean, ratio, stored_seconds
 
 CARD, CASH = 1, 2
 
@@ -46,7 +46,7 @@ def payment_mix_by_hour(
     prints (2 or 4); ``rate_digits`` rounds only the mean of per-trip
     ratios, the one measure that is not a ratio of exact sums."""
     t = _paid_trips(trips, with_duration=True)
-    dur = duration_seconds()
+    dur = stored_seconds(trips.columns)
     g = t.groupBy("pickup_hour", "payment_type").agg(
         F.count(F.lit(1)).alias("trips"),
         mean("fare_amount").alias("avg_fare_amount"),
@@ -118,16 +118,40 @@ def vendor_card_summary(trips: DataFrame, rate_digits: int | None = None) -> Dat
     return g.select("vendor_id", "card_share", "avg_tip_rate_card").orderBy("vendor_id")
 
 
-def vendor_hourly_count(
-    trips: DataFrame, vendor: int = 1, ts_col: str = "tpep_pickup_datetime"
-) -> DataFrame:
-    """Trips per pick-up hour of one vendor.  The hour is taken from the
-    text timestamp cast to a timestamp, so Parquet and CSV copies (typed or
-    inferred) give the same answer."""
-    hour = F.hour(F.col(ts_col).cast("timestamp")).alias("pickup_hour")
+#: The vendor summary as SQL text; ``{trips}`` is a DataFrame argument.
+VENDOR_CARD_SQL = """
+SELECT vendor_id,
+       CAST(count_if(payment_type = 1) AS DOUBLE) / count(*) AS card_share,
+       round(try_divide(
+         sum(CASE WHEN payment_type = 1 THEN CAST(tip_amount AS DOUBLE) / CAST(fare_amount AS DOUBLE) END),
+         count(CASE WHEN payment_type = 1 THEN CAST(tip_amount AS DOUBLE) / CAST(fare_amount AS DOUBLE) END)),
+         :digits) AS avg_tip_rate_card
+FROM {trips}
+WHERE trip_distance > 0 AND fare_amount > 0 AND total_amount > 0
+  AND payment_type IN (1, 2) AND pickup_hour IS NOT NULL
+GROUP BY vendor_id
+ORDER BY vendor_id
+"""
+
+
+def vendor_card_summary_sql(trips: DataFrame, rate_digits: int = 4) -> DataFrame:
+    """``vendor_card_summary`` through the SQL surface."""
+    return trips.sparkSession.sql(VENDOR_CARD_SQL, args={"digits": rate_digits}, trips=trips)
+
+
+def vendor_hourly_count(trips: DataFrame, vendor: int = 1, hour: str | Column = "pickup_hour") -> DataFrame:
+    """Trips per pick-up hour of one vendor.  ``hour`` is the stored column,
+    or an expression for raw rows (``hour_of_text``); rows without an hour
+    (an unreadable time) do not count, as preparation drops them."""
     return (
         trips.where(F.col("vendor_id") == vendor)
-        .groupBy(hour)
+        .groupBy((F.col(hour) if isinstance(hour, str) else hour).alias("pickup_hour"))
         .agg(F.count(F.lit(1)).alias("trips"))
+        .where(F.col("pickup_hour").isNotNull())
         .orderBy("pickup_hour")
     )
+
+
+def hour_of_text(column: str = "tpep_pickup_datetime", ts_format: str | None = None) -> Column:
+    """Hour of a text timestamp; NULL where it does not parse."""
+    return F.hour(F.try_to_timestamp(F.col(column), *([F.lit(ts_format)] if ts_format else [])))

@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripscope.functions.columns import KM_PER_MILE
+from tripscope.functions.columns import KM_PER_MILE, duration_seconds
 from tripscope.sources.fixtures import RAW_RENAMES, RAW_TS_FORMAT
 
 Years = int | tuple[int, int] | None
@@ -76,15 +76,14 @@ def prepare_trips(
 
 def enrich_trips(df: DataFrame) -> DataFrame:
     """The columns preparation derives from typed ``pickup_ts`` and
-    ``dropoff_ts``: date, hour, duration in minutes, km, day of month."""
+    ``dropoff_ts``: date, hour, duration in whole seconds and in minutes, km,
+    day of month."""
     return df.withColumns(
         {
             "pickup_date": F.to_date("pickup_ts"),
             "pickup_hour": F.hour("pickup_ts"),
-            "duration_minutes": (
-                F.col("dropoff_ts").cast("long") - F.col("pickup_ts").cast("long")
-            )
-            / F.lit(60.0),
+            "duration_seconds": duration_seconds(),
+            "duration_minutes": duration_seconds() / F.lit(60.0),
             "trip_distance_km": F.col("trip_distance") * F.lit(KM_PER_MILE),
             "pickup_day": F.dayofmonth("pickup_ts"),
         }
@@ -153,7 +152,8 @@ def partitioned_roundtrip(
     days: Iterable[int] | None = None,
     files_per_value: int | None = None,
 ) -> DataFrame:
-    """Write ``df`` partitioned, read it back, keep ``days``."""
+    """Write ``df`` partitioned, read it back, keep ``days``.  ``path`` should
+    be the call's own: frames over an overwritten path lose their files."""
     write_partitioned(df, path, by, files_per_value)
     back = df.sparkSession.read.parquet(path)
     return read_days(back, days, by[0])

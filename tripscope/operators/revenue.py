@@ -19,13 +19,13 @@ from tripscope.functions.columns import (
     DISTANCE_LABELS,
     SURCHARGE_CANDIDATES,
     distance_bucket as bucket_expr,
-    duration_seconds,
     maybe_round,
     ratio,
+    stored_seconds,
     total_surcharges as surcharge_expr,
+    zone_role,
 )
 from tripscope.operators.quality import fare_quality_filter
-from tripscope.plans.joins import sized_broadcast
 
 GROUP = ["pickup_borough", "pickup_zone", "distance_bucket"]
 
@@ -50,15 +50,11 @@ def zone_enrich(
     prefix: str = "pickup",
 ) -> DataFrame:
     """Trips with the borough and zone of ``id_col`` (inner join: trips of
-    unknown zones drop).  A row-level join, so the dimension is broadcast
-    behind a proven row bound and the fact table is not shuffled."""
-    z = zones.select(
-        F.col("LocationID").alias("_zone_id"),
-        F.col("Borough").alias(f"{prefix}_borough"),
-        F.col("Zone").alias(f"{prefix}_zone"),
-    )
-    joined = trips.join(sized_broadcast(z), F.col(id_col) == F.col("_zone_id"))
-    return joined.drop("_zone_id")
+    unknown zones drop).  A row-level join; how is left to the planner's
+    estimate of the dimension's bytes and to adaptive execution: a small one
+    is broadcast, a large one sort-merged with hot zones split."""
+    z = zone_role(zones, prefix).withColumnRenamed(f"{prefix}_id", "_zone_id")
+    return trips.join(z, F.col(id_col) == F.col("_zone_id")).drop("_zone_id")
 
 
 def total_surcharges(
@@ -72,7 +68,7 @@ def _id_bucket_sums(
     trips: DataFrame, edges: Sequence[float], candidates: Sequence[str]
 ) -> DataFrame:
     t = fare_quality_filter(trips)
-    dur = duration_seconds()
+    dur = stored_seconds(t.columns)
     return t.groupBy(
         "pu_location_id", bucket_expr("trip_distance", edges).alias("distance_bucket")
     ).agg(
@@ -98,12 +94,7 @@ def zone_revenue(
     totals), revenue, mean total, revenue per mile and per minute (ratios
     of sums), mean fare, mean tip, surcharge share of revenue."""
     sums = _id_bucket_sums(trips, edges, candidates)
-    z = zones.select(
-        F.col("LocationID").alias("_zone_id"),
-        F.col("Borough").alias("pickup_borough"),
-        F.col("Zone").alias("pickup_zone"),
-    )
-    named = sums.join(z, F.col("pu_location_id") == F.col("_zone_id"))
+    named = sums.join(zone_role(zones, "pickup"), F.col("pu_location_id") == F.col("pickup_id"))
     s_total = F.sum("s_total")
     return named.groupBy(*GROUP).agg(
         F.sum("n_total").alias("trips"),

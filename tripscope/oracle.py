@@ -12,6 +12,12 @@ that rounds to zero (-0.0); ``+ 0.0`` turns it into the 0.0 Spark gives.
 
 from __future__ import annotations
 
+from tripscope.sources.fixtures import (
+    BAD_TIME, DAMAGED_DROPOFF, DAMAGED_PASSENGERS, DAMAGED_PICKUP, KEY_COLUMNS, RAW_COLUMNS,
+)
+from tripscope.sources.tables import DRIVER_TABLES
+from tripscope.sources.views import GEO_KEYS
+
 FIXTURE_CTES = """
 zones AS (
   SELECT CAST(n_nationkey AS INTEGER) AS LocationID,
@@ -99,15 +105,7 @@ def _mean(c: str, where: str | None = None) -> str:
     return f"CAST(SUM({c}){f} AS DOUBLE) / NULLIF(COUNT({c}){f}, 0)"
 
 
-KEYS = [("l_orderkey", "", "BIGINT"), ("l_linenumber", "", "INTEGER"), ("l_partkey", "", "BIGINT")]
-GEO_KEYS = KEYS + [("pickup_ts", "", "TIMESTAMP"), ("dropoff_ts", "", "TIMESTAMP"), ("trip_distance", "", "DOUBLE")]
-
-RAW_COLS = [
-    "l_orderkey", "l_linenumber", "l_partkey", "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime",
-    "passenger_count", "trip_distance", "PULocationID", "DOLocationID", "payment_type", "fare_amount",
-    "tip_amount", "extra", "tolls_amount", "Airport_fee", "total_amount", "pickup_latitude",
-    "pickup_longitude", "dropoff_latitude", "dropoff_longitude",
-]
+KEYS = list(KEY_COLUMNS)
 RAW_SOURCE = {"VendorID": "vendor_id", "PULocationID": "pu_location_id", "DOLocationID": "do_location_id"}
 RAW_EXPLICIT = {
     "l_orderkey": "BIGINT", "l_linenumber": "BIGINT", "l_partkey": "BIGINT", "VendorID": "INTEGER",
@@ -123,7 +121,7 @@ RAW_INFERRED = {
 
 def _raw_select(types: dict[str, str]) -> str:
     return ", ".join(
-        f"CAST({RAW_SOURCE.get(c, c)} AS {types.get(c, 'DOUBLE')}) AS {c}" for c in RAW_COLS
+        f"CAST({RAW_SOURCE.get(c, c)} AS {types.get(c, 'DOUBLE')}) AS {c}" for c in RAW_COLUMNS
     )
 
 
@@ -261,31 +259,45 @@ def _card_cash(rate_digits: int) -> str:
           {rate_digits}) AS avg_tip_rate_card"""
 
 
+def _hit(rule: tuple[str, int]) -> str:
+    return f"{rule[0]} % {rule[1]} = 0"
+
+
+# The raw rows with their damaged cells; a count that is no number reads as NULL.
+DAMAGED = f"""damaged AS (SELECT * REPLACE (
+    CASE WHEN {_hit(DAMAGED_PICKUP)} THEN '{BAD_TIME}' ELSE tpep_pickup_datetime END AS tpep_pickup_datetime,
+    CASE WHEN {_hit(DAMAGED_DROPOFF)} THEN NULL ELSE tpep_dropoff_datetime END AS tpep_dropoff_datetime,
+    CASE WHEN {_hit(DAMAGED_PASSENGERS)} THEN NULL ELSE passenger_count END AS passenger_count),
+    NOT ({_hit(DAMAGED_PICKUP)} OR {_hit(DAMAGED_DROPOFF)}) AS readable
+  FROM prepared)"""
+
+
 def _sql(p: dict) -> dict[str, str]:
     q: dict[str, str] = {}
     W = with_fixture
     view = _view
+    keep = f"readable AND year(pickup_ts) BETWEEN {p['prepare_years'][0]} AND {p['prepare_years'][1]}"
 
     # A. ingest
-    q["csv_explicit_scan"] = W() + f"SELECT {_raw_select(RAW_EXPLICIT)} FROM prepared"
+    q["csv_explicit_scan"] = W(DAMAGED) + f"SELECT {_raw_select(RAW_EXPLICIT)} FROM damaged"
     q["csv_inferred_scan"] = W() + f"SELECT {_raw_select(RAW_INFERRED)} FROM prepared"
-    q["prepare_trips"] = W() + f"SELECT {view(_trip_view(coords=True, text_ts=True))} FROM prepared t"
+    q["prepare_trips"] = W(DAMAGED) + f"SELECT {view(_trip_view(coords=True, text_ts=True))} FROM damaged t WHERE {keep}"
     days = ", ".join(str(d) for d in p["roundtrip_days"])
     q["partitioned_roundtrip"] = W() + f"SELECT {view(_trip_view())} FROM prepared t WHERE pickup_day IN ({days})"
-    q["prepare_metrics"] = W() + """SELECT CAST(COUNT(*) AS BIGINT) AS raw_rows,
-  CAST(COUNT(*) FILTER (WHERE pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL) AS BIGINT) AS processed_rows,
-  CAST(COUNT(*) - COUNT(*) FILTER (WHERE pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL) AS BIGINT) AS dropped_rows
-FROM prepared"""
+    q["prepare_metrics"] = W(DAMAGED) + f"""SELECT CAST(COUNT(*) AS BIGINT) AS raw_rows,
+  CAST(COUNT(*) FILTER (WHERE {keep}) AS BIGINT) AS processed_rows,
+  CAST(COUNT(*) - COUNT(*) FILTER (WHERE {keep}) AS BIGINT) AS dropped_rows
+FROM damaged"""
+    q["source_inventory"] = "\nUNION ALL\n".join(
+        f"SELECT '{t}.parquet' AS file_name, CAST(COUNT(*) AS BIGINT) AS rows FROM {t}" for t in DRIVER_TABLES
+    )
 
     # B. exploration
-    def describe(c: str, exact: bool) -> str:
-        w = f"CAST({c} AS DECIMAL(38, 4))"
-        sd = (f"sqrt(CAST(COUNT({c}) * SUM({w} * {w}) - SUM({w}) * SUM({w}) AS DOUBLE) / "
-              f"CAST(COUNT({c}) * (COUNT({c}) - 1) AS DOUBLE))") if exact else f"stddev_samp(CAST({c} AS DOUBLE))"
+    def describe(c: str) -> str:
         return (f"SELECT '{c}' AS column_name, CAST(COUNT({c}) AS BIGINT) AS n, {_mean(c)} AS mean, "
-                f"ROUND({sd}, {p['stddev_digits']}) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
+                f"ROUND(stddev_samp(CAST({c} AS DOUBLE)), {p['stddev_digits']}) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
                 f"CAST(MAX({c}) AS DOUBLE) AS max FROM prepared")
-    q["eda_describe"] = W() + describe("trip_distance", False) + "\nUNION ALL\n" + describe("total_amount", True)
+    q["eda_describe"] = W() + describe("trip_distance") + "\nUNION ALL\n" + describe("total_amount")
     nulls = ", ".join(
         f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}"
         for c, _, _ in _trip_view(coords=True, text_ts=True)

@@ -8,6 +8,9 @@ With a schema, a malformed cell becomes NULL (PERMISSIVE mode).
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +41,17 @@ TRIPS_RAW_2024_SCHEMA = T.StructType(
 )
 
 
+# The coordinate file of the speed and detour job: its own declared schema
+# (fixed values of the reference's coordinate columns), never inferred.
+TRIPS_COORDINATES_SCHEMA = T.StructType(
+    [
+        T.StructField(f"{side}_{axis}", T.DoubleType())
+        for side in ("pickup", "dropoff")
+        for axis in ("latitude", "longitude")
+    ]
+)
+
+
 def csv_explicit_scan(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV with a header under ``schema`` (columns by position); a cell
     that does not parse under its type becomes NULL."""
@@ -50,34 +64,27 @@ def csv_inferred_scan(spark: SparkSession, path: str, sampling_ratio: float = 1.
     return spark.read.csv(path, header=True, inferSchema=True, samplingRatio=sampling_ratio)
 
 
-def raw_schema_for(columns: list[str], base: T.StructType = TRIPS_RAW_2024_SCHEMA) -> T.StructType:
-    """The raw schema restricted to ``columns``, in their order; columns
-    the base schema does not know are taken as double (amounts, coordinates)
-    or bigint (keys, ``l_*``)."""
-    known = {f.name: f for f in base.fields}
-    fields = []
-    for c in columns:
-        if c in known:
-            fields.append(known[c])
-        elif c.startswith("l_"):
-            fields.append(T.StructField(c, T.LongType()))
-        else:
-            fields.append(T.StructField(c, T.DoubleType()))
-    return T.StructType(fields)
+def schema_of(columns: Iterable[str], *declared: T.StructType) -> T.StructType:
+    """The fields of ``columns``, in their order, from the first declared
+    schema that has them; a column that none declares is an error."""
+    known = {f.name: f for schema in reversed(declared) for f in schema.fields}
+    return T.StructType([known[c] for c in columns])
 
 
-def source_inventory(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """file_name, file_size, rows of every file under ``path``.
+def source_inventory(spark: SparkSession, *paths: str, fmt: str = "parquet") -> DataFrame:
+    """file_name, file_size, rows of every file under ``paths``.
 
     The counts come from one distributed scan of the file metadata
     columns; for Parquet only the footers are read.
     """
-    df = spark.read.format(fmt).load(path)
-    return (
-        df.select(
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("_metadata.file_size").alias("file_size"),
+    files = [
+        spark.read.format(fmt).load(p).select(
+            F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size")
         )
+        for p in paths
+    ]
+    return (
+        reduce(DataFrame.unionByName, files)
         .groupBy("file_name", "file_size")
         .agg(F.count(F.lit(1)).alias("rows"))
         .orderBy("file_name")

@@ -18,11 +18,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripscope.sources.tables import read_table
 
 # Bump when the layout below changes: prepared tables are keyed by it.
-FIXTURE_VERSION = 1
+FIXTURE_VERSION = 2
+#: Driver tables the layout reads.
+INPUT_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 
 # Fixed values of the data spec (FIXTURES.md section 3): key multipliers,
 # moduli, offsets and the renamed zones.
@@ -85,14 +88,6 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     supplier = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
 
-    # Line items hashed on the order key: the partitioning the sort-merge
-    # join with orders needs at cluster scale (so no extra exchange there),
-    # and parallelism when the table arrives as a few large splits.  An
-    # explicit count keeps AQE from collapsing it on small inputs.
-    # The merge hint keeps the planner from broadcasting the (fact) line
-    # items when their size estimate happens to be small.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    li = li.repartition(n, "l_orderkey").hint("merge")
     oc = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     joined = li.join(oc, F.col("l_orderkey") == F.col("o_orderkey")).join(
         supplier, F.col("l_suppkey") == F.col("s_suppkey")
@@ -174,6 +169,14 @@ def text_timestamps(df: DataFrame, ts_format: str = RAW_TS_FORMAT) -> DataFrame:
     )
 
 
+# Names and types of the keys that ride along (column, Spark, DuckDB).
+KEY_COLUMNS = (("l_orderkey", "bigint", "BIGINT"), ("l_linenumber", "int", "INTEGER"), ("l_partkey", "bigint", "BIGINT"))
+
+# Damaged cells of a raw file, by key: an unreadable pick-up time, a missing
+# drop-off time, a passenger count that is no number.
+DAMAGED_PICKUP, DAMAGED_DROPOFF, DAMAGED_PASSENGERS = ("l_orderkey", 97), ("l_partkey", 89), ("l_partkey", 83)
+BAD_TIME, BAD_COUNT = "not a time", "two"
+
 # Column order of the raw trips (and of their CSV copy).
 RAW_COLUMNS = (
     "l_orderkey", "l_linenumber", "l_partkey", "VendorID", "tpep_pickup_datetime",
@@ -203,3 +206,20 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = t.select(*cols)
     assert tuple(raw.columns) == RAW_COLUMNS
     return raw
+
+
+# Types of the line-item keys in a raw file (they are no taxi columns).
+KEYS_SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c, _, _ in KEY_COLUMNS])
+
+
+def trips_raw_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``trips_raw`` with the damaged cells; passenger counts are text, as a
+    file holds them."""
+    hit = lambda rule: F.col(rule[0]) % rule[1] == 0
+    return trips_raw(spark, sf_dir).withColumns(
+        {
+            "tpep_pickup_datetime": F.when(hit(DAMAGED_PICKUP), F.lit(BAD_TIME)).otherwise(F.col("tpep_pickup_datetime")),
+            "tpep_dropoff_datetime": F.when(~hit(DAMAGED_DROPOFF), F.col("tpep_dropoff_datetime")),
+            "passenger_count": F.when(hit(DAMAGED_PASSENGERS), F.lit(BAD_COUNT)).otherwise(F.col("passenger_count").cast("string")),
+        }
+    )

@@ -1,16 +1,25 @@
-"""The prepared trip table: written once, read by every query.
+"""Tables derived from the driver tables: written once per state of the input.
 
 This is the reference's own model (prepare the raw file into Parquet
-partitioned by day of month, then query the Parquet), with the table kept
+partitioned by day of month, then query the Parquet), with the tables kept
 in the shared folder the session names (``tripscope.session.shared_dir``).
-A table is reused only if its ``_SUCCESS`` marker exists, i.e. its write
-job committed; a half-written one is overwritten.
+
+A table belongs to a state of its input: the paths, sizes and modification
+times of all input files, the session's time zone (hours are stored) and the
+code that lays it out.  Other input, other table: a changed file is never
+answered from an old table, not even within a session.  Each build writes to
+a folder of its own and is published, by a pointer in a folder of its own,
+after its job has committed; of builds made at the same time by several
+applications all are whole and alike, and the first by name is read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import importlib.util
 import threading
+import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,47 +27,78 @@ from pyspark.sql import functions as F
 
 from tripscope.operators.prepare import enrich_trips, prepare_trips, write_partitioned
 from tripscope.session import shared_dir
-from tripscope.sources.fixtures import FIXTURE_VERSION, text_timestamps, trips, trips_raw, zones
+from tripscope.sources.fixtures import FIXTURE_VERSION, INPUT_TABLES, text_timestamps, trips, trips_raw, zones
+from tripscope.sources.tables import table_path
 
 PARTITION_COLUMN = "pickup_day"
+LAYOUT_MODULES = ("tripscope.sources.fixtures", "tripscope.operators.prepare", "tripscope.sources.store")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True if ``path`` exists (file or folder), on any file system the
-    session reads.  Creating a reader over the path lists it (no job runs);
-    a missing path raises at that point."""
-    try:
-        spark.read.format("text").load(path)
-        return True
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return False
-        raise
+def _layout_version() -> str:
+    """Fixture version plus a digest of the modules that define what the
+    stored tables hold (read by their loaders: the package may be a zip)."""
+    h = hashlib.sha1(str(FIXTURE_VERSION).encode())
+    for name in LAYOUT_MODULES:
+        h.update(importlib.util.find_spec(name).loader.get_source(name).encode())
+    return f"v{FIXTURE_VERSION}-{h.hexdigest()[:10]}"
 
 
-def _slug(sf_dir: str) -> str:
-    digest = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    tail = sf_dir.rstrip("/").rsplit("/", 1)[-1]
-    return f"{tail}-{digest}"
+def input_digest(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the input files' paths, sizes and modification times: one
+    small job over the file listing (contents are not read), in any order."""
+    files = spark.read.format("binaryFile").load([table_path(sf_dir, t) for t in INPUT_TABLES])
+    one = F.xxhash64("path", "length", "modificationTime")
+    got = files.agg(F.count("*"), F.bit_xor(one), F.bit_xor(F.xxhash64(one))).first()
+    return hashlib.sha1(repr(tuple(got)).encode()).hexdigest()[:16]
 
 
-def _layout_version() -> str:
-    """Fixture version plus a digest of the modules that define what the
-    stored tables hold: a table written by other code is never reused."""
-    import tripscope.operators.prepare as prep_mod
-    import tripscope.sources.fixtures as fix_mod
+def state_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the tables that belong to the input as it is now."""
+    zone = spark.conf.get("spark.sql.session.timeZone").replace("/", "-")
+    return f"{shared_dir(spark)}/tripscope/{_layout_version()}/{input_digest(spark, sf_dir)}-{zone}"
 
-    h = hashlib.sha1(str(FIXTURE_VERSION).encode())
-    for mod in (fix_mod, prep_mod):
-        with open(mod.__file__, "rb") as fh:
-            h.update(fh.read())
-    with open(__file__, "rb") as fh:
-        h.update(fh.read())
-    return f"v{FIXTURE_VERSION}-{h.hexdigest()[:10]}"
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path that nothing else writes to."""
+    return f"{shared_dir(spark)}/tripscope/results/{name}-{uuid.uuid4().hex}"
+
+
+def _published(spark: SparkSession, folder: str) -> str | None:
+    try:
+        found = spark.read.text(f"{folder}/published-*").agg(F.min("value")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return found
+
+
+# Paths of tables known to be whole, and frames over them (reusing a frame
+# reuses its file index and plan).  Keyed by the state of the input.
+_PATHS: dict[tuple[str, str], str] = {}
+_FRAMES: dict[tuple[str, str], DataFrame] = {}
+# One build at a time in a process.
+BUILD_LOCK = threading.RLock()
 
 
-def store_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    return f"{shared_dir(spark)}/tripscope/{_layout_version()}/{_slug(sf_dir)}/{name}"
+def built_table(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], None], rebuild: bool = False, state: str | None = None
+) -> str:
+    """Path of the derived table ``name``; ``build(path)`` writes it if no
+    build for the input as it is now has been published (or on ``rebuild``,
+    to a new path: frames over the old one stay readable)."""
+    folder = f"{state or state_path(spark, sf_dir)}/{name}"
+    key = (spark.sparkContext.applicationId, folder)
+    with BUILD_LOCK:
+        if rebuild or key not in _PATHS:
+            path = None if rebuild else _published(spark, folder)
+            if path is None:
+                one = uuid.uuid4().hex
+                path = f"{folder}/build-{one}"
+                build(path)
+                spark.createDataFrame([(path,)], "value string").coalesce(1).write.text(f"{folder}/published-{one}")
+            _PATHS[key] = path
+        return _PATHS[key]
 
 
 def prepared_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,60 +112,42 @@ def prepared_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_trips(t).select(*prepare_trips(trips_raw(spark, sf_dir)).columns)
 
 
-def build_prepared_trips(spark: SparkSession, sf_dir: str, path: str, files_per_day: int | None = None) -> None:
-    """Prepare the trips of ``sf_dir`` and write them to ``path``."""
-    write_partitioned(
-        prepared_frame(spark, sf_dir),
-        path,
-        by=[PARTITION_COLUMN],
-        files_per_value=files_per_day,
-    )
-
-
-# Source frames per (application, sf_dir, name): reusing one DataFrame
-# reuses its file index and analysed plan, so a query does not re-list the
-# table's directories or re-read footers.  Only read-only inputs live here.
-_FRAMES: dict[tuple[str, str, str], DataFrame] = {}
-# One build at a time: two threads of a session must not both write a path.
-BUILD_LOCK = threading.RLock()
+def _framed(spark: SparkSession, place: str, make: Callable[[], DataFrame]) -> DataFrame:
+    key = (spark.sparkContext.applicationId, place)
+    with BUILD_LOCK:
+        if key not in _FRAMES:
+            _FRAMES[key] = make()
+        return _FRAMES[key]
 
 
-def _memo(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    df = _FRAMES.get(key)
-    if df is None:
-        with BUILD_LOCK:
-            df = _FRAMES.get(key)
-            if df is None:
-                df = _FRAMES[key] = make()
-    return df
-
-
-def prepared_trips(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
-    """The prepared trips of ``sf_dir`` (26 reference columns + keys and
-    coordinates), partitioned by ``pickup_day``."""
-    path = store_path(spark, sf_dir, "trips")
-    if rebuild:
-        _FRAMES.pop((spark.sparkContext.applicationId, sf_dir.rstrip("/"), "trips"), None)
-
-    def make() -> DataFrame:
-        if rebuild or not path_exists(spark, f"{path}/_SUCCESS"):
-            build_prepared_trips(spark, sf_dir, path)
-        return spark.read.parquet(path)
-
-    return _memo(spark, sf_dir, "trips", make)
+def prepared_trips(spark: SparkSession, sf_dir: str, rebuild: bool = False, state: str | None = None) -> DataFrame:
+    """The prepared trips of ``sf_dir`` (26 reference columns + keys,
+    coordinates and whole-second durations), partitioned by ``pickup_day``."""
+    path = built_table(
+        spark, sf_dir, "trips",
+        lambda path: write_partitioned(prepared_frame(spark, sf_dir), path, by=[PARTITION_COLUMN]), rebuild, state,
+    )
+    return _framed(spark, path, lambda: spark.read.parquet(path))
 
 
-def zone_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def zone_table(spark: SparkSession, sf_dir: str, state: str | None = None) -> DataFrame:
     """The zone dimension (derived from nation/region; 24 rows), cached:
     every query joins it, and re-deriving it costs two scans and a join
     per query.  A lost cached block is recomputed from its lineage."""
-    return _memo(spark, sf_dir, "zones", lambda: zones(spark, sf_dir).cache())
+    place = f"{state or state_path(spark, sf_dir)}/zones"
+    return _framed(spark, place, lambda: zones(spark, sf_dir).cache())
+
+
+def trips_and_zones(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both, for one look at the input's state."""
+    state = state_path(spark, sf_dir)
+    return prepared_trips(spark, sf_dir, state=state), zone_table(spark, sf_dir, state=state)
 
 
 def register_views(spark: SparkSession, sf_dir: str, trips_view: str = "trips", zones_view: str = "zones") -> None:
     """Name the prepared trips and the zones as temporary views, for SQL
     (``spark.sql``) and ``spark.table`` callers.  A view is an unexecuted
     plan: each query over it plans afresh, with pruning and pushdown."""
-    prepared_trips(spark, sf_dir).createOrReplaceTempView(trips_view)
-    zone_table(spark, sf_dir).createOrReplaceTempView(zones_view)
+    t, z = trips_and_zones(spark, sf_dir)
+    t.createOrReplaceTempView(trips_view)
+    z.createOrReplaceTempView(zones_view)

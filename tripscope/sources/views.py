@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripscope.sources.fixtures import KEY_COLUMNS
+
 # (column, Spark type, DuckDB type)
 TRIP_VIEW = [
-    ("l_orderkey", "bigint", "BIGINT"),
-    ("l_linenumber", "int", "INTEGER"),
-    ("l_partkey", "bigint", "BIGINT"),
+    *KEY_COLUMNS,
     ("vendor_id", "int", "INTEGER"),
     ("pickup_ts", "timestamp", "TIMESTAMP"),
     ("dropoff_ts", "timestamp", "TIMESTAMP"),
@@ -39,6 +39,12 @@ TEXT_TS = [
     ("tpep_pickup_datetime", "string", "VARCHAR"),
     ("tpep_dropoff_datetime", "string", "VARCHAR"),
 ]
+GEO_KEYS = [
+    *KEY_COLUMNS,
+    ("pickup_ts", "timestamp", "TIMESTAMP"),
+    ("dropoff_ts", "timestamp", "TIMESTAMP"),
+    ("trip_distance", "double", "DOUBLE"),
+]
 COORDS = [
     ("pickup_latitude", "double", "DOUBLE"),
     ("pickup_longitude", "double", "DOUBLE"),
@@ -58,7 +64,3 @@ def spec(coords: bool = False, text_ts: bool = False, extra: list[tuple[str, str
 
 def spark_view(df: DataFrame, columns) -> DataFrame:
     return df.select(*[F.col(c).cast(t).alias(c) for c, t, _ in columns])
-
-
-def sql_view(columns, source: str = "t") -> str:
-    return ", ".join(f"CAST({source}.{c} AS {d}) AS {c}" for c, _, d in columns)
