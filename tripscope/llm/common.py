@@ -4,7 +4,11 @@ folder, the byte-wise lower case and the word rule, and Arrow row builders."""
 from __future__ import annotations
 
 import string
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -54,10 +58,29 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def record_batch(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema
-    )
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, as
+    ``spark-submit --py-files`` would: functions that run in tasks refer to
+    modules of it.  A package that came as a zip is there already."""
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parent.parent
+    if sc.applicationId in _SHIPPED or not root.is_dir():
+        return
+    path = Path(tempfile.mkdtemp()) / f"{root.name}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    _SHIPPED.add(sc.applicationId)
+
+
+def mapped(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with the package at hand in the tasks."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
 
 
 def slices(batch: pa.RecordBatch, text: str | int, limit_bytes: int = 4 << 20):

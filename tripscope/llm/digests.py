@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripscope.llm.common import slices, table
+from tripscope.llm.common import mapped, slices, table
 
 WINDOW = 64
 VOTES = 16
@@ -226,7 +226,7 @@ def entropy_histogram(docs: DataFrame, *, text: str = "text") -> np.ndarray:
                     total += np.bincount(Block(block).bins() + 1, minlength=BINS + 1)[1:]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(BINS)), pa.array(total)], ["bin", "n"])
 
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "bin long, n long")
+    counted = docs.select(F.col(text).alias("text")).transform(mapped, count, "bin long, n long")
     out = np.zeros(BINS, np.int64)
     for r in counted.groupBy("bin").agg(F.sum("n").alias("n")).collect():
         out[r["bin"]] = r["n"]
@@ -283,7 +283,7 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", hi
                 made = [packed(d) for d in maker.digests([_bytes(t) for t in part.column("text").to_pylist()])]
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(made, pa.string())], ["key", "fingerprint"])
 
-    return rows.mapInArrow(make, f"key {dict(rows.dtypes)['key']}, fingerprint string").withColumnRenamed("key", key)
+    return rows.transform(mapped, make, f"key {dict(rows.dtypes)['key']}, fingerprint string").withColumnRenamed("key", key)
 
 
 def compare_neighbours(docs: DataFrame, *, key: str = "doc_id", text: str = "text", histogram: np.ndarray | None = None) -> DataFrame:
@@ -327,8 +327,8 @@ def compare_neighbours(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
                 )
 
     kind = dict(rings.dtypes)["key"]
-    return rings.mapInArrow(
-        compare,
+    return rings.transform(
+        mapped, compare,
         f"key {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double",
     ).withColumnRenamed("key", key)

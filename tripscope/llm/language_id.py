@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripscope.llm.common import held_out, slices, table
+from tripscope.llm.common import held_out, mapped, slices, table
 
 WINDOW = 192  # bytes; responses may look WIDTHS[-1] - 1 bytes further
 WIDTHS = (2, 3, 4)
@@ -205,7 +205,7 @@ def fit_language(
 
     got = (
         picked.select(order.alias("order"), "lang", "text")
-        .mapInArrow(cut, "order long, lang string, bytes binary").toArrow()
+        .transform(mapped, cut, "order long, lang string, bytes binary").toArrow()
         .sort_by([("order", "ascending"), ("bytes", "ascending")])
     )
     number = {k: i for i, k in enumerate(languages)}
@@ -229,7 +229,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, *, key: str = "doc_
                 )
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(identify, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
+    return rows.transform(mapped, identify, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
 
 
 def op9_language(spark, sf_dir):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripscope.llm.common import slices, table, written
+from tripscope.llm.common import mapped, slices, table, written
 
 MAX_EDITS = 2
 MIN_CHARS = 32
@@ -209,7 +209,7 @@ def _occurrences(rows: DataFrame, min_chars: int) -> DataFrame:
                     ["key", "h", "line", "name1", "name2"],
                 )
 
-    return rows.mapInArrow(find, f"key {dict(rows.dtypes)['key']}, h long, line int, name1 long, name2 long")
+    return rows.transform(mapped, find, f"key {dict(rows.dtypes)['key']}, h long, line int, name1 long, name2 long")
 
 
 def _signed(rows: DataFrame, min_chars: int, max_edits: int, probing: bool) -> DataFrame:
@@ -225,7 +225,7 @@ def _signed(rows: DataFrame, min_chars: int, max_edits: int, probing: bool) -> D
                     keys, of = lines.probes(fresh, max_edits, min_chars) if probing else lines.index(fresh, max_edits)
                     yield pa.RecordBatch.from_arrays([_long(keys), _long(lines.name1[of])], ["seg", "name1"])
 
-    return rows.select("text").mapInArrow(cut, "seg long, name1 long")
+    return rows.select("text").transform(mapped, cut, "seg long, name1 long")
 
 
 def bloom_words(names: DataFrame, column: str) -> np.ndarray:
@@ -269,7 +269,7 @@ def _texts(rows: DataFrame, bloom: np.ndarray, min_chars: int) -> DataFrame:
                     ["name1", "name2", "line"],
                 )
 
-    return rows.select("text").mapInArrow(fetch, "name1 long, name2 long, line string")
+    return rows.select("text").transform(mapped, fetch, "name1 long, name2 long, line string")
 
 
 def near_lines(rows: DataFrame, *, max_edits: int, min_chars: int) -> DataFrame:
@@ -309,7 +309,7 @@ def near_lines(rows: DataFrame, *, max_edits: int, min_chars: int) -> DataFrame:
                 yield part.select(names).filter(pa.array((found >= 1) & (found <= max_edits)))
 
     return (
-        both.select("a", "a2", "b", "b2", "ta", "tb").mapInArrow(verify, "a long, a2 long, b long, b2 long")
+        both.select("a", "a2", "b", "b2", "ta", "tb").transform(mapped, verify, "a long, a2 long, b long, b2 long")
         .toDF("a1", "a2", "b1", "b2")
     )
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripscope.llm.common import slices, table, written
+from tripscope.llm.common import mapped, slices, table, written
 from tripscope.llm.word_tokens import word_tokens
 
 LIMIT = 4096
@@ -135,7 +135,7 @@ def cut_into_pieces(
 
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long"
-    return rows.mapInArrow(cut, schema + (", ids array<int>" if keep_ids else ""))
+    return rows.transform(mapped, cut, schema + (", ids array<int>" if keep_ids else ""))
 
 
 def pack(
@@ -179,7 +179,7 @@ def pack(
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long").withColumnRenamed("key", key)
+    return ranked.transform(mapped, place, f"{schema}, sequence_id long, offset long").withColumnRenamed("key", key)
 
 
 def op5_packing(spark, sf_dir):

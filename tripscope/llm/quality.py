@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripscope.llm.common import held_out, slices, table
+from tripscope.llm.common import held_out, mapped, slices, table
 
 BITS = 18
 #: About so many labelled documents are learnt from, picked by a hash of the id.
@@ -132,7 +132,7 @@ def fit_quality(
 
     got = (
         picked.select(order.alias("order"), "label", "text")
-        .mapInArrow(sparse, "order long, label int, at binary, values binary").toArrow()
+        .transform(mapped, sparse, "order long, label int, at binary, values binary").toArrow()
         .sort_by([("order", "ascending"), ("label", "ascending"), ("at", "ascending")])
     )
     rows = [
@@ -154,7 +154,7 @@ def score_quality(docs: DataFrame, model: QualityModel, *, key: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(scores, pa.float64())], ["key", "score"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(score, f"key {kind}, score double").withColumnRenamed("key", key)
+    return rows.transform(mapped, score, f"key {kind}, score double").withColumnRenamed("key", key)
 
 
 def keep_quality(docs: DataFrame, model: QualityModel, *, text: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -167,7 +167,7 @@ def keep_quality(docs: DataFrame, model: QualityModel, *, text: str = "text", th
             for part in slices(batch, at):
                 yield part.filter(pa.array([model.score(t) >= threshold for t in part.column(at).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.transform(mapped, keep, docs.schema)
 
 
 def op8_quality(spark, sf_dir):

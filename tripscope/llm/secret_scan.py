@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripscope.llm.common import slices, table
+from tripscope.llm.common import mapped, slices, table
 
 # Fixed values of the pattern rules: kind, pattern, group whose length counts, least length.
 PATTERNS = (
@@ -162,7 +162,7 @@ def find_secrets(
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(spans, SPANS)], ["key", "spans"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    out = rows.mapInArrow(scan, f"key {kind}, spans array<struct<kind:string,start:int,end:int>>")
+    out = rows.transform(mapped, scan, f"key {kind}, spans array<struct<kind:string,start:int,end:int>>")
     return out.withColumnRenamed("key", key)
 
 
