@@ -16,9 +16,13 @@ from pyspark.sql import functions as F
 from tripscope.llm.common import written
 
 
-def _signature(links: DataFrame) -> tuple:
-    r = links.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")).first()
-    return r["n"], r["h"]
+def _all_stars(links: DataFrame) -> bool:
+    """No node has two roots, no root has a root: one aggregate."""
+    ends = links.select(
+        F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(1).alias("child")), F.struct(F.col("b").alias("id"), F.lit(0).alias("child")))).alias("e")
+    ).select("e.*")
+    nodes = ends.groupBy("id").agg(F.sum("child").alias("up"), F.min("child").alias("low"))
+    return nodes.where("up > 1 or (up > 0 and low = 0)").isEmpty()
 
 
 def stars(links: DataFrame) -> DataFrame:
@@ -27,8 +31,7 @@ def stars(links: DataFrame) -> DataFrame:
     current = written(
         links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "star-links"
     )
-    before = _signature(current)
-    while before[0]:
+    while not _all_stars(current):
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "star-least")
         large = written(
@@ -37,23 +40,4 @@ def stars(links: DataFrame) -> DataFrame:
         least = written(large.groupBy("a").agg(F.min("b").alias("m")), "star-least")
         small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         current = written(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "star-small")
-        after = _signature(current)
-        if after == before:
-            break
-        before = after
     return current.select(F.col("a").alias("id"), F.col("b").alias("root"))
-
-
-def merge_components(component: DataFrame | None, links: DataFrame) -> DataFrame:
-    """(id, root) after more ``links`` (a, b); nodes that are not listed are
-    their own root, before and after."""
-    if component is None:
-        return stars(links)
-    root = lambda side: component.select(F.col("id").alias(side), F.col("root").alias(f"r{side}"))
-    lifted = links.join(root("a"), "a", "left").join(root("b"), "b", "left").select(
-        F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")
-    )
-    moved = stars(lifted)
-    newer = moved.select(F.col("id").alias("root"), F.col("root").alias("newer"))
-    kept = component.join(newer, "root", "left").select("id", F.coalesce("newer", "root").alias("root"))
-    return written(kept.unionByName(moved).distinct(), "components")

@@ -7,10 +7,11 @@
 2. Texts of the same words are one class; only classes go on.  Bands of
    registers are hashed; classes that share a band meet in a bucket.
 3. Pairs are compared without listing all of a bucket: every member with one
-   hub of its bucket; if a bucket still spans several components, with another
-   hub, some rounds long.  Pairs across components that are left then are all
-   compared (in buckets of a dozen at once).  So of every pair of a bucket both
-   are in one component, or it was compared.
+   hub of its bucket; if a bucket still spans several components, with some
+   more hubs.  (Buckets of a dozen are compared whole.)  What still spans
+   components then is joined exactly, on the rarest shingles of each set.  So
+   of every pair of a bucket both are in one component, or it was compared, or
+   it cannot reach the threshold.
 4. A pair is dropped if the likelihood estimate of its similarity, from the
    registers that are larger, smaller and equal, is five standard deviations
    below the threshold; the others are verified on their full sets.
@@ -25,15 +26,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tripscope.llm.common import slices, table, written
-from tripscope.llm.components import merge_components
+from tripscope.llm.common import mapped, slices, table, written
+from tripscope.llm.components import stars
 
 REGISTERS, ROWS = 160, 5  # 32 bands of 5
 BASE, RATE, LEVELS = 1.001, 20.0, (1 << 16) - 2
 SHINGLE = 5
 THRESHOLD = 85  # per cent
-HUB_ROUNDS = 3
+#: Further hubs of a large bucket that spans several components.
+HUBS = 6
 #: A bucket of so many members has few enough pairs to compare them all at once.
 SMALL_BUCKET = 12
 
@@ -157,7 +160,7 @@ def sketch_rows(docs: DataFrame, *, key: str, text: str) -> DataFrame:
                     ["key", "n", "class", "sketch"],
                 )
 
-    return rows.mapInArrow(sketch, f"key {dict(rows.dtypes)['key']}, n long, class binary, sketch binary")
+    return rows.transform(mapped, sketch, f"key {dict(rows.dtypes)['key']}, n long, class binary, sketch binary")
 
 
 def _banded(classes: DataFrame) -> DataFrame:
@@ -175,64 +178,88 @@ def _banded(classes: DataFrame) -> DataFrame:
                     ["bucket", "id", "n"],
                 )
 
-    return classes.select("id", "n", "sketch").mapInArrow(cut, "bucket long, id long, n long")
+    return classes.select("id", "n", "sketch").transform(mapped, cut, "bucket long, id long, n long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, *, key: str, text: str) -> DataFrame:
-    """(id, shingles) of the wanted classes (id, rep, class), from the text of
-    their first document."""
+    """(id, sketch, set) of the wanted classes (id, class, rep, sketch), from
+    the text of their first document."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    joined = rows.join(wanted, rows["key"].eqNullSafe(wanted["rep"])).select("id", "class", "text")
+    joined = rows.join(wanted, rows["key"].eqNullSafe(wanted["rep"])).select("id", "class", "sketch", "text")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                ids, sets = [], []
-                for i, c, t in zip(*[part.column(x).to_pylist() for x in ("id", "class", "text")], strict=True):
+                same, sets = [], []
+                for c, t in zip(part.column("class").to_pylist(), part.column("text").to_pylist(), strict=True):
                     h, digest = words(t)
-                    if digest == c:  # rows that repeat a key may have other texts
-                        ids.append(i)
-                        sets.append(shingles(h).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["id", "set"])
+                    same.append(digest == c)  # rows that repeat a key may have other texts
+                    sets.append(shingles(h).tobytes())
+                whole = pa.RecordBatch.from_arrays(
+                    [part.column("id"), part.column("sketch"), pa.array(sets, pa.binary())], ["id", "sketch", "set"]
+                )
+                yield whole.filter(pa.array(same, pa.bool_()))
 
-    return joined.mapInArrow(shingle, "id long, set binary")
+    return joined.transform(mapped, shingle, "id long, sketch binary, set binary")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) whose estimate does not rule them out."""
+def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) with 100 * intersection >= threshold * union.  Pairs that
+    the estimate rules out are not looked into; the others are verified."""
     lowest = threshold / 100 - 5 * (threshold / 100 * (1 - threshold / 100) / REGISTERS) ** 0.5
-    side = lambda x: classes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    side = lambda x: sets.select(F.col("id").alias(x), F.col("sketch").alias(f"k{x}"), F.col("set").alias(f"s{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ka", "kb", "sa", "sb")
 
-    def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
-                a, b = (
-                    np.frombuffer(b"".join(part.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("sa", "sb")
-                )
-                sizes = [part.column(c).to_numpy().astype(np.float64) for c in ("na", "nb")]
-                found = similarity_estimate((a > b).sum(axis=1), (a < b).sum(axis=1), (a == b).sum(axis=1), *sizes)
-                yield part.select(["a", "b"]).filter(pa.array(found >= lowest))
-
-    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(estimate, "a long, b long")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= threshold * union."""
-    side = lambda x: sets.select(F.col("id").alias(x), F.col("set").alias(f"s{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            x, y = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("ka", "kb")
+            )
+            sizes = [pa.compute.binary_length(batch.column(c)).to_numpy() / 8.0 for c in ("sa", "sb")]
+            likely = similarity_estimate((x > y).sum(axis=1), (x < y).sum(axis=1), (x == y).sum(axis=1), *sizes) >= lowest
+            keep = np.zeros(batch.num_rows, bool)
+            for i in np.flatnonzero(likely):
+                u, v = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("sa", "sb"))
+                common = len(np.intersect1d(u, v, assume_unique=True))
+                keep[i] = 100 * common >= threshold * (len(u) + len(v) - common)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return both.transform(mapped, link, "a long, b long")
+
+
+def _sharing(loose: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of the ``loose`` classes (id, na, root), across roots,
+    that can reach the threshold: put in one order, the rarest first, both
+    sets must share a shingle among the first n - ceil(threshold * n) + 1.
+    Copies that differ too much from all others have only shingles of their
+    own there, and so meet nobody."""
+    rows = sets.join(loose, "id").select("id", "na", "root", "set")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= threshold * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for part in slices(batch, "set"):
+                n = pa.compute.binary_length(part.column("set")).to_numpy() // 8
+                flat = np.frombuffer(b"".join(part.column("set").to_pylist()), np.int64)
+                of = pa.array(np.repeat(np.arange(part.num_rows), n))
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c).take(of) for c in ("id", "na", "root")], pa.array(flat)], ["id", "na", "root", "shingle"]
+                )
 
-    return both.mapInArrow(verify, "a long, b long")
+    each = written(rows.transform(mapped, spread, "id long, na long, root long, shingle long"), "near-spread")
+    often = written(each.groupBy("shingle").agg(F.count("*").alias("often")), "near-often")
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("often", "shingle"))
+    first = F.expr(f"na - (na * {threshold} + 99) div 100 + 1")
+    prefix = written(
+        each.join(often, "shingle").withColumn("rank", rank).where(F.col("rank") <= first).where("often > 1")
+        .select("shingle", "id", "na", "root"),
+        "near-prefix",
+    )
+    other = prefix.select("shingle", F.col("id").alias("hub"), F.col("na").alias("nb"), F.col("root").alias("other"))
+    return (
+        prefix.join(other, "shingle").where("root != other and id < hub")
+        .where(f"100 * least(na, nb) >= {threshold} * greatest(na, nb)")
+        .select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    )
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
@@ -253,59 +280,72 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     )
     in_band = _banded(classes)
     buckets = written(
-        in_band.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").drop("last"),
+        in_band.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("first"), F.max("id").alias("last"), F.count("*").alias("size"))
+        .where("first.id < last").select("bucket", F.col("first.id").alias("hub"), F.col("first.n").alias("nb"), "size"),
         "near-buckets",
     )
-    members = written(in_band.join(buckets, "bucket"), "near-members")
-    wanted = members.select("id").distinct().join(classes, "id").select("id", "rep", "class")
+    members = written(in_band.withColumnRenamed("n", "na").join(buckets, "bucket"), "near-members")
+    wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", "class", "rep", "sketch")
     sets = written(_sets(docs, wanted, key=key, text=text), "near-sets")
 
+    alike = f"100 * least(na, nb) >= {threshold} * greatest(na, nb)"
+    ordered = (F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+
     def links(pairs: DataFrame, label: str) -> DataFrame:
-        return written(_verified(written(_likely(pairs, classes, threshold), f"{label}-likely"), sets, threshold), f"{label}-links")
+        return written(_linked(pairs, sets, threshold), f"near-links-{label}")
 
-    alike = f"100 * least(na, nb) >= {threshold} * greatest(na, nb)"
-    hubs = classes.select(F.col("id").alias("hub"), F.col("n").alias("nb"))
-    first = (
-        members.where("id != hub").select("id", F.col("n").alias("na"), "hub").distinct().join(hubs, "hub").where(alike)
-        .select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    )
-    tested = written(first, "near-pairs")
-    component = merge_components(None, links(tested, "near-hub"))
-    open_, small = members, F.col("size") <= SMALL_BUCKET
-    for turn in range(HUB_ROUNDS + 1):
-        placed = written(
-            open_.join(component, "id", "left").select("bucket", "id", F.col("n").alias("na"), F.coalesce("root", "id").alias("root")),
-            "near-placed",
+    def placed(open_: DataFrame, roots: DataFrame) -> DataFrame:
+        """Members of open buckets that span components, with their root."""
+        rooted = written(
+            open_.select("bucket", "id", "na", "size").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")),
+            "near-rooted",
         )
-        seeded = F.struct(F.xxhash64(F.lit(turn), "bucket", "id").alias("h"), "id", "na", "root")
-        split = written(
-            placed.groupBy("bucket")
-            .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(seeded).alias("top"), F.count("*").alias("size"))
-            .where("low < high")
-            .select("bucket", "size", F.col("top.id").alias("hub"), F.col("top.na").alias("nb"), F.col("top.root").alias("other")),
-            "near-split",
+        spans = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        return written(rooted.join(written(spans.select("bucket"), "near-spans"), "bucket"), "near-placed")
+
+    # Every member with the first of its bucket.
+    tested = written(members.where("id != hub").where(alike).select(*ordered).distinct(), "near-pairs")
+    found = links(tested, "first")
+    # Roots so far: the smallest linked hub, and that one's.  Less joined than
+    # the components are, which costs some pairs and loses none.
+    step = found.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("root"))
+    up = step.select(F.col("id").alias("root"), F.col("root").alias("top"))
+    roots = written(step.join(up, "root", "left").select("id", F.coalesce("top", "root").alias("root")), "near-roots")
+    open_ = placed(members, roots)
+    if not open_.isEmpty():
+        # Small buckets whole, large ones with a few more hubs of all kinds.
+        small = F.col("size") <= SMALL_BUCKET
+        hubs = open_.where(~small).groupBy("bucket").agg(
+            F.array_distinct(F.array(*[
+                F.min(F.struct(F.xxhash64(F.lit(turn), "bucket", "id").alias("h"), "id", "na", "root")) for turn in range(HUBS)
+            ])).alias("hubs")
         )
-        if split.isEmpty():
-            break
-        ordered = (F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), "na", "nb")
-        by_hub = placed.join(split.where(~small), "bucket").where("root != other").select(*ordered)
-        # All pairs across components: of small buckets at once, of large ones
-        # when hubs have settled what they can.
-        rest = placed.join(split.where(small if turn < HUB_ROUNDS else F.lit(True)).select("bucket"), "bucket")
-        others = rest.select("bucket", F.col("id").alias("hub"), F.col("na").alias("nb"), F.col("root").alias("other"))
-        across = rest.join(others, "bucket").where("root != other and id < hub").select(*ordered)
-        pairs = by_hub.unionByName(across) if turn < HUB_ROUNDS else across
-        pairs = written(
-            pairs.where(alike).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "near-pairs"
+        hubs = written(
+            hubs.select("bucket", F.explode("hubs").alias("x"))
+            .select("bucket", F.col("x.id").alias("hub"), F.col("x.na").alias("nb"), F.col("x.root").alias("other")),
+            "near-hubs",
         )
-        tested = tested.unionByName(pairs)
-        component = merge_components(component, links(pairs, f"near-{turn}"))
-        open_ = members.join(split.where(~small).select("bucket"), "bucket")
-
-    roots = classes.select("id", "class", "rep").join(component, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    roots = written(roots.select("class", "rep", "root"), "near-roots")
-    smallest = written(roots.groupBy("root").agg(F.min("rep").alias("component_id")), "near-smallest")
-    named = written(roots.join(smallest, "root").select("class", "component_id"), "near-named")
+        by_hub = open_.join(hubs, "bucket").where("root != other").where(alike).select(*ordered)
+        few = open_.where(small)
+        other = few.select("bucket", F.col("id").alias("hub"), F.col("na").alias("nb"), F.col("root").alias("other"))
+        across = few.join(other, "bucket").where("root != other and id < hub").where(alike).select(*ordered)
+        pairs = by_hub.unionByName(across).distinct()
+        second = written(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        tested, found = tested.unionByName(second), found.unionByName(links(second, "second"))
+    component = written(stars(found), "near-components")
+    open_ = placed(open_.where(F.col("size") > SMALL_BUCKET), component)
+    if not open_.isEmpty():
+        # What hubs did not settle, by its rare shingles.
+        loose = written(open_.select("id", "na", "root").distinct(), "near-loose")
+        third = written(_sharing(loose, sets, threshold).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        component = written(stars(found.unionByName(links(third, "third"))), "near-components")
+
+    rooted = classes.select("id", "class", "rep").join(component, "id", "left").select(
+        "class", "rep", F.coalesce("root", "id").alias("root")
+    )
+    rooted = written(rooted, "near-rooted")
+    smallest = written(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "near-smallest")
+    named = written(rooted.join(smallest, "root").select("class", "component_id"), "near-named")
     found = rows.select("key", "n", F.when(F.col("n") > 0, F.col("class")).alias("class")).join(named, "class", "left")
     component_id = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key"))
     return found.select(
