@@ -36,7 +36,7 @@ BASE, RATE, LEVELS = 1.001, 20.0, (1 << 16) - 2
 SHINGLE = 5
 THRESHOLD = 85  # per cent
 #: Further hubs of a large bucket that spans several components.
-HUBS = 6
+HUBS = 3
 #: A bucket of so many members has few enough pairs to compare them all at once.
 SMALL_BUCKET = 12
 
@@ -230,9 +230,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 def _sharing(loose: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of the ``loose`` classes (id, na, root), across roots,
     that can reach the threshold: put in one order, the rarest first, both
-    sets must share a shingle among the first n - ceil(threshold * n) + 1.
-    Copies that differ too much from all others have only shingles of their
-    own there, and so meet nobody."""
+    sets must share a shingle among the first n - ceil(threshold * n) + 1, and
+    so early that enough are left behind it.  Copies that differ too much from
+    all others have only shingles of their own there, and so meet nobody."""
     rows = sets.join(loose, "id").select("id", "na", "root", "set")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,13 +251,17 @@ def _sharing(loose: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     first = F.expr(f"na - (na * {threshold} + 99) div 100 + 1")
     prefix = written(
         each.join(often, "shingle").withColumn("rank", rank).where(F.col("rank") <= first).where("often > 1")
-        .select("shingle", "id", "na", "root"),
+        .select("shingle", "id", "na", "root", F.col("rank").alias("ra")),
         "near-prefix",
     )
-    other = prefix.select("shingle", F.col("id").alias("hub"), F.col("na").alias("nb"), F.col("root").alias("other"))
+    other = prefix.select(
+        "shingle", F.col("id").alias("hub"), F.col("na").alias("nb"), F.col("root").alias("other"), F.col("ra").alias("rb")
+    )
+    # Were this the first shingle in common, no more could follow than are left.
+    enough = f"(1 + least(na - ra, nb - rb)) * (100 + {threshold}) >= {threshold} * (na + nb)"
     return (
         prefix.join(other, "shingle").where("root != other and id < hub")
-        .where(f"100 * least(na, nb) >= {threshold} * greatest(na, nb)")
+        .where(f"100 * least(na, nb) >= {threshold} * greatest(na, nb)").where(enough)
         .select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     )
 
@@ -306,11 +310,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     # Every member with the first of its bucket.
     tested = written(members.where("id != hub").where(alike).select(*ordered).distinct(), "near-pairs")
     found = links(tested, "first")
-    # Roots so far: the smallest linked hub, and that one's.  Less joined than
-    # the components are, which costs some pairs and loses none.
-    step = found.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("root"))
-    up = step.select(F.col("id").alias("root"), F.col("root").alias("top"))
-    roots = written(step.join(up, "root", "left").select("id", F.coalesce("top", "root").alias("root")), "near-roots")
+    roots = written(stars(found), "near-roots")
     open_ = placed(members, roots)
     if not open_.isEmpty():
         # Small buckets whole, large ones with a few more hubs of all kinds.
@@ -331,14 +331,18 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         across = few.join(other, "bucket").where("root != other and id < hub").where(alike).select(*ordered)
         pairs = by_hub.unionByName(across).distinct()
         second = written(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        tested, found = tested.unionByName(second), found.unionByName(links(second, "second"))
-    component = written(stars(found), "near-components")
+        tested = tested.unionByName(second)
+        # The stars of the first links stand for them.
+        found = roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(links(second, "second"))
+        roots = written(stars(found), "near-roots")
+    component = roots
     open_ = placed(open_.where(F.col("size") > SMALL_BUCKET), component)
     if not open_.isEmpty():
         # What hubs did not settle, by its rare shingles.
         loose = written(open_.select("id", "na", "root").distinct(), "near-loose")
         third = written(_sharing(loose, sets, threshold).join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        component = written(stars(found.unionByName(links(third, "third"))), "near-components")
+        found = roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(links(third, "third"))
+        component = written(stars(found), "near-roots")
 
     rooted = classes.select("id", "class", "rep").join(component, "id", "left").select(
         "class", "rep", F.coalesce("root", "id").alias("root")
