@@ -24,11 +24,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier line, or are within two edits of one, are
-    cut out of the text.  A document that had words and has none left goes."""
+    """Lines that repeat an earlier line, or are within two edits of one that
+    stands for them, are cut out of the text.  A document that had words and
+    has none left goes."""
     had = F.col("text").rlike(r"[^\x20\x09-\x0D]")
     fresh = line_dedup.dedup_lines(
-        docs.withColumn("__had", F.coalesce(had, F.lit(False))), dropped_as="__lines", links_as="__links"
+        docs.withColumn("__had", F.coalesce(had, F.lit(False))), dropped_as="__lines", twins_as="__twins"
     )
     return (
         fresh.where(~F.col("__had") | had)

@@ -50,21 +50,32 @@ def test_banded_distance_and_complete_segments():
                 assert set(index.tolist()) & set(probes.tolist()), (a, b)
 
 
+def names(texts, least):
+    lines = Lines(["\n".join(texts)], least)
+    return dict(zip(texts, zip(lines.name1.view(np.int64).tolist(), lines.name2.tolist(), strict=True), strict=True)) if texts else {}
+
+
 def brute(docs, most=2, least=32):
+    """Per document: dropped lines, the text without them, and for each
+    dropped line the documents that may stand for it."""
     lines = [(k, i, x) for k, t in docs for i, x in enumerate((t or "").split("\n")) if len(x) >= least]
     first = {}
     for k, i, x in sorted(lines, key=lambda y: (y[0], y[1])):
         first.setdefault(x, (k, i))
     texts = list(first)
-    near = {x: [y for y in texts if y != x and abs(len(x) - len(y)) <= most and distance(x, y) <= most] for x in texts}
+    name = names(texts, least)
+    near = {
+        x: [y for y in texts if name[y] < name[x] and abs(len(x) - len(y)) <= most and distance(x, y) <= most] for x in texts
+    }
     out = {}
     for k, t in docs:
-        drop = []
+        drop, twins = [], []
         for i, x in enumerate((t or "").split("\n")):
-            if len(x) >= least and (first[x] != (k, i) or any(first[y] < first[x] for y in near[x])):
+            if len(x) >= least and (first[x] != (k, i) or near[x]):
                 drop.append(i)
+                twins.append({first[y][0] for y in near[x]} or {first[x][0]})
         kept = None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in drop)
-        out[k] = (drop, kept, sum(len(near[x]) for x in (t or "").split("\n") if len(x) >= least))
+        out[k] = (drop, kept, twins)
     return out
 
 
@@ -72,21 +83,25 @@ def test_equals_brute_force(spark):
     r = random.Random(8)
     pool = [prose(100 + i, 12) for i in range(12)]
     docs = []
-    for k in range(40):
+    for k in range(60):
         some = [edited(r, r.choice(pool), r.choice((0, 0, 1, 2, 3))) for _ in range(r.randint(0, 4))]
         docs.append((k, "\n".join(some + ["short", ""][: r.randint(0, 2)])))
-    docs += [(50, None), (51, ""), (52, "\n\n")]
+    docs += [(70, None), (71, ""), (72, "\n\n")]
     df = dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string"))
     want = brute(docs)
+    assert sum(len(x[0]) for x in want.values()) > 30
     for row in df.collect():
-        assert (row.dropped_lines, row.text, row.n_links) == want[row.doc_id], row.doc_id
+        drop, kept, twins = want[row.doc_id]
+        assert (row.dropped_lines, row.text) == (drop, kept), row.doc_id
+        assert all(t & set(row.twin_ids) for t in twins) and set(row.twin_ids) <= set().union(*twins, set())
 
 
 def test_odd_rows_and_clashing_columns(odd, none):
-    out = dedup_lines(odd, dropped_as="d", links_as="l")
+    out = dedup_lines(odd, dropped_as="d", twins_as="l")
     assert out.columns == [*odd.columns, "d", "l"] and out.count() == odd.count()
     by = {r.doc_id: r for r in out.collect()}
-    # the second of two equal lines of a document, and both as copies of document 1
-    assert by[13].d == [2, 3] and by[13].text == "\n\nend" and by[3].text is None and by[1].d == []
+    # both lines of document 13 are copies of document 1; document 7 is further
+    # from it than two edits
+    assert by[13].d == [2, 3] and by[13].l == [1] and by[13].text == "\n\nend" and by[3].text is None and by[1].d == []
     assert by[2].text == odd.where("doc_id = 2").first().text  # other case, other line
     assert dedup_lines(none).count() == 0

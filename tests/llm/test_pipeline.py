@@ -42,7 +42,7 @@ def test_every_stage_takes_effect(spark):
 def test_stages_and_odd_rows(spark, odd, none):
     assert [name for name, _ in P.STAGES] == ["quality classifier", "line dedup", "near dedup", "mixing", "packing"]
     for stage in (P.line_stage, P.near_stage, P.mixing_stage):
-        assert stage(spark, odd, SF_SMALL).columns == odd.columns
-        assert stage(spark, odd, SF_SMALL).count() > 0 and stage(spark, none, SF_SMALL).count() == 0
+        out = stage(spark, odd, SF_SMALL)
+        assert out.columns == odd.columns and out.count() > 0
     for _, stage in P.STAGES:
         assert stage(spark, none, SF_SMALL).count() == 0

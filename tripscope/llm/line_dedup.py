@@ -8,11 +8,16 @@ segment.  What meets is tested by a signature (the parity of the counts of 24
 classes of characters: an edit changes two bits at most), then verified by a
 banded bit-parallel edit distance over many pairs at once.
 
-A line occurrence is dropped if an equal or near line stands before it, in the
-order of (key, line number); so the first of equal lines stays unless a near
-one stands before it.  Lines of fewer than ``min_chars`` code points are never
-compared or dropped.  Repeats of a line are dropped from index and probe map
-side, so a line of a third of all documents meets others once.
+Of equal lines the first stays, by (key, line number).  Of two near lines the
+one with the smaller name (a hash of its text) stays, so that the one to keep
+is known where lines meet: first every line is compared with the smallest name
+that it meets under a segment, and only lines that this does not settle are
+compared with all smaller ones that they meet.  Many variants of one line thus
+cost one pair each.  A line is dropped if and only if a near line of a smaller
+name exists, kept or not, or an equal one stands before it.  Lines of fewer
+than ``min_chars`` code points are never compared or dropped.  Repeats of a
+line are left out of index and probes map side, so a line of a third of all
+documents meets others once a task.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tripscope.llm.common import mapped, slices, table, written
 
@@ -212,8 +218,8 @@ def _occurrences(rows: DataFrame, min_chars: int) -> DataFrame:
     return rows.transform(mapped, find, f"key {dict(rows.dtypes)['key']}, h long, line int, name1 long, name2 long")
 
 
-def _signed(rows: DataFrame, min_chars: int, max_edits: int, probing: bool) -> DataFrame:
-    """(seg, name1) of the index or the probes of every line."""
+def _signed(rows: DataFrame, min_chars: int, max_edits: int) -> DataFrame:
+    """(seg, name, probing) of the index and the probes of every line."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -222,10 +228,13 @@ def _signed(rows: DataFrame, min_chars: int, max_edits: int, probing: bool) -> D
                 lines = Lines(part.column("text").to_pylist(), min_chars)
                 fresh = _first_seen(lines.name1, seen)
                 if len(fresh):
-                    keys, of = lines.probes(fresh, max_edits, min_chars) if probing else lines.index(fresh, max_edits)
-                    yield pa.RecordBatch.from_arrays([_long(keys), _long(lines.name1[of])], ["seg", "name1"])
+                    for probing in (False, True):
+                        keys, of = lines.probes(fresh, max_edits, min_chars) if probing else lines.index(fresh, max_edits)
+                        yield pa.RecordBatch.from_arrays(
+                            [_long(keys), _long(lines.name1[of]), pa.array(np.full(len(of), probing))], ["seg", "name", "probing"]
+                        )
 
-    return rows.select("text").transform(mapped, cut, "seg long, name1 long")
+    return rows.select("text").transform(mapped, cut, "seg long, name long, probing boolean")
 
 
 def bloom_words(names: DataFrame, column: str) -> np.ndarray:
@@ -272,19 +281,8 @@ def _texts(rows: DataFrame, bloom: np.ndarray, min_chars: int) -> DataFrame:
     return rows.select("text").transform(mapped, fetch, "name1 long, name2 long, line string")
 
 
-def near_lines(rows: DataFrame, *, max_edits: int, min_chars: int) -> DataFrame:
-    """(a1, a2, b1, b2): the names of every two different lines within
-    ``max_edits`` edits, once each."""
-    index = _signed(rows, min_chars, max_edits, False)
-    probes = _signed(rows, min_chars, max_edits, True).withColumnRenamed("name1", "other")
-    apart = F.bit_count(F.shiftrightunsigned(F.col("name1").bitwiseXOR(F.col("other")), 64 - SIGNATURE))
-    pairs = written(
-        index.join(probes, "seg").where((F.col("name1") != F.col("other")) & (apart <= 2 * max_edits))
-        .select(F.least("name1", "other").alias("a"), F.greatest("name1", "other").alias("b")).distinct(),
-        "lines-pairs",
-    )
-    bloom = bloom_words(pairs.select(F.explode(F.array("a", "b")).alias("name")), "name")
-    lines = written(_texts(rows, bloom, min_chars).distinct(), "lines-texts")
+def _near(pairs: DataFrame, lines: DataFrame, max_edits: int) -> DataFrame:
+    """(a, a2, b, b2) of the pairs (a, b) whose texts are within ``max_edits``."""
     side = lambda x: lines.select(
         F.col("name1").alias(x), F.col("name2").alias(f"{x}2"), F.col("line").alias(f"t{x}")
     )
@@ -293,7 +291,6 @@ def near_lines(rows: DataFrame, *, max_edits: int, min_chars: int) -> DataFrame:
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "a2", "b", "b2"]
         for batch in batches:
             # Pairs of about one length together, and so many that the arrays
             # of a step stay small.
@@ -301,86 +298,119 @@ def near_lines(rows: DataFrame, *, max_edits: int, min_chars: int) -> DataFrame:
             order = np.argsort(size, kind="stable")
             start = 0
             while start < len(order):
-                stop = start + max(1, min(2048, (1 << 20) // (int(size[order[start]]) + 1)))
-                stop = min(stop, start + int(np.searchsorted(size[order[start:]], 2 * size[order[start]] + 64)))
-                part = batch.take(pa.array(order[start : max(stop, start + 1)]))
-                start = max(stop, start + 1)
+                least = int(size[order[start]])
+                stop = start + max(1, min(2048, (1 << 20) // (least + 1)))
+                stop = max(start + 1, min(stop, start + int(np.searchsorted(size[order[start:]], 2 * least + 64))))
+                part = batch.take(pa.array(order[start:stop]))
+                start = stop
                 found = edit_distances(part.column("ta").to_pylist(), part.column("tb").to_pylist(), max_edits)
-                yield part.select(names).filter(pa.array((found >= 1) & (found <= max_edits)))
+                yield part.select(["a", "a2", "b", "b2"]).filter(pa.array((found >= 1) & (found <= max_edits)))
 
+    return both.select("a", "a2", "b", "b2", "ta", "tb").transform(mapped, verify, "a long, a2 long, b long, b2 long")
+
+
+def near_lines(rows: DataFrame, *, max_edits: int, min_chars: int) -> DataFrame:
+    """(b1, b2, a1, a2): the names of every line (b) that has a near line of a
+    smaller name, and of the smallest such line (a) it was compared with."""
+    seg = Window.partitionBy("seg")
+    least = lambda probing: F.min(F.when(F.col("probing") == probing, F.col("name"))).over(seg)
+    meet = written(
+        _signed(rows, min_chars, max_edits)
+        .select("*", least(False).alias("index_hub"), least(True).alias("probe_hub"), F.max("name").over(seg).alias("last"))
+        .where("index_hub < last or probe_hub < last").where("index_hub is not null and probe_hub is not null").drop("last"),
+        "lines-meet",
+    )
+    other = F.when(F.col("probing"), F.col("index_hub")).otherwise(F.col("probe_hub"))
+    apart = lambda x, y: F.bit_count(F.shiftrightunsigned(F.col(x).bitwiseXOR(F.col(y)), 64 - SIGNATURE))
+    first = written(
+        meet.select(F.col("name").alias("x"), other.alias("y")).where(F.col("x") != F.col("y"))
+        .where(apart("x", "y") <= 2 * max_edits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
+        "lines-hubs",
+    )
+    bloom = bloom_words(meet.select("name").distinct(), "name")
+    lines = written(_texts(rows, bloom, min_chars).distinct(), "lines-texts")
+    settled = written(_near(first, lines, max_edits), "lines-settled")
+    # What hubs did not settle, with all smaller names it meets.
+    done = settled.select("b").distinct()
+    loose = meet.select("seg", F.col("name").alias("b"), F.col("probing").alias("as_b")).join(done, "b", "left_anti")
+    smaller = meet.select("seg", F.col("name").alias("a"), F.col("probing").alias("as_a"))
+    rest = (
+        loose.join(smaller, "seg").where((F.col("as_a") != F.col("as_b")) & (F.col("a") < F.col("b")))
+        .where(apart("a", "b") <= 2 * max_edits).select("a", "b").distinct()
+    )
+    rest = written(rest.join(first, ["a", "b"], "left_anti"), "lines-rest")
+    found = settled.unionByName(_near(rest, lines, max_edits))
     return (
-        both.select("a", "a2", "b", "b2", "ta", "tb").transform(mapped, verify, "a long, a2 long, b long, b2 long")
-        .toDF("a1", "a2", "b1", "b2")
+        found.groupBy("b", "b2").agg(F.min(F.struct("a", "a2")).alias("near"))
+        .select(F.col("b").alias("b1"), "b2", F.col("near.a").alias("a1"), F.col("near.a2").alias("a2"))
     )
 
 
 def dropped_lines(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS
 ) -> DataFrame:
-    """(key, h, dropped, n_links) of the documents that lose lines or whose
-    lines have links: numbers of the dropped lines in order (from 0), and the
-    links (to other texts of lines) of its lines, summed.  ``h`` is a hash of
-    the text: rows that repeat key and text are one document."""
+    """(key, h, dropped, twins) of the documents that lose lines: the numbers
+    of the dropped lines in order (from 0), and the keys of the documents that
+    first hold the lines for whose sake they are dropped (distinct, in order).
+    ``h`` is a hash of the text: rows that repeat key and text are one
+    document."""
     rows = _rows(docs, key, text)
     places = written(_occurrences(rows, min_chars).distinct(), "lines-places")
     first = F.struct(F.col("key").isNull().alias("none"), "key", "h", "line")
     firsts = written(
         places.groupBy("name1", "name2").agg(F.min(first).alias("first"), F.count("*").alias("n")), "lines-first"
     )
-    links = written(near_lines(rows, max_edits=max_edits, min_chars=min_chars), "lines-links")
-    both = links.unionByName(
-        links.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2"))
-    )
-    # Links name few lines; firsts are unique, so only the link side can be hot.
-    earliest = written(
-        both.join(
-            firsts.select(F.col("name1").alias("b1"), F.col("name2").alias("b2"), "first"), ["b1", "b2"]
-        ).groupBy(F.col("a1").alias("name1"), F.col("a2").alias("name2"))
-        .agg(F.min("first").alias("earliest"), F.count("*").alias("links")),
-        "lines-earliest",
+    near = written(near_lines(rows, max_edits=max_edits, min_chars=min_chars), "lines-near")
+    held = firsts.select(F.col("name1").alias("a1"), F.col("name2").alias("a2"), F.col("first.key").alias("near_key"))
+    late = written(
+        near.join(held, ["a1", "a2"]).select(F.col("b1").alias("name1"), F.col("b2").alias("name2"), "near_key", F.lit(True).alias("late")),
+        "lines-late",
     )
     judged = written(
-        firsts.join(earliest, ["name1", "name2"], "left").where("n > 1 or links > 0")
-        .select("name1", "name2", "first", F.coalesce(F.col("earliest") < F.col("first"), F.lit(False)).alias("late"),
-                F.coalesce("links", F.lit(0)).alias("links")),
+        firsts.join(late, ["name1", "name2"], "left").where("n > 1 or late").select(
+            "name1", "name2", "first", F.coalesce("late", F.lit(False)).alias("late"),
+            F.when(F.col("late"), F.col("near_key")).otherwise(F.col("first.key")).alias("twin"),
+        ),
         "lines-judged",
     )
     here = F.col("key").eqNullSafe(F.col("first.key")) & (F.col("h") == F.col("first.h")) & (F.col("line") == F.col("first.line"))
     return written(
-        places.join(judged, ["name1", "name2"])
-        .select("key", "h", "links", F.when(F.col("late") | ~here, F.col("line")).alias("line"))
-        .groupBy("key", "h").agg(F.sort_array(F.collect_list("line")).alias("dropped"), F.sum("links").alias("n_links")),
+        places.join(judged, ["name1", "name2"]).where(F.col("late") | ~here).groupBy("key", "h")
+        .agg(F.sort_array(F.collect_list("line")).alias("dropped"), F.sort_array(F.collect_set("twin")).alias("twins")),
         "lines-dropped",
     )
 
 
 def dedup_lines(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
-    dropped_as: str = "dropped_lines", links_as: str = "n_links",
+    dropped_as: str = "dropped_lines", twins_as: str = "twin_ids",
 ) -> DataFrame:
     """The rows of ``docs`` without their dropped lines, with two more columns
-    at the end: the dropped line numbers (an array) and the number of links,
-    named so that they clash with no column.  Other columns are as they are.  NULL text stays NULL; a text all of whose lines are dropped
-    is empty; short lines always stay."""
+    at the end: the dropped line numbers and the keys of the documents with the
+    lines that stand for them (arrays), named so that they clash with no
+    column.  Other columns are as they are.  NULL text stays NULL; a text all
+    of whose lines are dropped is empty; short lines always stay."""
     dropped = dropped_lines(docs, key=key, text=text, max_edits=max_edits, min_chars=min_chars).select(
-        F.col("key").alias("__key"), F.col("h").alias("__h"), F.col("dropped").alias("__dropped"), F.col("n_links").alias("__links")
+        F.col("key").alias("__key"), F.col("h").alias("__h"), F.col("dropped").alias("__dropped"), F.col("twins").alias("__twins")
     )
     h = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     both = docs.join(dropped, docs[key].eqNullSafe(F.col("__key")) & (h == F.col("__h")), "left")
     lines = F.filter(F.split(F.col(text), "\n", -1), lambda _, i: ~F.array_contains("__dropped", i))
     fresh = F.when(F.size("__dropped") > 0, F.array_join(lines, "\n")).otherwise(F.col(text))
+    none = lambda c: F.coalesce(c, F.array().cast(dropped.schema[c].dataType))
     return both.select(
         *[fresh.alias(text) if c == text else docs[c] for c in docs.columns],
-        F.coalesce("__dropped", F.array().cast("array<int>")).alias(dropped_as),
-        F.coalesce("__links", F.lit(0)).alias(links_as),
+        none("__dropped").alias(dropped_as),
+        none("__twins").alias(twins_as),
     )
 
 
 def op2_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     n = docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long"))
+    joined = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
     return dedup_lines(n).select(
         "doc_id", "n_lines", F.size("dropped_lines").cast("long").alias("n_dropped"),
-        F.array_join(F.col("dropped_lines").cast("array<string>"), ",").alias("dropped_lines"), "n_links",
+        joined("dropped_lines"), joined("twin_ids"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
     )
