@@ -6,7 +6,7 @@ import numpy as np
 
 from tests.conftest import SF_MID
 from tripscope.llm.language_id import (
-    EMBEDDING, FILTERS, WIDTHS, WINDOW, LanguageModel, fit_language, identify_language, op9_language, windows,
+    EMBEDDING, FILTERS, WIDTHS, WINDOW, LanguageModel, fit_language, has_letter, identify_language, op9_language, windows,
 )
 
 
@@ -41,6 +41,10 @@ def test_tables_equal_the_convolution():
         assert np.allclose(np.mean(each, axis=0), z, atol=1e-3)
 
 
+def test_letters():
+    assert has_letter("½é") and has_letter("中") and not has_letter("½ 12_ ²") and not has_letter("") and not has_letter(None)
+
+
 def test_odd_rows(odd, none):
     by = {r.doc_id: r for r in identify_language(odd, random_model()).collect()}
     assert all((by[k].lang_pred, by[k].score) == ("und", 0.0) for k in (3, 4, 8))

@@ -33,6 +33,11 @@ UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str | None) -> bool:
+    """A letter of any script (word characters also hold numbers like ½)."""
+    return bool(text) and any(m.group().isalpha() for m in _LETTER.finditer(text))
+
+
 def windows(text: bytes) -> np.ndarray:
     """(number, WINDOW + REACH) bytes, zeros behind the end; one at least."""
     n = max(1, -(-len(text) // WINDOW))
@@ -94,7 +99,7 @@ class LanguageModel:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, probability) per text; ``und`` and 0 without a letter."""
         out = [(UNKNOWN, 0.0)] * len(texts)
-        asked = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+        asked = [i for i, t in enumerate(texts) if has_letter(t)]
         if asked and self.languages:
             z = self.logits([texts[i].encode("utf-8", "replace") for i in asked])
             p = np.exp(z - z.max(axis=1, keepdims=True))
@@ -191,7 +196,7 @@ def fit_language(
             for part in slices(batch, "text"):
                 row, out = [], []
                 for i, t in enumerate(part.column("text").to_pylist()):
-                    if not _LETTER.search(t):
+                    if not has_letter(t):
                         continue
                     w = windows(t.encode("utf-8", "replace"))
                     for k in np.unique(np.linspace(0, len(w) - 1, min(len(w), max_windows)).astype(int)):
