@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 
 from tests.llm.conftest import prose
+from tripscope.llm import line_dedup
 from tripscope.llm.line_dedup import Lines, dedup_lines, edit_distances
 
 
@@ -105,3 +107,38 @@ def test_odd_rows_and_clashing_columns(odd, none):
     assert by[13].d == [2, 3] and by[13].l == [1] and by[13].text == "\n\nend" and by[3].text is None and by[1].d == []
     assert by[2].text == odd.where("doc_id = 2").first().text  # other case, other line
     assert dedup_lines(none).count() == 0
+
+
+def family(seed, n):
+    """Variants of some lines, each within two edits of its own line."""
+    r = random.Random(seed)
+    pool = [prose(200 + seed + i, 12) for i in range(3)]
+    return [edited(r, r.choice(pool), r.randint(0, 2)) for _ in range(n)]
+
+
+def links_of(texts, most=2, least=32):
+    """Every pair of different texts within ``most`` edits, the smaller name first."""
+    texts = sorted({x for x in texts if len(x) >= least})
+    name = names(texts, least)
+    return {
+        tuple(sorted((x, y), key=name.get))
+        for i, x in enumerate(texts) for y in texts[:i] if abs(len(x) - len(y)) <= most and distance(x, y) <= most
+    }
+
+
+def test_all_links_are_found_and_counted(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(line_dedup, "HOT_PROBES", 3)
+    lines = family(4, 60)
+    docs = [(k, "\n".join(lines[k : k + 1 + k % 3] + ["short"])) for k in range(60)]
+    docs += [(60, None), (61, docs[0][1]), (62, "\n")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = links_of([x for _, t in docs for x in (t or "").split("\n")])
+    assert len(want) > 100
+    by = {v: k for k, v in names(sorted({x for p in want for x in p}), 32).items()}
+    found = line_dedup.near_lines(line_dedup._rows(df, "doc_id", "text"), max_edits=2, min_chars=32).collect()
+    pair = lambda a, b: by[a, b % (1 << 64)]
+    assert len(found) == len(want) and {(pair(r.a1, r.a2), pair(r.b1, r.b2)) for r in found} == want
+    degree = Counter(x for p in want for x in p)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.n_links for r in line_dedup.op2_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {k: sum(degree[x] for x in (t or "").split("\n")) for k, t in docs}

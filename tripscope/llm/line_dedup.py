@@ -9,15 +9,12 @@ classes of characters: an edit changes two bits at most), then verified by a
 banded bit-parallel edit distance over many pairs at once.
 
 Of equal lines the first stays, by (key, line number).  Of two near lines the
-one with the smaller name (a hash of its text) stays, so that the one to keep
-is known where lines meet: first every line is compared with the smallest name
-that it meets under a segment, and only lines that this does not settle are
-compared with all smaller ones that they meet.  Many variants of one line thus
-cost one pair each.  A line is dropped if and only if a near line of a smaller
-name exists, kept or not, or an equal one stands before it.  Lines of fewer
-than ``min_chars`` code points are never compared or dropped.  Repeats of a
-line are left out of index and probes map side, so a line of a third of all
-documents meets others once a task.
+one with the smaller name (a hash of its text) stays.  A line is dropped if and
+only if a near line of a smaller name exists, kept or not, or an equal one
+stands before it.  Every link between two different lines is found and
+counted.  Lines of fewer than ``min_chars`` code points are never compared or
+dropped.  Index and probes are made distinct before they are joined, so a line
+of a third of all documents meets others once.
 """
 
 from __future__ import annotations
@@ -28,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tripscope.llm.common import mapped, slices, table, written
 
@@ -36,6 +32,8 @@ MAX_EDITS = 2
 MIN_CHARS = 32
 SIGNATURE = 24
 BLOOM_BITS = 1 << 23
+#: Probes of one segment that a part of the join takes.
+HOT_PROBES = 1024
 
 _U = np.uint64
 _FACTORS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -218,8 +216,9 @@ def _occurrences(rows: DataFrame, min_chars: int) -> DataFrame:
     return rows.transform(mapped, find, f"key {dict(rows.dtypes)['key']}, h long, line int, name1 long, name2 long")
 
 
-def _signed(rows: DataFrame, min_chars: int, max_edits: int) -> DataFrame:
-    """(seg, name, probing) of the index and the probes of every line."""
+def _signed(rows: DataFrame, min_chars: int, max_edits: int, bloom: np.ndarray | None = None) -> DataFrame:
+    """(seg, name, probing) of the index and the probes of every line; with a
+    filter, of the segments in it."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -230,6 +229,9 @@ def _signed(rows: DataFrame, min_chars: int, max_edits: int) -> DataFrame:
                 if len(fresh):
                     for probing in (False, True):
                         keys, of = lines.probes(fresh, max_edits, min_chars) if probing else lines.index(fresh, max_edits)
+                        if bloom is not None:
+                            some = _in_bloom(bloom, keys)
+                            keys, of = keys[some], of[some]
                         yield pa.RecordBatch.from_arrays(
                             [_long(keys), _long(lines.name1[of]), pa.array(np.full(len(of), probing))], ["seg", "name", "probing"]
                         )
@@ -310,88 +312,89 @@ def _near(pairs: DataFrame, lines: DataFrame, max_edits: int) -> DataFrame:
 
 
 def near_lines(rows: DataFrame, *, max_edits: int, min_chars: int) -> DataFrame:
-    """(b1, b2, a1, a2): the names of every line (b) that has a near line of a
-    smaller name, and of the smallest such line (a) it was compared with."""
-    seg = Window.partitionBy("seg")
-    least = lambda probing: F.min(F.when(F.col("probing") == probing, F.col("name"))).over(seg)
-    meet = written(
-        _signed(rows, min_chars, max_edits)
-        .select("*", least(False).alias("index_hub"), least(True).alias("probe_hub"), F.max("name").over(seg).alias("last"))
-        .where("index_hub < last or probe_hub < last").where("index_hub is not null and probe_hub is not null").drop("last"),
-        "lines-meet",
+    """(a1, a2, b1, b2): the names of every two different lines within
+    ``max_edits`` edits, once each, ``a`` the smaller."""
+    # A segment matters if an index and a probe of different lines share it.
+    shared = (
+        _signed(rows, min_chars, max_edits).groupBy("seg")
+        .agg(F.min("name").alias("low"), F.max("name").alias("high"), F.min("probing").alias("some"), F.max("probing").alias("all"))
+        .where("low < high and some != all")
     )
-    other = F.when(F.col("probing"), F.col("index_hub")).otherwise(F.col("probe_hub"))
-    apart = lambda x, y: F.bit_count(F.shiftrightunsigned(F.col(x).bitwiseXOR(F.col(y)), 64 - SIGNATURE))
-    first = written(
-        meet.select(F.col("name").alias("x"), other.alias("y")).where(F.col("x") != F.col("y"))
-        .where(apart("x", "y") <= 2 * max_edits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
-        "lines-hubs",
+    bloom = bloom_words(shared, "seg")
+    meet = written(_signed(rows, min_chars, max_edits, bloom).distinct(), "lines-meet")
+    # Probes of a hot segment are dealt over parts, each with the whole index.
+    parts = written(
+        meet.groupBy("seg").agg(F.count_if("probing").alias("n"), F.count("*").alias("size"), F.min("name").alias("low"), F.max("name").alias("high"))
+        .where("low < high and n > 0 and n < size").select("seg", F.expr(f"cast((n - 1) div {HOT_PROBES} + 1 as int)").alias("parts")),
+        "lines-parts",
     )
-    bloom = bloom_words(meet.select("name").distinct(), "name")
-    lines = written(_texts(rows, bloom, min_chars).distinct(), "lines-texts")
-    settled = written(_near(first, lines, max_edits), "lines-settled")
-    # What hubs did not settle, with all smaller names it meets.
-    done = settled.select("b").distinct()
-    loose = meet.select("seg", F.col("name").alias("b"), F.col("probing").alias("as_b")).join(done, "b", "left_anti")
-    smaller = meet.select("seg", F.col("name").alias("a"), F.col("probing").alias("as_a"))
-    rest = (
-        loose.join(smaller, "seg").where((F.col("as_a") != F.col("as_b")) & (F.col("a") < F.col("b")))
-        .where(apart("a", "b") <= 2 * max_edits).select("a", "b").distinct()
-    )
-    rest = written(rest.join(first, ["a", "b"], "left_anti"), "lines-rest")
-    found = settled.unionByName(_near(rest, lines, max_edits))
-    return (
-        found.groupBy("b", "b2").agg(F.min(F.struct("a", "a2")).alias("near"))
-        .select(F.col("b").alias("b1"), "b2", F.col("near.a").alias("a1"), F.col("near.a2").alias("a2"))
+    dealt = written(meet.join(parts, "seg"), "lines-dealt")
+    index = dealt.where("not probing").select("seg", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("name").alias("x"))
+    probes = dealt.where("probing").select("seg", F.pmod(F.xxhash64("name"), "parts").cast("int").alias("part"), F.col("name").alias("y"))
+    apart = F.bit_count(F.shiftrightunsigned(F.col("x").bitwiseXOR(F.col("y")), 64 - SIGNATURE))
+    pairs = written(
+        index.join(probes, ["seg", "part"]).where((F.col("x") != F.col("y")) & (apart <= 2 * max_edits))
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
+        "lines-pairs",
     )
+    bloom = bloom_words(pairs.select(F.explode(F.array("a", "b")).alias("name")), "name")
+    lines = written(_texts(rows, bloom, min_chars).distinct(), "lines-texts")
+    return _near(pairs, lines, max_edits).toDF("a1", "a2", "b1", "b2")
 
 
 def dropped_lines(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS
 ) -> DataFrame:
-    """(key, h, dropped, twins) of the documents that lose lines: the numbers
-    of the dropped lines in order (from 0), and the keys of the documents that
-    first hold the lines for whose sake they are dropped (distinct, in order).
-    ``h`` is a hash of the text: rows that repeat key and text are one
-    document."""
+    """(key, h, dropped, twins, n_links) of the documents that lose lines or
+    whose lines have links: the numbers of the dropped lines in order (from 0),
+    the keys of the documents that first hold the lines for whose sake they are
+    dropped (distinct, in order), and the links (to other texts of lines) of
+    the document's lines, summed.  ``h`` is a hash of the text: rows that
+    repeat key and text are one document."""
     rows = _rows(docs, key, text)
     places = written(_occurrences(rows, min_chars).distinct(), "lines-places")
     first = F.struct(F.col("key").isNull().alias("none"), "key", "h", "line")
     firsts = written(
         places.groupBy("name1", "name2").agg(F.min(first).alias("first"), F.count("*").alias("n")), "lines-first"
     )
-    near = written(near_lines(rows, max_edits=max_edits, min_chars=min_chars), "lines-near")
+    links = written(near_lines(rows, max_edits=max_edits, min_chars=min_chars), "lines-links")
+    near = written(links.groupBy("b1", "b2").agg(F.min(F.struct("a1", "a2")).alias("near")).select("b1", "b2", "near.*"), "lines-near")
     held = firsts.select(F.col("name1").alias("a1"), F.col("name2").alias("a2"), F.col("first.key").alias("near_key"))
     late = written(
         near.join(held, ["a1", "a2"]).select(F.col("b1").alias("name1"), F.col("b2").alias("name2"), "near_key", F.lit(True).alias("late")),
         "lines-late",
     )
+    ends = lambda x: links.select(F.col(f"{x}1").alias("name1"), F.col(f"{x}2").alias("name2"))
+    degrees = written(ends("a").unionByName(ends("b")).groupBy("name1", "name2").agg(F.count("*").alias("links")), "lines-degrees")
     judged = written(
-        firsts.join(late, ["name1", "name2"], "left").where("n > 1 or late").select(
-            "name1", "name2", "first", F.coalesce("late", F.lit(False)).alias("late"),
+        firsts.join(degrees, ["name1", "name2"], "left").join(late, ["name1", "name2"], "left").where("n > 1 or links > 0").select(
+            "name1", "name2", "first", F.coalesce("late", F.lit(False)).alias("late"), F.coalesce("links", F.lit(0)).alias("links"),
             F.when(F.col("late"), F.col("near_key")).otherwise(F.col("first.key")).alias("twin"),
         ),
         "lines-judged",
     )
     here = F.col("key").eqNullSafe(F.col("first.key")) & (F.col("h") == F.col("first.h")) & (F.col("line") == F.col("first.line"))
+    goes = lambda c: F.when(F.col("late") | ~here, F.col(c)).alias(c)
     return written(
-        places.join(judged, ["name1", "name2"]).where(F.col("late") | ~here).groupBy("key", "h")
-        .agg(F.sort_array(F.collect_list("line")).alias("dropped"), F.sort_array(F.collect_set("twin")).alias("twins")),
+        places.join(judged, ["name1", "name2"]).select("key", "h", "links", goes("line"), goes("twin")).groupBy("key", "h")
+        .agg(F.sort_array(F.collect_list("line")).alias("dropped"), F.sort_array(F.collect_set("twin")).alias("twins"),
+             F.sum("links").alias("n_links")),
         "lines-dropped",
     )
 
 
 def dedup_lines(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
-    dropped_as: str = "dropped_lines", twins_as: str = "twin_ids",
+    dropped_as: str = "dropped_lines", twins_as: str = "twin_ids", links_as: str | None = None,
 ) -> DataFrame:
     """The rows of ``docs`` without their dropped lines, with two more columns
     at the end: the dropped line numbers and the keys of the documents with the
     lines that stand for them (arrays), named so that they clash with no
-    column.  Other columns are as they are.  NULL text stays NULL; a text all
+    column, and with ``links_as`` one more, the number of links.  Other columns are as they are.  NULL text stays NULL; a text all
     of whose lines are dropped is empty; short lines always stay."""
     dropped = dropped_lines(docs, key=key, text=text, max_edits=max_edits, min_chars=min_chars).select(
-        F.col("key").alias("__key"), F.col("h").alias("__h"), F.col("dropped").alias("__dropped"), F.col("twins").alias("__twins")
+        F.col("key").alias("__key"), F.col("h").alias("__h"), F.col("dropped").alias("__dropped"), F.col("twins").alias("__twins"),
+        F.col("n_links").alias("__links"),
     )
     h = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     both = docs.join(dropped, docs[key].eqNullSafe(F.col("__key")) & (h == F.col("__h")), "left")
@@ -402,6 +405,7 @@ def dedup_lines(
         *[fresh.alias(text) if c == text else docs[c] for c in docs.columns],
         none("__dropped").alias(dropped_as),
         none("__twins").alias(twins_as),
+        *([F.coalesce("__links", F.lit(0)).alias(links_as)] if links_as else []),
     )
 
 
@@ -409,8 +413,8 @@ def op2_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     n = docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long"))
     joined = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
-    return dedup_lines(n).select(
+    return dedup_lines(n, links_as="n_links").select(
         "doc_id", "n_lines", F.size("dropped_lines").cast("long").alias("n_dropped"),
-        joined("dropped_lines"), joined("twin_ids"),
+        joined("dropped_lines"), joined("twin_ids"), "n_links",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
     )
