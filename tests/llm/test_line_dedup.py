@@ -142,3 +142,39 @@ def test_all_links_are_found_and_counted(spark, monkeypatch, tmp_path):
     df.write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.n_links for r in line_dedup.op2_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {k: sum(degree[x] for x in (t or "").split("\n")) for k, t in docs}
+
+
+def greedy(texts, most=2, least=32):
+    """In the order of names: a text stays unless one near it does.  {text that
+    goes: the smallest text near it that stays}"""
+    name, out, stay = names(sorted(set(texts)), least), {}, []
+    for x in sorted(name, key=name.get):
+        near = [y for y in stay if abs(len(x) - len(y)) <= most and distance(x, y) <= most]
+        if near:
+            out[x] = near[0]
+        else:
+            stay.append(x)
+    return out
+
+
+def test_each_dropped_line_has_a_kept_one_near_it(spark):
+    base, chains = prose(77, 12), []
+    for c in "ABCD":  # steps of two edits: neighbours are near, others are not
+        line = c + base
+        for k in range(12):
+            chains.append(line)
+            line = line[: 3 * k + 1] + "##" + line[3 * k + 3 :]
+    docs = [(k, x) for k, x in enumerate(chains + family(9, 40))]
+    docs += [(100 + k, x) for k, x in docs[::5]]  # exact repeats stand behind
+    out = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    text, stays = dict(docs), {r.doc_id for r in out if not r.dropped_lines}
+    near = lambda a, b: distance(text[a], text[b]) <= 2
+    for r in out:
+        if r.dropped_lines:
+            assert len(r.twin_ids) == 1 and r.twin_ids[0] in stays and near(r.doc_id, r.twin_ids[0])
+    assert not any(a != b and near(a, b) for a in stays for b in stays)
+    gone = greedy(x for _, x in docs)
+    first = {x: k for k, x in reversed(docs)}
+    assert stays == {k for x, k in first.items() if x not in gone} and len(gone) > 30
+    want = {r.doc_id: [first[gone.get(text[r.doc_id], text[r.doc_id])]] for r in out if r.dropped_lines}
+    assert {r.doc_id: r.twin_ids for r in out if r.dropped_lines} == want

@@ -8,11 +8,11 @@ segment.  What meets is tested by a signature (the parity of the counts of 24
 classes of characters: an edit changes two bits at most), then verified by a
 banded bit-parallel edit distance over many pairs at once.
 
-Of equal lines the first stays, by (key, line number).  Of two near lines the
-one with the smaller name (a hash of its text) stays.  A line is dropped if and
-only if a near line of a smaller name exists, kept or not, or an equal one
-stands before it.  Every link between two different lines is found and
-counted.  Lines of fewer than ``min_chars`` code points are never compared or
+Of equal lines the first stays, by (key, line number).  Lines are decided in
+the order of their names (hashes of their texts): one stays unless a line near
+it already does.  So a line is dropped if and only if a near line is kept, or
+an equal one stands before it.  Every link between two different lines is found
+and counted.  Lines of fewer than ``min_chars`` code points are never compared or
 dropped.  Index and probes are made distinct before they are joined, so a line
 of a third of all documents meets others once.
 """
@@ -342,6 +342,35 @@ def near_lines(rows: DataFrame, *, max_edits: int, min_chars: int) -> DataFrame:
     return _near(pairs, lines, max_edits).toDF("a1", "a2", "b1", "b2")
 
 
+def stand_ins(links: DataFrame) -> DataFrame:
+    """(b1, b2, a1, a2): every line (b) that goes, with the smallest line near
+    it that stays (a).  In rounds: lines with no smaller undecided neighbour
+    stay, their neighbours go.  So no two near lines stay, and whatever goes is
+    near one that stays."""
+    open_, gone = links, None
+    while not open_.isEmpty():
+        ends = [open_.select(F.col(f"{x}1").alias("x1"), F.col(f"{x}2").alias("x2"), F.lit(x == "b").alias("larger")) for x in "ab"]
+        stay = written(
+            ends[0].unionByName(ends[1]).groupBy("x1", "x2").agg(F.max("larger").alias("larger")).where("not larger").select("x1", "x2"),
+            "lines-stay",
+        )
+        as_ = lambda df, x: df.toDF(f"{x}1", f"{x}2")
+        go = written(
+            open_.join(as_(stay, "a"), ["a1", "a2"], "left_semi").select(F.col("b1").alias("x1"), F.col("b2").alias("x2")).distinct(),
+            "lines-go",
+        )
+        decided = written(stay.unionByName(go), "lines-decided")
+        open_ = written(
+            open_.join(as_(decided, "a"), ["a1", "a2"], "left_anti").join(as_(go, "b"), ["b1", "b2"], "left_anti").select(*links.columns),
+            "lines-open",
+        )
+        gone = go if gone is None else written(gone.unionByName(go), "lines-gone")
+    if gone is None:
+        return links.select("b1", "b2", "a1", "a2")
+    kept = links.join(gone.toDF("a1", "a2"), ["a1", "a2"], "left_anti").join(gone.toDF("b1", "b2"), ["b1", "b2"], "left_semi")
+    return kept.groupBy("b1", "b2").agg(F.min(F.struct("a1", "a2")).alias("near")).select("b1", "b2", "near.*")
+
+
 def dropped_lines(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS
 ) -> DataFrame:
@@ -358,7 +387,7 @@ def dropped_lines(
         places.groupBy("name1", "name2").agg(F.min(first).alias("first"), F.count("*").alias("n")), "lines-first"
     )
     links = written(near_lines(rows, max_edits=max_edits, min_chars=min_chars), "lines-links")
-    near = written(links.groupBy("b1", "b2").agg(F.min(F.struct("a1", "a2")).alias("near")).select("b1", "b2", "near.*"), "lines-near")
+    near = written(stand_ins(links), "lines-near")
     held = firsts.select(F.col("name1").alias("a1"), F.col("name2").alias("a2"), F.col("first.key").alias("near_key"))
     late = written(
         near.join(held, ["a1", "a2"]).select(F.col("b1").alias("name1"), F.col("b2").alias("name2"), "near_key", F.lit(True).alias("late")),
