@@ -113,3 +113,22 @@ def test_components_of_a_path_and_a_star(spark):
     out = {r.id: r.root for r in stars(spark.createDataFrame(links, "a long, b long")).collect()}
     assert out == {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 30)}
     assert stars(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_repeated_rows_and_rows_without_a_key(spark, monkeypatch):
+    monkeypatch.setattr(setsketch, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(setsketch, "HUBS", 1)
+    docs = list(enumerate(family(11, 60, 12) + family(12, 50, 16))) + [(None, t) for t in family(13, 30, 10)]
+    one = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = brute(docs)
+    assert 20 < len({c for _, _, c, _ in want}) < len(want) - 20
+    df = one.crossJoin(spark.range(20).select("id")).drop("id").repartition(6)
+    assert got(df.transform(near_duplicates)) == sorted(want * 20)
+    # one row per class, though rows repeat and NULL keys are all alike
+    rows = [(1, "a b c"), (1, "a b c"), (1, "A  b c"), (1, "d e f"), (None, "g h"), (None, "g h"), (None, "i j"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    wanted = [(i, bytearray(words(t)[1]), k, bytearray(b"s")) for i, (k, t) in enumerate([rows[0], rows[3], rows[4], rows[6]])]
+    wanted = spark.createDataFrame(wanted, "id long, class binary, rep bigint, sketch binary")
+    sets = {0: "a b c", 1: "d e f", 2: "g h", 3: "i j"}
+    out = setsketch._sets(docs, wanted, key="doc_id", text="text").collect()
+    assert sorted((r.id, bytes(r.set)) for r in out) == [(i, shingles(words(t)[0]).tobytes()) for i, t in sets.items()]

@@ -69,6 +69,12 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
+def class_of(text: str | None) -> bytes:
+    """A 128-bit digest of the words of a text (A-Z in lower case) in a row."""
+    found = (text or "").encode("utf-8", "replace").lower().split()
+    return hashlib.blake2b(b" ".join(found), digest_size=16).digest() if found else b""
+
+
 def words(text: str | None) -> tuple[np.ndarray, bytes]:
     """Hashes of the words of a text (A-Z in lower case) and a 128-bit digest
     of the words in a row."""
@@ -181,26 +187,50 @@ def _banded(classes: DataFrame) -> DataFrame:
     return classes.select("id", "n", "sketch").transform(mapped, cut, "bucket long, id long, n long")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, *, key: str, text: str) -> DataFrame:
-    """(id, sketch, set) of the wanted classes (id, class, rep, sketch), from
-    the text of their first document."""
+def _classed(docs: DataFrame, *, key: str, text: str) -> DataFrame:
+    """(key, class, text) of the rows, repeats of a key and class once a task."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    joined = rows.join(wanted, rows["key"].eqNullSafe(wanted["rep"])).select("id", "class", "sketch", "text")
 
-    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
         for batch in batches:
             for part in slices(batch, "text"):
-                same, sets = [], []
-                for c, t in zip(part.column("class").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    h, digest = words(t)
-                    same.append(digest == c)  # rows that repeat a key may have other texts
-                    sets.append(shingles(h).tobytes())
+                if len(seen) > 300_000:
+                    seen.clear()
+                classes, fresh = [class_of(t) for t in part.column("text").to_pylist()], []
+                for row in zip(part.column("key").to_pylist(), classes, strict=True):
+                    fresh.append(row not in seen)
+                    seen.add(row)
                 whole = pa.RecordBatch.from_arrays(
+                    [part.column("key"), pa.array(classes, pa.binary()), part.column("text")], ["key", "class", "text"]
+                )
+                yield whole.filter(pa.array(fresh, pa.bool_()))
+
+    return rows.transform(mapped, name, f"key {dict(rows.dtypes)['key']}, class binary, text string")
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, *, key: str, text: str) -> DataFrame:
+    """(id, sketch, set) of the wanted classes (id, class, rep, sketch), one
+    row each, from the text of a first document of theirs."""
+    rows = _classed(docs, key=key, text=text)
+    same = rows["key"].eqNullSafe(wanted["rep"]) & (rows["class"] == wanted["class"])
+    joined = rows.join(wanted, same).select("id", "sketch", "text")
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = [shingles(words(t)[0]).tobytes() for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("sketch"), pa.array(sets, pa.binary())], ["id", "sketch", "set"]
                 )
-                yield whole.filter(pa.array(same, pa.bool_()))
 
-    return joined.transform(mapped, shingle, "id long, sketch binary, set binary")
+    sets = written(joined.transform(mapped, shingle, "id long, sketch binary, set binary"), "near-sets")
+    # Rows that repeat key and words have one set: mostly there are none.
+    repeated = written(sets.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "near-repeated")
+    if repeated.isEmpty():
+        return sets
+    once = sets.join(repeated, "id", "left_semi").groupBy("id").agg(F.first("sketch").alias("sketch"), F.first("set").alias("set"))
+    return written(sets.join(repeated, "id", "left_anti").unionByName(once), "near-sets")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -290,7 +320,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     )
     members = written(in_band.withColumnRenamed("n", "na").join(buckets, "bucket"), "near-members")
     wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", "class", "rep", "sketch")
-    sets = written(_sets(docs, wanted, key=key, text=text), "near-sets")
+    sets = _sets(docs, wanted, key=key, text=text)
 
     alike = f"100 * least(na, nb) >= {threshold} * greatest(na, nb)"
     ordered = (F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
