@@ -178,3 +178,14 @@ def test_each_dropped_line_has_a_kept_one_near_it(spark):
     assert stays == {k for x, k in first.items() if x not in gone} and len(gone) > 30
     want = {r.doc_id: [first[gone.get(text[r.doc_id], text[r.doc_id])]] for r in out if r.dropped_lines}
     assert {r.doc_id: r.twin_ids for r in out if r.dropped_lines} == want
+
+
+def test_equal_lines_of_any_length_and_near_lines_above_the_least(spark):
+    docs = [(1, "a\n\nMenu\nNine char"), (2, "Menu\nb\n\na"), (3, "a\nMenus"), (4, "Nine chart"), (5, " \n "), (6, None)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string"), links_as="n_links")
+    by = {r.doc_id: r for r in out.collect()}
+    assert [by[k].dropped_lines for k in (2, 3, 5, 6)] == [[0, 3], [0], [1], []]
+    assert by[2].text == "b\n" and by[2].twin_ids == [1] and by[3].text == "Menus" and by[1].text.startswith("a\n\nMenu")
+    # nine code points have near lines, five have not
+    assert line_dedup.MIN_CHARS == 9 and len(by[1].dropped_lines) + len(by[4].dropped_lines) == 1
+    assert [by[k].n_links for k in range(1, 7)] == [1, 0, 0, 1, 0, 0]

@@ -12,8 +12,8 @@ Of equal lines the first stays, by (key, line number).  Lines are decided in
 the order of their names (hashes of their texts): one stays unless a line near
 it already does.  So a line is dropped if and only if a near line is kept, or
 an equal one stands before it.  Every link between two different lines is found
-and counted.  Lines of fewer than ``min_chars`` code points are never compared or
-dropped.  Index and probes are made distinct before they are joined, so a line
+and counted.  Lines of fewer than ``min_chars`` code points have no near lines;
+equal ones are judged whatever their length, but for empty lines.  Index and probes are made distinct before they are joined, so a line
 of a third of all documents meets others once.
 """
 
@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from tripscope.llm.common import mapped, slices, table, written
 
 MAX_EDITS = 2
-MIN_CHARS = 32
+#: Shorter lines are compared with equal ones only: each of the
+#: ``MAX_EDITS + 1`` segments of the edit join has three code points or more.
+MIN_CHARS = 3 * (MAX_EDITS + 1)
 SIGNATURE = 24
 BLOOM_BITS = 1 << 23
 #: Probes of one segment that a part of the join takes.
@@ -381,7 +383,7 @@ def dropped_lines(
     the document's lines, summed.  ``h`` is a hash of the text: rows that
     repeat key and text are one document."""
     rows = _rows(docs, key, text)
-    places = written(_occurrences(rows, min_chars).distinct(), "lines-places")
+    places = written(_occurrences(rows, 1).distinct(), "lines-places")
     first = F.struct(F.col("key").isNull().alias("none"), "key", "h", "line")
     firsts = written(
         places.groupBy("name1", "name2").agg(F.min(first).alias("first"), F.count("*").alias("n")), "lines-first"
@@ -420,7 +422,7 @@ def dedup_lines(
     at the end: the dropped line numbers and the keys of the documents with the
     lines that stand for them (arrays), named so that they clash with no
     column, and with ``links_as`` one more, the number of links.  Other columns are as they are.  NULL text stays NULL; a text all
-    of whose lines are dropped is empty; short lines always stay."""
+    of whose lines are dropped is empty; empty lines always stay."""
     dropped = dropped_lines(docs, key=key, text=text, max_edits=max_edits, min_chars=min_chars).select(
         F.col("key").alias("__key"), F.col("h").alias("__h"), F.col("dropped").alias("__dropped"), F.col("twins").alias("__twins"),
         F.col("n_links").alias("__links"),
