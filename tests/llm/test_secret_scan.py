@@ -70,3 +70,12 @@ def test_query_columns(spark, odd, none, tmp_path):
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == i for _, k, _ in base) for i in range(3)]
         assert r.base_sha256 == hashlib.sha256(",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in base).encode()).hexdigest()
     assert find_secrets(odd).count() == odd.count() and find_secrets(none).count() == 0
+
+
+def test_an_allowed_word_silences_its_own_part_only():
+    s, key = Scanner(), "Zk9Qw2Lr7Tb5Vn8Xc3Md6Pf1"
+    for t in (f"/example/hooks/{key}", f"{key}/sample", f"kind=dummy/{key}=", f"/example/a1/{key}/placeholder"):
+        found = [t[a:b] for a, k, b in s.spans(t) if k == 3]
+        assert any(key in x for x in found), (t, found)
+    for t in (f"/hooks/example{key}", f"{key}_sample/b", "a/550e8400-e29b-41d4-a716-446655440000", "path/to/some/file_name-2024-01-02"):
+        assert not s.spans(t), t

@@ -4,8 +4,8 @@ A candidate is a maximal run of a class's characters, at least a window long,
 that mixes letters and digits.  A window slides over it; entering and leaving
 characters change two counts and two terms of the entropy sum, so a step costs
 the same for any window.  Windows at or above the class's threshold are merged
-into spans.  Spans that lie inside a pattern's span, or whose text the
-allow-list knows, are not reported.
+into spans.  Spans that lie inside a pattern's span are not reported, nor those
+whose parts, between / and =, the allow-list knows.
 """
 
 from __future__ import annotations
@@ -60,6 +60,12 @@ ALLOW = (
 )
 
 
+#: What ends a part of a run, for the allow-list.
+PART_ENDS = re.compile("[/=]")
+#: Parts that say nothing for or against: words, numbers.
+PLAIN = re.compile(r"[A-Za-z_\-]*|[0-9_\-]*")
+
+
 def entropy_spans(run: str, window: int, bits: float) -> list[tuple[int, int]]:
     """Merged spans of the windows of ``run`` whose Shannon entropy is at least
     ``bits``.  Sum of c*log2(c) over the counts is kept by two updates a step:
@@ -118,16 +124,16 @@ class Scanner:
         added: set[tuple[int, int]] = set()
         for run in self.runs.finditer(text) if self.runs else ():
             word = run.group()
-            if word.isalpha() or not self.mixed.search(word) or self._known(word):
+            if word.isalpha() or not self.mixed.search(word):
                 continue
             for c, pattern in self.classes:
                 for m in pattern.finditer(word):
                     if not self.mixed.search(m.group()) or self._known(m.group()):
                         continue
                     for a, b in entropy_spans(m.group(), c.window, c.bits):
-                        a, b = run.start() + m.start() + a, run.start() + m.start() + b
-                        if not self._known(text[a:b]):
-                            added.add((a, b))
+                        a, b = m.start() + a, m.start() + b
+                        if not self._known(word[a:b]) and not self._known_around(word, a, b):
+                            added.add((run.start() + a, run.start() + b))
         taken = [(a, b) for a, _, b in base]
         for a, b in sorted(added, key=lambda s: (s[0] - s[1], s)):  # the longest first
             if not any(x <= a and b <= y for x, y in taken):
@@ -136,7 +142,20 @@ class Scanner:
         return sorted(base)
 
     def _known(self, text: str) -> bool:
-        return self.allow is not None and self.allow.fullmatch(text) is not None
+        """Of a text in several parts, one known part does not vouch for the others."""
+        return self.allow is not None and not PART_ENDS.search(text) and self.allow.fullmatch(text) is not None
+
+    def _known_around(self, run: str, a: int, b: int) -> bool:
+        """Every part of the run that the span lies in is known, or is plain
+        beside a known one or in a known whole."""
+        if self.allow is None:
+            return False
+        start = max(run.rfind(c, 0, a + 1) for c in "/=") + 1
+        stop = PART_ENDS.search(run, b - 1)
+        whole = run[start : stop.start() if stop else len(run)]
+        parts = [x for x in PART_ENDS.split(whole) if not self._known(x)]
+        some = len(parts) < whole.count("/") + whole.count("=") + 1
+        return all(PLAIN.fullmatch(x) for x in parts) and (some or self.allow.fullmatch(whole) is not None)
 
 
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
