@@ -189,3 +189,22 @@ def test_equal_lines_of_any_length_and_near_lines_above_the_least(spark):
     # nine code points have near lines, five have not
     assert line_dedup.MIN_CHARS == 9 and len(by[1].dropped_lines) + len(by[4].dropped_lines) == 1
     assert [by[k].n_links for k in range(1, 7)] == [1, 0, 0, 1, 0, 0]
+
+
+def test_repeats_meet_once_and_hot_segments_are_dealt(spark, monkeypatch):
+    kept = {}
+
+    def spy(df, name, f=line_dedup.written):
+        kept[name] = f(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(line_dedup, "written", spy)
+    monkeypatch.setattr(line_dedup, "HOT_PROBES", 4)
+    opening = prose(5, 12)[:40]
+    texts = [opening + prose(300 + i, 9)[:40] for i in range(40)]  # one opening, one length, no links
+    df = spark.createDataFrame([(k, t) for k in range(20) for t in texts], "doc_id bigint, text string").repartition(8)
+    rows = line_dedup._rows(df, "doc_id", "text")
+    assert line_dedup.near_lines(rows, max_edits=2, min_chars=32).count() == 0
+    meet = kept["lines-meet"]
+    assert meet.count() == meet.distinct().count() and meet.groupBy("seg").count().agg({"count": "max"}).first()[0] <= 80
+    assert kept["lines-parts"].agg({"parts": "max"}).first()[0] == 10
