@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import corpus_pipeline as P
 from tests.conftest import SF_SMALL
 from tests.llm.test_line_dedup import brute as lines_of
+from tests.llm.test_packing import check
+from tests.llm.test_setsketch import WORD
 from tests.llm.test_setsketch import brute as groups_of
 from tripscope.llm import quality
 from tripscope.llm.common import written
+from tripscope.llm.packing import LIMIT, pack
 
 
 def test_every_stage_takes_effect(spark):
@@ -46,3 +51,43 @@ def test_stages_and_odd_rows(spark, odd, none):
         assert out.columns == odd.columns and out.count() > 0
     for _, stage in P.STAGES:
         assert stage(spark, none, SF_SMALL).count() == 0
+
+
+def plain_targets(sizes):
+    """Words each source should give: all words by weight 5, 2, 1, 5, ..., none
+    over three times its own."""
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes))}
+    full: set = set()
+    while True:
+        left = sum(sizes.values()) - sum(3 * sizes[s] for s in full)
+        out = {s: left * w / sum(v for t, v in weights.items() if t not in full) for s, w in weights.items() if s not in full}
+        over = {s for s in out if out[s] > 3 * sizes[s]}
+        if not over:
+            return out | {s: 3 * sizes[s] for s in full}
+        full |= over
+
+
+def test_run_mixes_to_the_targets_and_keeps_every_token(spark, monkeypatch):
+    kept = {}
+
+    def spy(df, name):
+        kept[name] = written(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(P, "written", spy)
+    monkeypatch.setattr(P.packing, "pack", lambda docs: pack(docs, keep_ids=True))
+    out = P.run(spark, SF_SMALL).collect()
+    single = {r.doc_id: (r.source, r.text) for r in kept["pipeline-near-dedup"].collect()}
+    mixed = [(r.doc_id, r.source, r.text) for r in kept["pipeline-mixing"].collect()]
+    assert all(single[k] == (s, t) for k, s, t in mixed)
+    uses, size = Counter(k for k, _, _ in mixed), {k: len(WORD.findall(t)) for k, (_, t) in single.items()}
+    sizes = Counter()
+    for k, (s, _) in single.items():
+        sizes[s] += size[k]
+    for s, target in plain_targets(sizes).items():
+        own = [k for k in single if single[k][0] == s]
+        taken = sum(uses[k] * size[k] for k in own)
+        assert abs(taken - target) <= 0.05 * target + max(size[k] for k in own), s
+        # a use of all documents comes before the next use of any
+        assert max(uses[k] for k in own) - min(uses[k] for k in own) <= 1, s
+    check([(k, t) for k, _, t in mixed], LIMIT, out)
