@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripscope.llm import (
-    block_naming, digests, language_id, line_dedup, mixing, packing, quality, revisits, secret_scan, setsketch,
+    adaptive_rules, block_naming, digests, language_id, line_dedup, mixing, packing, quality, revisits, secret_scan, setsketch,
 )
 
 
@@ -23,10 +23,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": quality.op8_quality,
         "op9_language": language_id.op9_language,
         "op10_mixing": mixing.op10_mixing,
+        "op13_adaptive_rules": adaptive_rules.op13_adaptive_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """Keys without an entry have no SQL form; they are tested against
     brute force, a round trip or held-out accuracy in ``tests/llm``."""
-    return {"op3_block_naming": block_naming.OP3_SQL, "op4_revisits": revisits.OP4_SQL}
+    return {
+        "op3_block_naming": block_naming.OP3_SQL,
+        "op4_revisits": revisits.OP4_SQL,
+        "op13_adaptive_rules": adaptive_rules.OP13_SQL,
+    }
