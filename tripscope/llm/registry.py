@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripscope.llm import (
-    adaptive_rules, block_naming, digests, language_id, line_dedup, mixing, packing, quality, revisits, secret_scan, setsketch,
+    adaptive_rules, alignment, block_naming, digests, importance, language_id, line_dedup, mixing, packing, quality, revisits,
+    secret_scan, setsketch,
 )
 
 
@@ -23,6 +24,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": quality.op8_quality,
         "op9_language": language_id.op9_language,
         "op10_mixing": mixing.op10_mixing,
+        "op11_importance": importance.op11_importance,
+        "op12_alignment": alignment.op12_alignment,
         "op13_adaptive_rules": adaptive_rules.op13_adaptive_rules,
     }
 
@@ -33,5 +36,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_block_naming": block_naming.OP3_SQL,
         "op4_revisits": revisits.OP4_SQL,
+        "op11_importance": importance.OP11_SQL,
         "op13_adaptive_rules": adaptive_rules.OP13_SQL,
     }
