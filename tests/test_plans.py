@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from tests.conftest import SF_MID
 from tripscope import registry
-from tripscope.operators import flows, geo, revenue
+from tripscope.operators import flows, geo, od, revenue
 from tripscope.plans.inspect import plan_text, scan_nodes
 from tripscope.sources.store import prepared_trips, zone_table
 
@@ -24,7 +24,7 @@ def test_demand_window_prunes_day_partitions(spark):
 
 def test_od_split_reads_stored_day(spark):
     # the split reads the stored day column (no dayofmonth recomputation)
-    plan = plan_text(_q(spark, "od_halves_change"))
+    plan = plan_text(od.od_halves_change(prepared_trips(spark, SF_MID), 15, 5))
     scans = scan_nodes(plan)
     assert scans and all("pickup_day" in s for s in scans)
     assert "dayofmonth" not in plan
@@ -45,9 +45,12 @@ def test_narrow_read_schema(spark):
 
 
 def test_durations_are_stored(spark):
-    for key in ("zone_revenue", "payment_mix_by_hour"):
-        read = [ln for ln in plan_text(_q(spark, key)).splitlines() if ln.strip().startswith("ReadSchema:")]
-        assert read and all("pickup_ts" not in ln and "dropoff_ts" not in ln for ln in read), key
+    t, z = prepared_trips(spark, SF_MID), zone_table(spark, SF_MID)
+    made = [_q(spark, "payment_mix_by_hour"), revenue.zone_revenue(t, z), flows.region_flows(t, z)]
+    made += [flows.airport_flag(t, z), flows.airport_flows(t, z), flows.region_flow_counts_merge(t, z)]
+    for i, df in enumerate(made):
+        read = [ln for ln in plan_text(df).splitlines() if ln.strip().startswith("ReadSchema:")]
+        assert read and all("pickup_ts" not in ln and "dropoff_ts" not in ln for ln in read), i
 
 
 def test_extremes_are_one_scan(spark):

@@ -26,7 +26,7 @@ def own_copy(tmp_path):
     d = tmp_path / "sf"
     d.mkdir()
     for t in INPUT_TABLES:
-        shutil.copy(f"{SF_SMALL}/{t}.parquet", d)
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", d / f"{t}.parquet")  # not its read-only mode
     return str(d)
 
 
@@ -125,7 +125,7 @@ def test_preparation_drops_rows_for_both_causes(spark):
 
 def test_bad_cells_do_not_fail_the_vendor_count(spark):
     csv = registry.files.csv_explicit_scan(
-        spark, registry.raw_csv_path(spark, SF_SMALL, damaged=True), registry.raw_csv_schema()
+        spark, registry.raw_csv_path(spark, SF_SMALL, with_damage=True), registry.raw_csv_schema()
     )
     got = payments.vendor_hourly_count(csv.withColumnRenamed("VendorID", "vendor_id"), 1, payments.hour_of_text())
     assert got.where("pickup_hour is null").isEmpty() and got.agg(F.sum("trips")).first()[0] > 0

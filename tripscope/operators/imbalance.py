@@ -122,45 +122,54 @@ def zone_imbalance_union(
     return _metrics(_counts_union(activity_filter(trips), hour_col), zones, min_activity, digits)
 
 
-def imbalance_top_surplus(trips: DataFrame, zones: DataFrame, min_activity: int = 30, k: int = 5) -> DataFrame:
-    """Top k zone-hours by net pick-ups (surplus of demand)."""
-    m = zone_imbalance(trips, zones, min_activity)
-    cols = ["pickup_hour", "borough", "zone", "pickups", "dropoffs", "net_pickups"]
-    return m.orderBy(F.desc("net_pickups"), *cols[:-1], "location_id").limit(k).select(*cols)
+_NET = ["pickup_hour", "borough", "zone", "pickups", "dropoffs", "net_pickups"]
 
 
-def imbalance_top_deficit(trips: DataFrame, zones: DataFrame, min_activity: int = 30, k: int = 5) -> DataFrame:
-    """Bottom k zone-hours by net pick-ups (taxis piling up)."""
-    m = zone_imbalance(trips, zones, min_activity)
-    cols = ["pickup_hour", "borough", "zone", "pickups", "dropoffs", "net_pickups"]
-    return m.orderBy(F.asc("net_pickups"), *cols[:-1], "location_id").limit(k).select(*cols)
+def top_surplus(found: DataFrame, k: int = 5) -> DataFrame:
+    """Of ``zone_imbalance``'s rows the top k by net pick-ups (surplus of demand)."""
+    return found.orderBy(F.desc("net_pickups"), *_NET[:-1], "location_id").limit(k).select(*_NET)
 
 
-def imbalance_top_ratio(trips: DataFrame, zones: DataFrame, min_activity: int = 30, k: int = 5) -> DataFrame:
-    """Top k zone-hours by absolute imbalance ratio."""
-    m = zone_imbalance(trips, zones, min_activity)
+def top_deficit(found: DataFrame, k: int = 5) -> DataFrame:
+    """Bottom k by net pick-ups (taxis piling up)."""
+    return found.orderBy(F.asc("net_pickups"), *_NET[:-1], "location_id").limit(k).select(*_NET)
+
+
+def top_ratio(found: DataFrame, k: int = 5) -> DataFrame:
+    """Top k by absolute imbalance ratio."""
     cols = ["pickup_hour", "borough", "zone", "activity", "net_pickups", "abs_imbalance_ratio"]
-    return (
-        m.orderBy(F.desc("abs_imbalance_ratio"), "pickup_hour", "borough", "zone", "activity", "net_pickups", "location_id")
-        .limit(k)
-        .select(*cols)
-    )
+    return found.orderBy(F.desc("abs_imbalance_ratio"), *cols[:-1], "location_id").limit(k).select(*cols)
 
 
-def imbalance_by_hour(
-    trips: DataFrame, zones: DataFrame, min_activity: int = 30, digits: int | None = None
-) -> DataFrame:
+def by_hour(found: DataFrame, digits: int | None = None) -> DataFrame:
     """Per hour: sum of |net| and mean absolute ratio (of the raw ratios;
     ``digits`` rounds the mean, as the reference prints it to 4)."""
-    m = zone_imbalance(trips, zones, min_activity)
     mean_ratio = F.try_divide(F.sum("abs_imbalance_ratio"), F.count("abs_imbalance_ratio"))
     if digits is not None:
         mean_ratio = F.round(mean_ratio, digits)
     return (
-        m.groupBy("pickup_hour")
+        found.groupBy("pickup_hour")
         .agg(
             F.sum(F.abs("net_pickups")).alias("total_abs_net_pickups"),
             mean_ratio.alias("mean_abs_imbalance_ratio"),
         )
         .orderBy(F.desc("total_abs_net_pickups"), "pickup_hour")
     )
+
+
+def imbalance_top_surplus(trips: DataFrame, zones: DataFrame, min_activity: int = 30, k: int = 5) -> DataFrame:
+    return top_surplus(zone_imbalance(trips, zones, min_activity), k)
+
+
+def imbalance_top_deficit(trips: DataFrame, zones: DataFrame, min_activity: int = 30, k: int = 5) -> DataFrame:
+    return top_deficit(zone_imbalance(trips, zones, min_activity), k)
+
+
+def imbalance_top_ratio(trips: DataFrame, zones: DataFrame, min_activity: int = 30, k: int = 5) -> DataFrame:
+    return top_ratio(zone_imbalance(trips, zones, min_activity), k)
+
+
+def imbalance_by_hour(
+    trips: DataFrame, zones: DataFrame, min_activity: int = 30, digits: int | None = None
+) -> DataFrame:
+    return by_hour(zone_imbalance(trips, zones, min_activity), digits)

@@ -46,15 +46,19 @@ def _halves_one_pass(t: DataFrame, split_day: int, day_col: str) -> DataFrame:
     )
 
 
-def _halves_join(t: DataFrame, split_day: int, day_col: str) -> DataFrame:
-    def half(cond: Column, tag: str) -> DataFrame:
-        return t.where(cond).groupBy(*KEYS).agg(
-            F.count(F.lit(1)).alias(f"trips_{tag}"),
-            ratio(F.sum("fare_amount"), F.count("fare_amount")).alias(f"avg_fare_{tag}"),
-            ratio(F.sum("total_amount"), F.count("total_amount")).alias(f"avg_total_{tag}"),
-        )
+def half_aggregate(trips: DataFrame, half: int, split_day: int, day_col: str = "pickup_day") -> DataFrame:
+    """Trips, mean fare and mean total per (pu, do, hour) of one half of the month."""
+    cond = F.col(day_col) <= split_day if half == 1 else F.col(day_col) > split_day
+    return od_valid_filter(trips).where(cond).groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias(f"trips_h{half}"),
+        ratio(F.sum("fare_amount"), F.count("fare_amount")).alias(f"avg_fare_h{half}"),
+        ratio(F.sum("total_amount"), F.count("total_amount")).alias(f"avg_total_h{half}"),
+    )
+
 
-    return half(F.col(day_col) <= split_day, "h1").join(half(F.col(day_col) > split_day, "h2"), KEYS, "inner")
+def _halves_join(trips: DataFrame, split_day: int, day_col: str) -> DataFrame:
+    first, second = (half_aggregate(trips, half, split_day, day_col) for half in (1, 2))
+    return first.join(second, KEYS, "inner")
 
 
 def _pct(new: Column, old: Column) -> Column:
@@ -71,16 +75,18 @@ def od_halves_change(
     """Per (pu, do, hour) present in both halves with ``min_trips`` in the
     first: trips, mean fare and mean total of each half, change of trips
     and of mean fare in percent (rounded to 2)."""
-    t = od_valid_filter(trips)
     if method == "one_pass":
-        g = _halves_one_pass(t, split_day, day_col).where(
-            (F.col("trips_h1") >= min_trips) & (F.col("trips_h2") > 0)
-        )
+        halves = _halves_one_pass(od_valid_filter(trips), split_day, day_col).where(F.col("trips_h2") > 0)
     elif method == "join":
-        g = _halves_join(t, split_day, day_col).where(F.col("trips_h1") >= min_trips)
+        halves = _halves_join(trips, split_day, day_col)
     else:
         raise ValueError(f"unknown method {method!r}")
-    g = g.withColumns(
+    return change_of(halves, min_trips)
+
+
+def change_of(halves: DataFrame, min_trips: int) -> DataFrame:
+    """The changes from both halves' aggregates, joined on ``KEYS``."""
+    g = halves.where(F.col("trips_h1") >= min_trips).withColumns(
         {
             "trips_change_pct": _pct(F.col("trips_h2"), F.col("trips_h1")),
             "fare_change_pct": _pct(F.col("avg_fare_h2"), F.col("avg_fare_h1")),
@@ -89,18 +95,19 @@ def od_halves_change(
     return g.select(*OUT)
 
 
-def _top(df: DataFrame, ascending: bool, k: int) -> DataFrame:
+def top_change(change: DataFrame, ascending: bool, k: int) -> DataFrame:
+    """The ``k`` largest drops (``ascending``) or rises among the changes."""
     pct = F.col("trips_change_pct")
     return (
-        df.orderBy(pct.asc() if ascending else pct.desc(), *KEYS)
+        change.orderBy(pct.asc() if ascending else pct.desc(), *KEYS)
         .limit(k)
         .select(*KEYS, "trips_h1", "trips_h2", "trips_change_pct")
     )
 
 
 def od_top_growth(trips: DataFrame, split_day: int = 15, min_trips: int = 50, k: int = 5) -> DataFrame:
-    return _top(od_halves_change(trips, split_day, min_trips), False, k)
+    return top_change(od_halves_change(trips, split_day, min_trips), False, k)
 
 
 def od_top_decline(trips: DataFrame, split_day: int = 15, min_trips: int = 50, k: int = 5) -> DataFrame:
-    return _top(od_halves_change(trips, split_day, min_trips), True, k)
+    return top_change(od_halves_change(trips, split_day, min_trips), True, k)

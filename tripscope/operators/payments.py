@@ -30,6 +30,21 @@ def _paid_trips(trips: DataFrame, with_duration: bool) -> DataFrame:
     return trips.where(cond)
 
 
+def payment_trips(trips: DataFrame) -> DataFrame:
+    """The trips that the payment mix counts."""
+    return _paid_trips(trips, with_duration=True)
+
+
+def payment_label(labels: Mapping[int, str] = PAYMENT_LABELS) -> Column:
+    """The label of ``payment_type``; NULL for a code without one."""
+    codes = iter(labels.items())
+    code, name = next(codes)
+    label = F.when(F.col("payment_type") == code, name)
+    for code, name in codes:
+        label = label.when(F.col("payment_type") == code, name)
+    return label
+
+
 def tip_rate(tip: str = "tip_amount", fare: str = "fare_amount") -> Column:
     return ratio(F.col(tip), F.col(fare))
 
@@ -45,7 +60,7 @@ def payment_mix_by_hour(
     mean duration.  ``digits=True`` rounds every measure as the reference
     prints (2 or 4); ``rate_digits`` rounds only the mean of per-trip
     ratios, the one measure that is not a ratio of exact sums."""
-    t = _paid_trips(trips, with_duration=True)
+    t = payment_trips(trips)
     dur = stored_seconds(trips.columns)
     g = t.groupBy("pickup_hour", "payment_type").agg(
         F.count(F.lit(1)).alias("trips"),
@@ -57,17 +72,12 @@ def payment_mix_by_hour(
         mean("trip_distance").alias("avg_trip_distance"),
         (mean(dur) / F.lit(60.0)).alias("avg_duration_minutes"),
     )
-    label = None
-    for code, name in labels.items():
-        label = F.when(F.col("payment_type") == code, name) if label is None else label.when(
-            F.col("payment_type") == code, name
-        )
     share = ratio(F.col("trips"), F.sum("trips").over(Window.partitionBy("pickup_hour")))
     r2, r4 = (2, 4) if digits else (None, None)
     rate = r4 if digits else rate_digits
     return g.select(
         "pickup_hour",
-        label.alias("payment_method"),
+        payment_label(labels).alias("payment_method"),
         "trips",
         maybe_round(share, r4).alias("payment_share_in_hour"),
         maybe_round(F.col("avg_fare_amount"), r2).alias("avg_fare_amount"),

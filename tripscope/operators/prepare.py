@@ -59,19 +59,38 @@ def prepare_trips(
 
     The text timestamps stay as they are (the reference keeps them).
     """
+    parsed = parse_trips(raw, ts_format, pickup_col, dropoff_col)
+    return enrich_trips(parsed.where(drop_cause(years).isNull()))
+
+
+def parse_trips(
+    raw: DataFrame,
+    ts_format: str = RAW_TS_FORMAT,
+    pickup_col: str = "tpep_pickup_datetime",
+    dropoff_col: str = "tpep_dropoff_datetime",
+) -> DataFrame:
+    """The first step of preparation: ids renamed, both timestamps typed
+    (NULL where they do not parse); no row is dropped."""
     present = {k: v for k, v in RAW_RENAMES.items() if k in raw.columns}
-    df = raw.withColumnsRenamed(present).withColumns(
+    return raw.withColumnsRenamed(present).withColumns(
         {
             "pickup_ts": _parsed(pickup_col, ts_format),
             "dropoff_ts": _parsed(dropoff_col, ts_format),
         }
     )
-    df = df.where(
-        F.col("pickup_ts").isNotNull()
-        & F.col("dropoff_ts").isNotNull()
-        & _year_test(F.col("pickup_ts"), years)
-    )
-    return enrich_trips(df)
+
+
+# Why preparation drops a row, in the order in which the tests apply.
+DROP_CAUSES = ("pickup_time", "dropoff_time", "year")
+
+
+def drop_cause(years: Years = None) -> Column:
+    """The first cause that applies to a parsed row; NULL for a row to keep."""
+    tests = (F.col("pickup_ts").isNull(), F.col("dropoff_ts").isNull(), ~_year_test(F.col("pickup_ts"), years))
+    cause = F.when(tests[0], DROP_CAUSES[0])
+    for test, name in zip(tests[1:], DROP_CAUSES[1:], strict=True):
+        cause = cause.when(test, name)
+    return cause
 
 
 def enrich_trips(df: DataFrame) -> DataFrame:

@@ -110,44 +110,50 @@ def zone_revenue(
     )
 
 
-def _top(df: DataFrame, measure: str, alias: str, k: int, digits: int | None) -> DataFrame:
+def top_groups(groups: DataFrame, measure: str, alias: str, k: int, digits: int | None = None) -> DataFrame:
+    """The ``k`` first groups of ``zone_revenue`` by a measure."""
     return (
-        df.orderBy(F.desc(measure), *GROUP)
+        groups.orderBy(F.desc(measure), *GROUP)
         .limit(k)
         .select(*GROUP, "trips", maybe_round(F.col(measure), digits).alias(alias))
     )
 
 
-def zone_top_revenue(
-    trips: DataFrame, zones: DataFrame, k: int = 5, digits: int | None = None
-) -> DataFrame:
-    """Top k groups by revenue, no support limit."""
-    return _top(zone_revenue(trips, zones), "total_revenue", "total_revenue", k, digits)
+def top_revenue(groups: DataFrame, k: int = 5, digits: int | None = None) -> DataFrame:
+    """Of ``zone_revenue``'s groups the top k by revenue, no support limit."""
+    return top_groups(groups, "total_revenue", "total_revenue", k, digits)
 
 
-def zone_top_per_mile(
-    trips: DataFrame, zones: DataFrame, min_trips: int = 50, k: int = 5, digits: int | None = None
-) -> DataFrame:
+def top_per_mile(groups: DataFrame, min_trips: int = 50, k: int = 5, digits: int | None = None) -> DataFrame:
     """Groups with at least ``min_trips`` trips, top k by revenue per mile."""
-    g = zone_revenue(trips, zones).where(F.col("trips") >= min_trips)
-    return _top(g, "revenue_per_mile", "rev_per_mile", k, digits)
+    return top_groups(groups.where(F.col("trips") >= min_trips), "revenue_per_mile", "rev_per_mile", k, digits)
 
 
-def zone_top_per_minute(
-    trips: DataFrame, zones: DataFrame, min_trips: int = 50, k: int = 5, digits: int | None = None
-) -> DataFrame:
+def top_per_minute(groups: DataFrame, min_trips: int = 50, k: int = 5, digits: int | None = None) -> DataFrame:
     """Groups with at least ``min_trips`` trips, top k by revenue per minute."""
-    g = zone_revenue(trips, zones).where(F.col("trips") >= min_trips)
-    return _top(g, "revenue_per_minute", "rev_per_min", k, digits)
+    return top_groups(groups.where(F.col("trips") >= min_trips), "revenue_per_minute", "rev_per_min", k, digits)
 
 
-def zone_low_support(
-    trips: DataFrame, zones: DataFrame, max_trips: int = 10, k: int = 3, digits: int | None = None
-) -> DataFrame:
+def low_support(groups: DataFrame, max_trips: int = 10, k: int = 3, digits: int | None = None) -> DataFrame:
     """Groups with fewer than ``max_trips`` trips, top k by revenue per
     mile: the outliers a support limit removes."""
-    g = zone_revenue(trips, zones).where(F.col("trips") < max_trips)
-    return _top(g, "revenue_per_mile", "rev_per_mile", k, digits)
+    return top_groups(groups.where(F.col("trips") < max_trips), "revenue_per_mile", "rev_per_mile", k, digits)
+
+
+def zone_top_revenue(trips: DataFrame, zones: DataFrame, **options) -> DataFrame:
+    return top_revenue(zone_revenue(trips, zones), **options)
+
+
+def zone_top_per_mile(trips: DataFrame, zones: DataFrame, **options) -> DataFrame:
+    return top_per_mile(zone_revenue(trips, zones), **options)
+
+
+def zone_top_per_minute(trips: DataFrame, zones: DataFrame, **options) -> DataFrame:
+    return top_per_minute(zone_revenue(trips, zones), **options)
+
+
+def zone_low_support(trips: DataFrame, zones: DataFrame, **options) -> DataFrame:
+    return low_support(zone_revenue(trips, zones), **options)
 
 
 def sampled_source(trips: DataFrame, key: str = "l_orderkey", every: int = 10) -> DataFrame:

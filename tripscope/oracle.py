@@ -272,6 +272,35 @@ DAMAGED = f"""damaged AS (SELECT * REPLACE (
   FROM prepared)"""
 
 
+# Mean of tip / fare per trip: three limbs of each ratio, summed as whole numbers,
+# carried and divided by the count; every step is the same on both engines.
+RATIO_LIMBS = f"""r0 AS (SELECT *, {TIP_RATE} * 1048576.0::DOUBLE AS x0 FROM prepared WHERE {PAID} AND duration_minutes > 0),
+r1 AS (SELECT *, (x0 - floor(x0)) * 1073741824.0::DOUBLE AS x1 FROM r0),
+r2 AS (SELECT *, (x1 - floor(x1)) * 1073741824.0::DOUBLE AS x2 FROM r1),
+limbs AS (
+  SELECT pickup_hour, payment_type, COUNT(x0)::HUGEINT AS n, SUM(floor(x0)::BIGINT) AS l0, SUM(floor(x1)::BIGINT) AS l1,
+         SUM(floor(x2)::BIGINT) AS l2 FROM r2 GROUP BY ALL),
+carried AS (
+  SELECT *, l2 % 1073741824 AS c2, (l1 + l2 // 1073741824) % 1073741824 AS c1,
+         l0 + (l1 + l2 // 1073741824) // 1073741824 AS c0 FROM limbs),
+tip_means AS (
+  SELECT pickup_hour, payment_type,
+    (c0 // n)::BIGINT::DOUBLE * pow(2.0, -20) + ((((c0 % n) * 1073741824 + c1) // n)::BIGINT::DOUBLE * pow(2.0, -50)
+    + ((((c0 % n) * 1073741824 + c1) % n * 1073741824 + c2) // n)::BIGINT::DOUBLE * pow(2.0, -80)) AS tip_mean
+  FROM carried)"""
+
+
+def _spread(column: str, digits: int) -> str:
+    """Sample variance by whole numbers (see ``functions.exact``)."""
+    return f"""SELECT '{column}' AS column_name, n::BIGINT AS n, variance, sqrt(variance) AS stddev FROM (
+  SELECT n, ((whole // 1000000000000000)::BIGINT::DOUBLE * 1e15::DOUBLE + (whole % 1000000000000000)::BIGINT::DOUBLE
+         - r::DOUBLE * r::DOUBLE / n::DOUBLE) / (n - 1)::DOUBLE / 1e{2 * digits}::DOUBLE AS variance FROM (
+    SELECT n, r, squares - q * q * n - 2 * q * r AS whole FROM (
+      SELECT n, squares, s // n AS q, s % n AS r FROM (
+        SELECT COUNT(x)::HUGEINT AS n, SUM(x) AS s, SUM(x::HUGEINT * x::HUGEINT)::HUGEINT AS squares
+        FROM (SELECT CAST({column} * {10 ** digits} AS BIGINT) AS x FROM prepared)))))"""
+
+
 def _sql(p: dict) -> dict[str, str]:
     q: dict[str, str] = {}
     W = with_fixture
@@ -288,6 +317,21 @@ def _sql(p: dict) -> dict[str, str]:
   CAST(COUNT(*) FILTER (WHERE {keep}) AS BIGINT) AS processed_rows,
   CAST(COUNT(*) - COUNT(*) FILTER (WHERE {keep}) AS BIGINT) AS dropped_rows
 FROM damaged"""
+    pickup_bad, dropoff_bad = _hit(DAMAGED_PICKUP), _hit(DAMAGED_DROPOFF)
+    q["prepare_accounting"] = W(DAMAGED) + f"""SELECT CAST(COUNT(*) AS BIGINT) AS raw_rows,
+  CAST(COUNT(*) FILTER (WHERE {keep}) AS BIGINT) AS kept_rows,
+  CAST(COUNT(*) FILTER (WHERE {pickup_bad}) AS BIGINT) AS dropped_pickup_time,
+  CAST(COUNT(*) FILTER (WHERE NOT {pickup_bad} AND {dropoff_bad}) AS BIGINT) AS dropped_dropoff_time,
+  CAST(COUNT(*) FILTER (WHERE readable AND NOT ({keep})) AS BIGINT) AS dropped_year
+FROM damaged"""
+    q["rejected_cells"] = W() + "\nUNION ALL\n".join(
+        f"""SELECT CAST(year(pickup_ts) AS INTEGER) AS file_year, '{column}' AS "column", CAST(COUNT(*) AS BIGINT) AS bad_cells
+FROM prepared WHERE {_hit(rule)} GROUP BY 1"""
+        for column, rule in (("tpep_pickup_datetime", DAMAGED_PICKUP), ("passenger_count", DAMAGED_PASSENGERS))
+    )
+    q["prepare_late_day"] = W() + f"""SELECT pickup_day, CAST(COUNT(*) AS BIGINT) AS trips,
+  CAST(SUM(passenger_count) AS BIGINT) AS passengers, CAST(SUM(total_amount) AS DOUBLE) AS total_revenue,
+  pickup_day = {p['late_day']} AS rewritten FROM prepared GROUP BY pickup_day"""
     q["source_inventory"] = "\nUNION ALL\n".join(
         f"SELECT '{t}.parquet' AS file_name, CAST(COUNT(*) AS BIGINT) AS rows FROM {t}" for t in DRIVER_TABLES
     )
@@ -298,6 +342,7 @@ FROM damaged"""
                 f"ROUND(stddev_samp(CAST({c} AS DOUBLE)), {p['stddev_digits']}) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
                 f"CAST(MAX({c}) AS DOUBLE) AS max FROM prepared")
     q["eda_describe"] = W() + describe("trip_distance") + "\nUNION ALL\n" + describe("total_amount")
+    q["exact_spread"] = W() + "\nUNION ALL\n".join(_spread(c, d) for c, d in p["spread_columns"].items())
     nulls = ", ".join(
         f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}"
         for c, _, _ in _trip_view(coords=True, text_ts=True)
@@ -327,6 +372,10 @@ UNION ALL
   CAST(COUNT(*) AS BIGINT) AS trips
 FROM prepared WHERE {quality} GROUP BY 1"""
     q["demand_profile_by_date"] = W() + _profile("pickup_date, pickup_hour", f"{quality} AND {window}", False)
+    q["demand_from_states"] = q["demand_profile_by_date"]
+    some_days = ", ".join(str(d) for d in p["distinct_days"])
+    q["distinct_zones_by_hour"] = W() + f"""SELECT pickup_hour, CAST(COUNT(DISTINCT pu_location_id) AS BIGINT) AS unique_pickup_zones
+FROM prepared WHERE {quality} AND pickup_day IN ({some_days}) GROUP BY pickup_hour"""
     lo, hi = p["demand_hour_range"]
     q["demand_profile_by_day"] = W() + _profile("pickup_day, pickup_hour", f"pickup_hour BETWEEN {lo} AND {hi}", False)
     q["demand_profile_null_as_zero"] = W() + _profile(
@@ -380,6 +429,8 @@ WHERE trips >= {p['revenue_min_trips']} ORDER BY revenue_per_minute DESC, {ZR_GR
 WHERE trips < {p['revenue_low_trips']} ORDER BY revenue_per_mile DESC, {ZR_GROUP} LIMIT 3"""
     key, every = p["sample"]
     q["sampled_source"] = W() + f"SELECT {view(_trip_view())} FROM prepared t WHERE {key} % {every} = 0"
+    q["sampled_rows"] = W() + f"""SELECT {view(_trip_view())} FROM prepared t
+ORDER BY md5(concat_ws('|', '0', '=' || l_orderkey, '=' || l_linenumber)), l_orderkey, l_linenumber LIMIT {p['sample_rows']}"""
 
     # F. payments
     q["payment_mix_by_hour"] = W(f"""hs AS (
@@ -397,6 +448,11 @@ WHERE trips < {p['revenue_low_trips']} ORDER BY revenue_per_mile DESC, {ZR_GROUP
   avg_fare_amount, avg_total_amount, avg_tip_amount, tip_rate, zero_tip_share, avg_trip_distance,
   avg_duration_minutes
 FROM hs"""
+    mix = q["payment_mix_by_hour"]
+    q["payment_mix_from_states"] = (
+        mix.replace("\nhs AS (", f"\n{RATIO_LIMBS},\nhs AS (").replace("avg_tip_amount, tip_rate,", "avg_tip_amount, tip_mean AS tip_rate,")
+        .replace("FROM hs", "FROM hs JOIN tip_means USING (pickup_hour, payment_type)")
+    )
     q["card_vs_cash_by_hour"] = W() + f"SELECT pickup_hour, {_card_cash(p['rate_digits'])} FROM prepared WHERE {PAID} GROUP BY pickup_hour"
     q["vendor_card_summary"] = W(
         f"vc AS (SELECT vendor_id, {_card_cash(p['rate_digits'])} FROM prepared WHERE {PAID} GROUP BY vendor_id)"
@@ -417,6 +473,7 @@ SELECT pu_borough, do_borough, CAST(COUNT(*) AS BIGINT) AS trips,
   CAST(SUM(is_airport) AS DOUBLE) / COUNT(*) AS airport_trip_share
 FROM flow GROUP BY pu_borough, do_borough
 """
+    q["flows_from_states"] = q["region_flows"]
     q["region_flow_counts_merge"] = W(FLOW_JOIN) + """
 SELECT pu_borough, do_borough, CAST(COUNT(*) AS BIGINT) AS trips
 FROM flow GROUP BY pu_borough, do_borough
@@ -452,6 +509,7 @@ FROM zi GROUP BY pickup_hour""".format(rd=p["rate_digits"])
     # I. OD halves
     odw = W(*_od(p["od_split_day"], p["od_min_trips"]))
     q["od_halves_change"] = odw + "SELECT * FROM odc"
+    q["od_halves_from_buckets"] = q["od_halves_change"]
     q["od_top_growth"] = odw + """SELECT pu_location_id, do_location_id, pickup_hour, trips_h1, trips_h2, trips_change_pct
 FROM odc ORDER BY trips_change_pct DESC, pu_location_id, do_location_id, pickup_hour LIMIT 5"""
     q["od_top_decline"] = odw + """SELECT pu_location_id, do_location_id, pickup_hour, trips_h1, trips_h2, trips_change_pct

@@ -213,10 +213,14 @@ KEYS_SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c, _, _ in KEY_CO
 
 
 def trips_raw_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``trips_raw`` with the damaged cells; passenger counts are text, as a
-    file holds them."""
+    return damaged(trips_raw(spark, sf_dir))
+
+
+def damaged(raw: DataFrame) -> DataFrame:
+    """Raw trips with the damaged cells; passenger counts are text, as a file
+    holds them."""
     hit = lambda rule: F.col(rule[0]) % rule[1] == 0
-    return trips_raw(spark, sf_dir).withColumns(
+    return raw.withColumns(
         {
             "tpep_pickup_datetime": F.when(hit(DAMAGED_PICKUP), F.lit(BAD_TIME)).otherwise(F.col("tpep_pickup_datetime")),
             "tpep_dropoff_datetime": F.when(~hit(DAMAGED_DROPOFF), F.col("tpep_dropoff_datetime")),

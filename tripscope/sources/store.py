@@ -15,6 +15,7 @@ applications all are whole and alike, and the first by name is read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import importlib.util
 import threading
@@ -32,24 +33,46 @@ from tripscope.sources.tables import table_path
 
 PARTITION_COLUMN = "pickup_day"
 LAYOUT_MODULES = ("tripscope.sources.fixtures", "tripscope.operators.prepare", "tripscope.sources.store")
+#: Modules that define what stored aggregates and states hold.
+AGGREGATE_MODULES = tuple(
+    f"tripscope.{m}" for m in (
+        "functions.columns", "functions.distinct", "functions.exact", "operators.flows", "operators.imbalance", "operators.od",
+        "operators.payments", "operators.quality", "operators.revenue", "operators.states", "sources.days",
+    )
+)
 
 
-def _layout_version() -> str:
-    """Fixture version plus a digest of the modules that define what the
-    stored tables hold (read by their loaders: the package may be a zip)."""
+def _sources_digest(modules: tuple[str, ...]) -> str:
+    """Digest of modules' text (read by their loaders: the package may be a zip)."""
     h = hashlib.sha1(str(FIXTURE_VERSION).encode())
-    for name in LAYOUT_MODULES:
+    for name in modules:
         h.update(importlib.util.find_spec(name).loader.get_source(name).encode())
-    return f"v{FIXTURE_VERSION}-{h.hexdigest()[:10]}"
+    return h.hexdigest()[:10]
+
+
+@functools.cache
+def _layout_version() -> str:
+    """Fixture version plus a digest of the code that lays the stored tables out."""
+    return f"v{FIXTURE_VERSION}-{_sources_digest(LAYOUT_MODULES)}"
+
+
+@functools.cache
+def aggregate_version() -> str:
+    return _sources_digest(AGGREGATE_MODULES)
 
 
 def input_digest(spark: SparkSession, sf_dir: str) -> str:
-    """Digest of the input files' paths, sizes and modification times: one
-    small job over the file listing (contents are not read), in any order."""
-    files = spark.read.format("binaryFile").load([table_path(sf_dir, t) for t in INPUT_TABLES])
-    one = F.xxhash64("path", "length", "modificationTime")
-    got = files.agg(F.count("*"), F.bit_xor(one), F.bit_xor(F.xxhash64(one))).first()
-    return hashlib.sha1(repr(tuple(got)).encode()).hexdigest()[:16]
+    """Digest of the input files' paths, sizes and modification times, listed by
+    the file system that Spark reads them with; no job, contents are not read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for t in INPUT_TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, t))
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hashlib.sha1(repr(sorted(found)).encode()).hexdigest()[:16]
 
 
 def state_path(spark: SparkSession, sf_dir: str) -> str:
@@ -105,8 +128,12 @@ def prepared_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prepared trips, lazily: the typed trips of the fixture with the
     raw file's text timestamps and the derived columns.  Equal, row for
     row, to ``prepare_trips(trips_raw(...))`` (the text round trip is
-    lossless for whole-second timestamps), without parsing text."""
-    t = text_timestamps(trips(spark, sf_dir))
+    lossless for whole-second timestamps), without parsing text.
+
+    The joins may all be broadcast, which leaves the rows in the partitions of
+    the line items' files (one for one file): they are dealt out anew before the
+    costly columns are made, into as many partitions as adaptive execution sees fit."""
+    t = text_timestamps(trips(spark, sf_dir).hint("rebalance"))
     t = t.withColumns({"pickup_ts": F.col("pickup_ts").cast("timestamp"),
                        "dropoff_ts": F.col("dropoff_ts").cast("timestamp")})
     return enrich_trips(t).select(*prepare_trips(trips_raw(spark, sf_dir)).columns)
@@ -144,6 +171,14 @@ def trips_and_zones(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return prepared_trips(spark, sf_dir, state=state), zone_table(spark, sf_dir, state=state)
 
 
+def stored_aggregate(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The aggregate ``make()``, written once per state of the input: the several
+    outputs that are made of it (tops, filters, summaries) read these few rows
+    instead of scanning the trips again.  ``name`` must say the parameters."""
+    path = built_table(spark, sf_dir, f"{name}-{aggregate_version()}", lambda path: make().write.parquet(path))
+    return _framed(spark, path, lambda: spark.read.parquet(path))
+
+
 def register_views(spark: SparkSession, sf_dir: str, trips_view: str = "trips", zones_view: str = "zones") -> None:
     """Name the prepared trips and the zones as temporary views, for SQL
     (``spark.sql``) and ``spark.table`` callers.  A view is an unexecuted
