@@ -3,6 +3,7 @@ and the same result whatever the parts, shards and trees."""
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 from hashlib import sha256
@@ -134,6 +135,22 @@ def test_large_groups_and_whole_texts_give_the_same(monkeypatch):
     assert b"".join(aligner.bytes_a[i] for i in ids).decode() == decoders.ByteLevel().decode([A.id_to_token(i) for i in ids])
 
 
+def test_rows_of_chunks_give_each_chunks_tokens():
+    """Chunks in a row, one that is not spelt among them, against each for itself."""
+    r = random.Random(6)
+    aligner = Aligner(BYTE_BPE, PIECE_BPE)
+    assert aligner.quick is not None
+    chunks = ["".join(r.choice("abcXYZ019.,é'ß\n-ÿ\xa0") for _ in range(r.randint(1, 9))) for _ in range(3000)]
+    chunks += ["▁x", "中文", "a\n", "\tb", "", "don't", "<0x41>", "word"] * 2
+    r.shuffle(chunks)
+    plain = aligner.align(chunks)
+    for i, c in enumerate(chunks):
+        one = aligner._each([c])
+        assert (one[1][0], one[3][0], bool(one[4][0])) == (plain.n_a[i], plain.n_b[i], plain.spelt[i]), c
+    assert [g.rstrip(";") for g in plain.groups[:400]] == [aligner.align([c]).groups[0].rstrip(";") for c in chunks[:400]]
+    assert not all(plain.spelt) and plain.spelt.sum() > 2990
+
+
 def test_hash_is_minimal_perfect_and_refuses_strangers():
     rng = np.random.default_rng(3)
     for n, shards in ((0, 1), (1, 1), (7, 3), (50_000, 9)):

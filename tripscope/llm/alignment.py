@@ -40,10 +40,6 @@ HELD_KEYS = 1 << 20
 TOTALS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
-def _joined(entries: list, field: int, kind) -> np.ndarray:
-    return np.frombuffer(b"".join([e[field] for e in entries]), kind)
-
-
 def slice_pairs(docs: DataFrame, paths: tuple[str, str], *, text: str = "text") -> DataFrame:
     """(keys, documents): the distinct pairs of a slice of texts and in how many
     of its texts they are linked, as packed arrays."""
@@ -55,7 +51,7 @@ def slice_pairs(docs: DataFrame, paths: tuple[str, str], *, text: str = "text")
             got = aligner.align(chunks, texts=False)
             ends = np.searchsorted(got.of, np.arange(len(chunks) + 1))
             return [
-                (got.keys[s:e].tobytes(),) if fits else None
+                got.keys[s:e].tobytes() if fits else None
                 for s, e, fits in zip(ends.tolist(), ends[1:].tolist(), got.spelt.tolist())
             ]
 
@@ -63,7 +59,7 @@ def slice_pairs(docs: DataFrame, paths: tuple[str, str], *, text: str = "text")
         for batch in batches:
             for part in slices(batch, 0):
                 found = [
-                    np.unique(_joined(entries, 0, aligner.kind))
+                    np.unique(np.frombuffer(b"".join(entries), aligner.kind))
                     for entries in seen.of(part.column(0).to_pylist()) if entries and None not in entries
                 ]
                 if found:
@@ -199,7 +195,7 @@ def looked_up(docs: DataFrame, where: Places, counts: np.ndarray, best: np.ndarr
                 totals, groups = np.zeros((part.num_rows, len(TOTALS)), np.int64), [""] * part.num_rows
                 for i, entries in enumerate(seen.of(part.column(len(kept)).to_pylist())):
                     if entries and None not in entries:
-                        totals[i] = _joined(entries, 0, np.int64).reshape(-1, len(TOTALS)).sum(0)
+                        totals[i] = np.frombuffer(b"".join([e[0] for e in entries]), np.int64).reshape(-1, len(TOTALS)).sum(0)
                         groups[i] = "".join([e[1] for e in entries])[:-1]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], *map(pa.array, totals.T.copy()), pa.array(groups, pa.string())],

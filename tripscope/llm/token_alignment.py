@@ -18,16 +18,20 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import sentencepiece
+import tiktoken
 from tokenizers import Tokenizer
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 _SPACE = "▁"  # the piece vocabulary's sign for a space
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
-#: A space after a sign that is no white space.
-_CUT = re.compile(r"(?<=\S) ")
-#: Chunks up to this length are remembered, so many at a time.
-KEPT_CHARS, KEPT = 48, 150_000
+#: A space after a sign that is no white space; and after one that is.
+_CUT, _RUN = re.compile(r"(?<=\S) "), re.compile(r"\s ")
+_BEYOND_LATIN = re.compile("[^\x00-\xff]")
+#: Chunks up to this length are remembered, so many at a time (and as many older).
+KEPT_CHARS, KEPT = 48, 200_000
+#: Chunks that are tokenized in one row.
+IN_A_ROW = 4096
 #: Groups with more links than this are reduced to their distinct ids first.
 LARGE_GROUP = 4096
 
@@ -84,6 +88,16 @@ class Aligner:
             and before.get("use_regex", True) and not before["add_prefix_space"]
             and _SPACE in pieces and not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
         )
+        # Where a token's id is its rank among the merges, the quicker of the two
+        # libraries encodes rows of Latin-1 text, in which both split words alike.
+        vocabulary, merges = config["model"]["vocab"], config["model"]["merges"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        self.quick = None
+        if self.cuts and all(vocabulary[a + b] == 256 + i for i, (a, b) in enumerate(pairs)):
+            self.quick = tiktoken.Encoding(
+                "ranks", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                mergeable_ranks={self.bytes_a[i]: i for i in range(256 + len(pairs))},
+            )
         # Number texts by id, A's before B's: inside a group and at its end.
         ids = [*range(self.size_a), *range(self.size_b)]
         self._inside = np.array([f"{i}," for i in ids], object)
@@ -94,7 +108,70 @@ class Aligner:
         cut is left out: each part is encoded with one before it, as the text."""
         if not text:
             return []
-        return _CUT.split(text) if self.cuts else [text]
+        if not self.cuts:
+            return [text]
+        return _CUT.split(text) if text[0] == " " or _RUN.search(text) else text.split(" ")
+
+    def _ids_a(self, text: str) -> list[int]:
+        if self.quick and not _BEYOND_LATIN.search(text):
+            return self.quick.encode_ordinary(text)
+        return self.a.encode(text, add_special_tokens=False).ids
+
+    def _in_a_row(self, chunks: list[str]) -> tuple[np.ndarray, ...] | None:
+        """ids and numbers of tokens (A's, B's) of chunks that neither begin nor end
+        with white space, from one text of them all; None if its tokens do not
+        spell it with a token's end at every chunk's end."""
+        joined = " ".join(chunks)
+        want = b" " + joined.encode()
+        ends = np.cumsum([len(c.encode()) + 1 for c in chunks])
+        out = []
+        for ids, spelling, size in (
+            (self._ids_a(" " + joined), self.bytes_a, self.len_a),
+            (self.b.encode(joined), self.bytes_b, self.len_b),
+        ):
+            if b"".join(map(spelling.__getitem__, ids)) != want:
+                return None
+            ids = np.array(ids, np.int64)
+            token_ends = np.cumsum(size[ids])
+            last = np.searchsorted(token_ends, ends)
+            if not np.array_equal(token_ends[last], ends):
+                return None
+            out += [ids, np.diff(last, prepend=-1)]
+        return tuple(out)
+
+    def _tokens(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """ids of A and of B, numbers of tokens per chunk, and whether it is spelt."""
+        parts, plain = [], [bool(c) and not c[0].isspace() and not c[-1].isspace() for c in chunks]
+        start = 0
+        while start < len(chunks):
+            stop = start + 1
+            if self.cuts and plain[start]:
+                while stop < len(chunks) and stop - start < IN_A_ROW and plain[stop]:
+                    stop += 1
+                parts += self._row_or_each(chunks[start:stop])
+            else:
+                while stop < len(chunks) and not (self.cuts and plain[stop]):
+                    stop += 1
+                parts.append(self._each(chunks[start:stop]))
+            start = stop
+        none = np.zeros(0, np.int64)
+        a, n_a, b, n_b, spelt = (np.concatenate([none, *(p[i] for p in parts)]) for i in range(5))
+        return a, b, n_a, n_b, spelt.astype(bool)
+
+    def _row_or_each(self, chunks: list[str]) -> list[tuple[np.ndarray, ...]]:
+        """One row; if a chunk in it is not spelt, halves, down to few chunks."""
+        if (row := self._in_a_row(chunks)) is not None:
+            return [(*row, np.ones(len(chunks), np.int64))]
+        if len(chunks) <= 8:
+            return [self._each(chunks)]
+        half = len(chunks) // 2
+        return self._row_or_each(chunks[:half]) + self._row_or_each(chunks[half:])
+
+    def _each(self, chunks: list[str]) -> tuple[np.ndarray, ...]:
+        lists_a, lists_b, spelt = self._ids(chunks)
+        flat = lambda lists: np.fromiter(chain.from_iterable(lists), np.int64)
+        n = lambda lists: np.array([len(x) for x in lists], np.int64)
+        return flat(lists_a), n(lists_a), flat(lists_b), n(lists_b), np.array(spelt, np.int64)
 
     def _ids(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
         ids_a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
@@ -117,9 +194,7 @@ class Aligner:
 
         A group of tokens a and b has len(a) * len(b) links, kept as its distinct
         pairs: one without any common offset over very many tokens is held whole."""
-        lists_a, lists_b, spelt = self._ids(chunks)
-        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (lists_a, lists_b))
-        n_a, n_b = (np.array([len(x) for x in lists], np.int64) for lists in (lists_a, lists_b))
+        a, b, n_a, n_b, spelt = self._tokens(chunks)
         ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
         group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
@@ -148,7 +223,7 @@ class Aligner:
 
         return Aligned(
             n_a, n_b, np.bincount(chunk, minlength=len(chunks)),
-            np.bincount(chunk, links, minlength=len(chunks)).astype(np.int64), np.array(spelt, bool),
+            np.bincount(chunk, links, minlength=len(chunks)).astype(np.int64), spelt,
             self._texts(a, b, group_a, group_b, n_a + n_b) if texts else [""] * len(chunks),
             of[new], keys[new].astype(self.kind), times,
         )
@@ -165,18 +240,24 @@ class Aligner:
 
 class Remembered:
     """What ``make`` gives for chunks (one entry per chunk, in order), kept for the
-    short ones of late; at most ``KEPT`` at a time."""
+    short ones of late: when there are ``KEPT``, they become the older ones, and the
+    older ones that were not asked for since are let go."""
 
     def __init__(self, aligner: Aligner, make):
-        self.aligner, self.make, self.known = aligner, make, {}
+        self.aligner, self.make, self.known, self.older = aligner, make, {}, {}
 
     def of(self, texts: Iterable[str | None]) -> Iterator[list]:
         """The entries of each text's chunks."""
         lists = [self.aligner.chunks(t) for t in texts]
         if len(self.known) > KEPT:
-            self.known.clear()
-        new = [c for c in set(chain.from_iterable(lists)) if c not in self.known]
-        self.known.update(zip(new, self.make(new), strict=True))
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = set(chain.from_iterable(lists)).difference(known)
+        again = new.intersection(older)
+        known.update((c, older[c]) for c in again)
+        # Plain chunks side by side: they are tokenized in a row.
+        new = sorted(new.difference(again))
+        known.update(zip(new, self.make(new), strict=True))
         for chunks in lists:
             yield list(map(self.known.__getitem__, chunks))
         for c in new:
