@@ -69,6 +69,18 @@ def test_overlapping_sources(spark):
     assert abs(sum(r.taken for r in got) - sum(quota.values())) < 0.05 * sum(quota.values())
 
 
+def test_repeated_rows_meet_the_target_within_one(spark):
+    rows = [(1, "w " * 10, "a")] * 400 + [(i, "w " * 10, "b") for i in range(2, 202)] + [(i, "w " * 10, "c") for i in range(300, 400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(7)
+    out, quota, _ = mix(df, size=word_count(F.col("text")), members=F.array("source"))
+    got = out.collect()
+    for s, target in quota.items():
+        assert abs(sum(r.taken for r in got if r.members == [s]) - target) <= 10, s
+    table = lambda o: sorted((r.doc_id, r.size, r.taken) for r in o.collect())
+    again, _, _ = mix(df.repartition(3), size=word_count(F.col("text")), members=F.array("source"))
+    assert table(again) == table(out)
+
+
 def test_odd_rows(odd, none):
     out, quota, sizes = mix(odd, size=word_count(F.col("text")), members=F.array("source"))
     assert set(quota) == {"a", "b", "c", None} and out.count() == odd.count()

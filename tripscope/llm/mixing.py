@@ -143,8 +143,9 @@ def mix(
     own, last in order; a NULL or empty array belongs to no source and is not
     taken).  Sources in code point order weigh ``weights``, repeating; they
     share ``share`` times all words.  ``taken`` is size times the number of
-    uses, 0 to 3.  Rows with the same key, size and members are alike: of
-    repeated rows it is not defined which one is taken.  ``max_patterns`` is an
+    uses, 0 to 3.  Rows with the same key, size and members are alike: how many
+    of them are taken is defined, which ones is not; they stand in one hash bucket,
+    which one task puts in order if the cut falls into it.  ``max_patterns`` is an
     error bound on what the driver gets, never a cut.
     """
     spark = docs.sparkSession
@@ -153,7 +154,7 @@ def mix(
             F.col(key).alias("key"),
             F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>")))).alias("members"),
             size.cast("long").alias("size"),
-        ).select("*", F.xxhash64(F.lit(seed), "key", "size").alias("h")),
+        ).select("*", F.xxhash64(F.lit(seed), "key", "size").alias("h"), F.monotonically_increasing_id().alias("row")),
         "mixing-rows",
     )
     found = rows.groupBy("members").agg(F.sum("size").alias("words")).limit(max_patterns + 1).collect()
@@ -178,7 +179,7 @@ def mix(
     bucket = F.pmod(F.col("h"), F.lit(BUCKETS))
     # A NULL element equals itself here: arrays compare as values.
     planned = rows.join(plan, rows["members"].eqNullSafe(plan["members"])).select(
-        "key", rows["members"], "size", "h", "pattern", "uses", "rest", bucket.alias("bucket")
+        "key", rows["members"], "size", "h", "row", "pattern", "uses", "rest", bucket.alias("bucket")
     )
     partial = planned.where("rest > 0")
     sums = partial.groupBy("pattern", "rest", "bucket").agg(F.sum("size").alias("words"))
@@ -192,17 +193,19 @@ def mix(
         "mixing-edges",
     )
     # The edge bucket of each pattern, document by document.
-    inside = Window.partitionBy("pattern").orderBy("h", "key", "size").rowsBetween(Window.unboundedPreceding, 0)
+    # The row's number comes last: only rows alike in all else depend on it.
+    inside = Window.partitionBy("pattern").orderBy("h", "key", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
+    place = F.struct("h", "key", "size", "row")
     at_edge = planned.join(edges, "pattern").where("bucket = edge")
     cut = written(
-        at_edge.select("pattern", "rest", "before", "h", "size", (F.col("before") + F.sum("size").over(inside)).alias("upto"))
-        .where("upto <= rest").groupBy("pattern").agg(F.max("h").alias("h_last"), F.max("upto").alias("filled")),
+        at_edge.select("pattern", "rest", place.alias("place"), (F.col("before") + F.sum("size").over(inside)).alias("upto"))
+        .where("upto <= rest").groupBy("pattern").agg(F.max("place").alias("edge_place"), F.max("upto").alias("filled")),
         "mixing-cut",
     )
     picked = planned.join(edges, "pattern", "left").join(cut, "pattern", "left").select(
         "*", F.coalesce("filled", "before", F.lit(0)).alias("have"),
         F.coalesce(
-            (F.col("bucket") < F.col("edge")) | ((F.col("bucket") == F.col("edge")) & (F.col("h") <= F.col("h_last"))),
+            (F.col("bucket") < F.col("edge")) | ((F.col("bucket") == F.col("edge")) & (place <= F.col("edge_place"))),
             F.lit(False),
         ).alias("more"),
     )
@@ -210,11 +213,11 @@ def mix(
     gap = F.col("rest") - F.col("have")
     closest = (
         picked.where(~F.col("more") & (gap > 0) & (F.abs(gap - F.col("size")) < gap))
-        .groupBy("pattern").agg(F.min(F.struct(F.abs(gap - F.col("size")).alias("off"), "h", "key", "size")).alias("last"))
-        .select("pattern", "last.h", "last.key", "last.size")
+        .groupBy("pattern").agg(F.min(F.struct(F.abs(gap - F.col("size")).alias("off"), "h", "key", "size", "row")).alias("last"))
+        .select("pattern", F.col("last.row").alias("last_row"))
     )
-    last = written(closest.select("pattern", F.col("h").alias("last_h"), F.col("key").alias("last_key")), "mixing-last")
-    is_last = F.coalesce((F.col("h") == F.col("last_h")) & F.col("key").eqNullSafe(F.col("last_key")), F.lit(False))
+    last = written(closest, "mixing-last")
+    is_last = F.coalesce(F.col("row") == F.col("last_row"), F.lit(False))
     return picked.join(last, "pattern", "left").select(
         F.col("key").alias(key), "members", "size",
         ((F.col("uses") + (F.col("more") | is_last).cast("long")) * F.col("size")).alias("taken"),
