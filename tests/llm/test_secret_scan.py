@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from tripscope.llm import secret_scan
@@ -72,6 +73,24 @@ def test_query_columns(spark, odd, none, tmp_path):
     assert find_secrets(odd).count() == odd.count() and find_secrets(none).count() == 0
 
 
+def test_many_spans_in_one_text_take_linear_time():
+    r = random.Random(9)
+    digests = ["".join(r.choice("0123456789abcdef") for _ in range(64)) for _ in range(1000)]
+    text = "".join(f"{d}  dir/file{i}.bin\n" for i, d in enumerate(digests * 20))
+    s, started = Scanner(), time.time()
+    assert sum(k == 2 for _, k, _ in s.spans(text)) == 20_000 and time.time() - started < 30
+
+
+def test_added_spans_are_those_in_no_other():
+    r, s = random.Random(11), Scanner()
+    for _ in range(200):
+        text = "".join(r.choice(["aZ9", "token=", SECRET[:r.randint(4, 24)], "/", " ", "_x", "AKIA", "0f3a" * 9]) for _ in range(30))
+        spans = s.spans(text)
+        for a, k, b in spans:
+            if k == 3:
+                assert not any((x, z) != (a, b) and x <= a and b <= z for x, _, z in spans)
+
+
 def test_an_allowed_word_silences_its_own_part_only():
     s, key = Scanner(), "Zk9Qw2Lr7Tb5Vn8Xc3Md6Pf1"
     for t in (f"/example/hooks/{key}", f"{key}/sample", f"kind=dummy/{key}=", f"/example/a1/{key}/placeholder"):

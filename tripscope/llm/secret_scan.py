@@ -134,11 +134,14 @@ class Scanner:
                         a, b = m.start() + a, m.start() + b
                         if not self._known(word[a:b]) and not self._known_around(word, a, b):
                             added.add((run.start() + a, run.start() + b))
-        taken = [(a, b) for a, _, b in base]
-        for a, b in sorted(added, key=lambda s: (s[0] - s[1], s)):  # the longest first
-            if not any(x <= a and b <= y for x, y in taken):
-                taken.append((a, b))
-                base.append((a, len(PATTERNS), b))
+        # Spans by start, the longer one and a base span first: an added one lies in
+        # another exactly if one before it ends no earlier.
+        order = sorted([(a, -b, 0) for a, _, b in base] + [(a, -b, 1) for a, b in added])
+        furthest = -1
+        for a, b, is_added in order:
+            if is_added and -b > furthest:
+                base.append((a, len(PATTERNS), -b))
+            furthest = max(furthest, -b)
         return sorted(base)
 
     def _known(self, text: str) -> bool:
