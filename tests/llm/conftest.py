@@ -6,7 +6,9 @@ import pytest
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Names that the operators use inside or return, as columns of the input.
-CLASHES = ("key", "row", "name", "h", "kept", "size", "score", "set", "class", "members", "taken", "length", "line", "run")
+CLASHES = ("key", "row", "name", "h", "kept", "size", "score", "set", "class", "members", "taken", "length", "line", "run",
+           "__key", "__h", "__dropped", "__twins", "__links", "__lines", "__had", "__id", "__uses", "__use", "__size", "__members",
+           "dropped", "twins", "links", "had", "id", "least", "more", "use", "t", "by0", "weight", "rank", "groups")
 
 
 def prose(seed: int, words: int) -> str:

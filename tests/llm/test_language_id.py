@@ -6,7 +6,8 @@ import numpy as np
 
 from tests.conftest import SF_MID
 from tripscope.llm.language_id import (
-    EMBEDDING, FILTERS, WIDTHS, WINDOW, LanguageModel, fit_language, has_letter, identify_language, op9_language, windows,
+    EMBEDDING, FILTERS, REACH, WIDTHS, WINDOW, LanguageModel, first_weights, fit_language, gradients, has_letter,
+    identify_language, op9_language, windows,
 )
 
 
@@ -41,6 +42,25 @@ def test_tables_equal_the_convolution():
         assert np.allclose(np.mean(each, axis=0), z, atol=1e-3)
 
 
+def test_gradients_equal_finite_differences():
+    rng = np.random.default_rng(4)
+    p = first_weights(rng, 3)  # double precision
+    p = {k: v + 0.01 * rng.normal(size=v.shape) for k, v in p.items()}
+    x, y = rng.integers(97, 105, (5, WINDOW + REACH)), np.array([0, 1, 2, 1, 0])
+    _, g = gradients(p, x, y)
+    for k in p:
+        flat = np.flatnonzero(g[k])
+        for i in rng.choice(flat, min(12, len(flat)), replace=False):
+            at, h = np.unravel_index(i, p[k].shape), 1e-6
+            old = p[k][at]
+            losses = []
+            for side in (h, -h):
+                p[k][at] = old + side
+                losses.append(gradients(p, x, y)[0])
+            p[k][at] = old
+            assert np.isclose((losses[0] - losses[1]) / (2 * h), g[k][at], rtol=1e-3, atol=1e-7), (k, at)
+
+
 def test_letters():
     assert has_letter("½é") and has_letter("中") and not has_letter("½ 12_ ²") and not has_letter("") and not has_letter(None)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -57,27 +58,25 @@ def names(texts, least):
     return dict(zip(texts, zip(lines.name1.view(np.int64).tolist(), lines.name2.tolist(), strict=True), strict=True)) if texts else {}
 
 
-def brute(docs, most=2, least=32):
-    """Per document: dropped lines, the text without them, and for each
-    dropped line the documents that may stand for it."""
-    lines = [(k, i, x) for k, t in docs for i, x in enumerate((t or "").split("\n")) if len(x) >= least]
+def brute(docs, most=2, least=line_dedup.MIN_CHARS):
+    """Per document: dropped lines, the text without them, and for each dropped
+    line the document that stands for it.  Of equal lines (of any length but 0) the
+    first stays; of near ones (of ``least`` code points or more) the smaller name,
+    decided in the order of names (``greedy``)."""
+    lines = [(k, i, x) for k, t in docs for i, x in enumerate((t or "").split("\n")) if x]
     first = {}
     for k, i, x in sorted(lines, key=lambda y: (y[0], y[1])):
         first.setdefault(x, (k, i))
-    texts = list(first)
-    name = names(texts, least)
-    near = {
-        x: [y for y in texts if name[y] < name[x] and abs(len(x) - len(y)) <= most and distance(x, y) <= most] for x in texts
-    }
+    gone = greedy([x for x in first if len(x) >= least], most, least)
     out = {}
     for k, t in docs:
         drop, twins = [], []
         for i, x in enumerate((t or "").split("\n")):
-            if len(x) >= least and (first[x] != (k, i) or near[x]):
+            if x and (first[x] != (k, i) or x in gone):
                 drop.append(i)
-                twins.append({first[y][0] for y in near[x]} or {first[x][0]})
-        kept = None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in drop)
-        out[k] = (drop, kept, twins)
+                twins.append(first[gone.get(x, x)][0])
+        kept = None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in set(drop))
+        out[k] = (drop, kept, sorted(set(twins)))
     return out
 
 
@@ -94,8 +93,16 @@ def test_equals_brute_force(spark):
     assert sum(len(x[0]) for x in want.values()) > 30
     for row in df.collect():
         drop, kept, twins = want[row.doc_id]
-        assert (row.dropped_lines, row.text) == (drop, kept), row.doc_id
-        assert all(t & set(row.twin_ids) for t in twins) and set(row.twin_ids) <= set().union(*twins, set())
+        assert (row.dropped_lines, row.text, row.twin_ids) == (drop, kept, twins), row.doc_id
+
+
+def test_many_repeats_in_one_text_are_cut_in_linear_time(spark):
+    n = 80_000
+    df = spark.createDataFrame([(1, "\n".join(["the same line", "another line"] * (n // 2))), (2, "another line")], "doc_id bigint, text string")
+    started = time.time()
+    by = {r.doc_id: r for r in dedup_lines(df).collect()}
+    assert by[1].text == "the same line\nanother line" and by[1].dropped_lines == list(range(2, n)) and by[2].text == ""
+    assert time.time() - started < 60
 
 
 def test_odd_rows_and_clashing_columns(odd, none):
@@ -147,13 +154,16 @@ def test_all_links_are_found_and_counted(spark, monkeypatch, tmp_path):
 def greedy(texts, most=2, least=32):
     """In the order of names: a text stays unless one near it does.  {text that
     goes: the smallest text near it that stays}"""
-    name, out, stay = names(sorted(set(texts)), least), {}, []
+    name, out, stay = names(sorted(set(texts)), least), {}, {}
+    letters = {x: Counter(x) for x in name}
+    apart = lambda x, y: max((letters[x] - letters[y]).total(), (letters[y] - letters[x]).total())
     for x in sorted(name, key=name.get):
-        near = [y for y in stay if abs(len(x) - len(y)) <= most and distance(x, y) <= most]
+        others = [y for n in range(len(x) - most, len(x) + most + 1) for y in stay.get(n, ())]
+        near = [y for y in others if apart(x, y) <= most and distance(x, y) <= most]
         if near:
-            out[x] = near[0]
+            out[x] = min(near, key=name.get)
         else:
-            stay.append(x)
+            stay.setdefault(len(x), []).append(x)
     return out
 
 

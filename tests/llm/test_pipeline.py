@@ -46,13 +46,24 @@ def test_every_stage_takes_effect(spark):
 
 def test_stages_and_odd_rows(spark, odd, none):
     assert [name for name, _ in P.STAGES] == ["quality classifier", "line dedup", "near dedup", "mixing", "packing"]
-    for stage in (P.line_stage, P.near_stage, P.mixing_stage):
+    for stage in (P.quality_stage, P.line_stage, P.near_stage, P.mixing_stage):
         out = stage(spark, odd, SF_SMALL)
         assert out.columns == odd.columns and out.count() > 0
+        assert {r[odd.columns[-1]] for r in out.collect()} == {"clash"}
+    assert P.packing_stage(spark, odd, SF_SMALL).where("start = 0").count() == odd.count()
     for _, stage in P.STAGES:
         assert stage(spark, none, SF_SMALL).count() == 0
 
 
+def test_mixing_takes_so_many_of_repeated_rows(spark):
+    rows = [(1, "w " * 10, "a")] * 400 + [(i, "w " * 10, "b") for i in range(2, 202)] + [(i, "w " * 10, "c") for i in range(300, 400)]
+    docs = written(spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5), "t")
+    out = P.mixing_stage(spark, docs, SF_SMALL)
+    words = {r.source: 10 * r["count"] for r in out.groupBy("source").count().collect()}
+    for s, target in plain_targets({"a": 4000, "b": 2000, "c": 1000}).items():
+        assert abs(words[s] - target) <= 10, s
+
+
 def plain_targets(sizes):
     """Words each source should give: all words by weight 5, 2, 1, 5, ..., none
     over three times its own."""

@@ -7,7 +7,7 @@ import string
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from pathlib import Path
 
 import pyarrow as pa
@@ -58,6 +58,30 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+def drawn(key: Column, seed: int, wanted: int, total: Column | int) -> Column:
+    """Is the row one of about ``wanted`` of ``total``, by a hash of its key?  The
+    hash has 63 bits, so the share is above 0 for any table that can be stored."""
+    h = F.xxhash64(F.lit(seed), key)
+    # Its lowest 20 bits lead, the others follow.
+    place = F.shiftleft(h.bitwiseAND(F.lit((1 << 20) - 1)), 43).bitwiseOR(F.shiftrightunsigned(h, 21))
+    if isinstance(total, int):
+        return place < F.lit(min((1 << 63) - 1, (1 << 63) * wanted // max(total, 1)))
+    share = F.lit(float(1 << 63) * wanted) / total.cast("double")
+    return (total <= wanted) | (place.cast("double") < share)
+
+
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """Column names like ``names`` that are not among ``taken`` (whatever the
+    case), nor among each other."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -77,10 +101,33 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+_OF_ONE_TASK: list = []
+
+
+def of_one_task(container):
+    """A list or dict that serves a task and is emptied after it: worker processes
+    live on, and what each operator leaves in them would add up over a job."""
+    _OF_ONE_TASK.append(container)
+    return container
+
+
+def task_done() -> None:
+    for container in _OF_ONE_TASK:
+        container.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def mapped(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``df.mapInArrow`` with the package at hand in the tasks."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            task_done()
+
+    return df.mapInArrow(run, schema)
 
 
 def slices(batch: pa.RecordBatch, text: str | int, limit_bytes: int = 4 << 20):

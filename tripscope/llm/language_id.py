@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripscope.llm.common import held_out, mapped, slices, table
+from tripscope.llm.common import drawn, held_out, mapped, slices, table
 
 WINDOW = 192  # bytes; responses may look WIDTHS[-1] - 1 bytes further
 WIDTHS = (2, 3, 4)
@@ -110,17 +110,57 @@ class LanguageModel:
         return out
 
 
+def first_weights(rng: np.random.Generator, languages: int) -> dict[str, np.ndarray]:
+    p = {"e": rng.normal(0, 0.5, (256, EMBEDDING))}
+    for w in WIDTHS:
+        p[f"f{w}"] = rng.normal(0, (w * EMBEDDING) ** -0.5, (w * EMBEDDING, FILTERS))
+        p[f"o{w}"] = np.zeros(FILTERS)
+    p["out"] = rng.normal(0, 0.1, (len(WIDTHS) * FILTERS, languages))
+    p["bias"] = np.zeros(languages)
+    return p
+
+
+def gradients(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean cross entropy of windows ``x`` with languages ``y`` under the weights
+    ``p``, and its derivative by each of them."""
+    e = p["e"][x]
+    g = {k: np.zeros_like(t) for k, t in p.items()}
+    pooled, at, columns = [], [], []
+    for w in WIDTHS:
+        c = np.concatenate([e[:, k : k + WINDOW] for k in range(w)], axis=2)
+        r = c @ p[f"f{w}"] + p[f"o{w}"]
+        i = r.argmax(axis=1)
+        columns.append(c)
+        at.append(i)
+        pooled.append(np.take_along_axis(r, i[:, None, :], axis=1)[:, 0])
+    pooled = np.concatenate(pooled, axis=1)
+    hidden = np.maximum(pooled, 0)
+    z = hidden @ p["out"] + p["bias"]
+    q = np.exp(z - z.max(axis=1, keepdims=True))
+    q /= q.sum(axis=1, keepdims=True)
+    loss = float(-np.log(q[np.arange(len(x)), y]).mean())
+    q[np.arange(len(x)), y] -= 1
+    q /= len(x)
+    g["out"], g["bias"] = hidden.T @ q, q.sum(axis=0)
+    back = (q @ p["out"].T) * (pooled > 0)
+    one = np.arange(len(x))[:, None]
+    for j, w in enumerate(WIDTHS):
+        d, i = back[:, j * FILTERS : (j + 1) * FILTERS], at[j]
+        c = columns[j][one, i]  # rows x FILTERS x w*EMBEDDING: only the largest responses learn
+        g[f"f{w}"] = np.einsum("bfc,bf->cf", c, d)
+        g[f"o{w}"] = d.sum(axis=0)
+        de = (d[:, :, None] * p[f"f{w}"].T[None]).reshape(len(x), FILTERS, w, EMBEDDING)
+        for k in range(w):
+            np.add.at(g["e"], x[one, i + k], de[:, :, k])
+    return loss, g
+
+
 def train(data: np.ndarray, labels: np.ndarray, languages: list[str], *, epochs: int = 4, batch: int = 64,
           rate: float = 0.01, seed: int = 9) -> LanguageModel:
     """Mini-batch Adam on cross entropy.  ``data``: windows, ``labels``: the
     number of the language of each."""
     rng = np.random.default_rng(seed)
-    p = {"e": rng.normal(0, 0.5, (256, EMBEDDING))}
-    for w in WIDTHS:
-        p[f"f{w}"] = rng.normal(0, (w * EMBEDDING) ** -0.5, (w * EMBEDDING, FILTERS))
-        p[f"o{w}"] = np.zeros(FILTERS)
-    p["out"] = rng.normal(0, 0.1, (len(WIDTHS) * FILTERS, len(languages)))
-    p["bias"] = np.zeros(len(languages))
+    p = first_weights(rng, len(languages))
     p = {k: v.astype(np.float32) for k, v in p.items()}
     m, v, step = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0
     for epoch in range(epochs):
@@ -128,34 +168,7 @@ def train(data: np.ndarray, labels: np.ndarray, languages: list[str], *, epochs:
         for a in range(0, len(order), batch):
             rows = order[a : a + batch]
             x, y = data[rows].astype(np.int64), labels[rows]
-            e = p["e"][x]
-            g = {k: np.zeros_like(t) for k, t in p.items()}
-            pooled, at, columns = [], [], []
-            for w in WIDTHS:
-                c = np.concatenate([e[:, k : k + WINDOW] for k in range(w)], axis=2)
-                r = c @ p[f"f{w}"] + p[f"o{w}"]
-                i = r.argmax(axis=1)
-                columns.append(c)
-                at.append(i)
-                pooled.append(np.take_along_axis(r, i[:, None, :], axis=1)[:, 0])
-            pooled = np.concatenate(pooled, axis=1)
-            hidden = np.maximum(pooled, 0)
-            z = hidden @ p["out"] + p["bias"]
-            q = np.exp(z - z.max(axis=1, keepdims=True))
-            q /= q.sum(axis=1, keepdims=True)
-            q[np.arange(len(rows)), y] -= 1
-            q /= len(rows)
-            g["out"], g["bias"] = hidden.T @ q, q.sum(axis=0)
-            back = (q @ p["out"].T) * (pooled > 0)
-            one = np.arange(len(rows))[:, None]
-            for j, w in enumerate(WIDTHS):
-                d, i = back[:, j * FILTERS : (j + 1) * FILTERS], at[j]
-                c = columns[j][one, i]  # rows x FILTERS x w*EMBEDDING: only the largest responses learn
-                g[f"f{w}"] = np.einsum("bfc,bf->cf", c, d)
-                g[f"o{w}"] = d.sum(axis=0)
-                de = (d[:, :, None] * p[f"f{w}"].T[None]).reshape(len(rows), FILTERS, w, EMBEDDING)
-                for k in range(w):
-                    np.add.at(g["e"], x[one, i + k], de[:, :, k])
+            _, g = gradients(p, x, y)
             step += 1
             lr = rate * (1 - 0.9 * epoch / max(epochs - 1, 1)) * (1 - 0.999**step) ** 0.5 / (1 - 0.9**step)
             for k in p:
@@ -186,10 +199,10 @@ def fit_language(
     if not counts:
         return LanguageModel([], np.zeros((256, EMBEDDING)), [], [], np.zeros(0), np.zeros(0))
     languages = sorted(counts)
-    share = [(k, min(1 << 20, (1 << 20) * max_documents // len(languages) // counts[k])) for k in languages]
-    shares = docs.sparkSession.createDataFrame(share, "lang string, share long")
+    totals = docs.sparkSession.createDataFrame([(k, counts[k]) for k in languages], "lang string, total long")
     order = F.xxhash64(F.lit(9), "key")
-    picked = known.join(F.broadcast(shares), "lang").where(F.pmod(order, F.lit(1 << 20)) < F.col("share"))
+    each = max(1, max_documents // len(languages))
+    picked = known.join(F.broadcast(totals), "lang").where(drawn(F.col("key"), 9, each, F.col("total")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripscope.llm.common import mapped, slices, table, written
+from tripscope.llm.common import fresh, mapped, of_one_task, slices, table, written
 
 MAX_EDITS = 2
 #: Shorter lines are compared with equal ones only: each of the
@@ -34,13 +34,15 @@ MAX_EDITS = 2
 MIN_CHARS = 3 * (MAX_EDITS + 1)
 SIGNATURE = 24
 BLOOM_BITS = 1 << 23
+#: Text that a task holds as arrays at a time (about 70 bytes a byte).
+SLICE_BYTES = 1 << 19
 #: Probes of one segment that a part of the join takes.
 HOT_PROBES = 1024
 
 _U = np.uint64
 _FACTORS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _INVERSES = tuple(pow(f, -1, 1 << 64) for f in _FACTORS)
-_TABLES: list[np.ndarray] = []
+_TABLES: list[np.ndarray] = of_one_task([])
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -51,7 +53,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> list[np.ndarray]:
     if not _TABLES or len(_TABLES[0]) < n:
-        size = 1 << max(16, int(n).bit_length())
+        size = max(1 << 16, n + n // 8)
         _TABLES[:] = []
         for factor in (*_FACTORS, *_INVERSES):
             p = np.full(size, factor, _U)
@@ -198,15 +200,15 @@ def _first_seen(names: np.ndarray, seen: set, limit: int = 300_000) -> np.ndarra
     if len(seen) > limit:
         seen.clear()
     _, first = np.unique(names, return_index=True)
-    fresh = [i for i, x in zip(first.tolist(), names[first].tolist(), strict=True) if x not in seen]
+    new = [i for i, x in zip(first.tolist(), names[first].tolist(), strict=True) if x not in seen]
     seen.update(names[first].tolist())
-    return np.array(sorted(fresh), np.int64)
+    return np.array(sorted(new), np.int64)
 
 
 def _occurrences(rows: DataFrame, min_chars: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text", SLICE_BYTES):
                 lines = Lines(part.column("text").to_pylist(), min_chars)
                 of = pa.array(lines.text)
                 yield pa.RecordBatch.from_arrays(
@@ -225,12 +227,12 @@ def _signed(rows: DataFrame, min_chars: int, max_edits: int, bloom: np.ndarray |
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text", SLICE_BYTES):
                 lines = Lines(part.column("text").to_pylist(), min_chars)
-                fresh = _first_seen(lines.name1, seen)
-                if len(fresh):
+                new = _first_seen(lines.name1, seen)
+                if len(new):
                     for probing in (False, True):
-                        keys, of = lines.probes(fresh, max_edits, min_chars) if probing else lines.index(fresh, max_edits)
+                        keys, of = lines.probes(new, max_edits, min_chars) if probing else lines.index(new, max_edits)
                         if bloom is not None:
                             some = _in_bloom(bloom, keys)
                             keys, of = keys[some], of[some]
@@ -268,7 +270,7 @@ def _texts(rows: DataFrame, bloom: np.ndarray, min_chars: int) -> DataFrame:
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text", SLICE_BYTES):
                 texts = part.column("text").to_pylist()
                 lines = Lines(texts, min_chars)
                 some = np.flatnonzero(_in_bloom(bloom, lines.name1))
@@ -421,22 +423,25 @@ def dedup_lines(
     """The rows of ``docs`` without their dropped lines, with two more columns
     at the end: the dropped line numbers and the keys of the documents with the
     lines that stand for them (arrays), named so that they clash with no
-    column, and with ``links_as`` one more, the number of links.  Other columns are as they are.  NULL text stays NULL; a text all
-    of whose lines are dropped is empty; empty lines always stay."""
-    dropped = dropped_lines(docs, key=key, text=text, max_edits=max_edits, min_chars=min_chars).select(
-        F.col("key").alias("__key"), F.col("h").alias("__h"), F.col("dropped").alias("__dropped"), F.col("twins").alias("__twins"),
-        F.col("n_links").alias("__links"),
-    )
+    column, and with ``links_as`` one more, the number of links (a line that
+    stands twice in a document counts its links twice).  Other columns are as
+    they are, whatever their names.  NULL text stays NULL; a text all of whose
+    lines are dropped is empty; empty lines always stay."""
+    k, th, gone, twins, links = fresh(docs.columns, "key", "h", "dropped", "twins", "links")
+    dropped = dropped_lines(docs, key=key, text=text, max_edits=max_edits, min_chars=min_chars).toDF(k, th, gone, twins, links)
     h = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    both = docs.join(dropped, docs[key].eqNullSafe(F.col("__key")) & (h == F.col("__h")), "left")
-    lines = F.filter(F.split(F.col(text), "\n", -1), lambda _, i: ~F.array_contains("__dropped", i))
-    fresh = F.when(F.size("__dropped") > 0, F.array_join(lines, "\n")).otherwise(F.col(text))
+    both = docs.join(dropped, docs[key].eqNullSafe(F.col(k)) & (h == F.col(th)), "left")
+    # The text is split once; of its line numbers the dropped ones are taken away.
+    left = lambda lines: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    cut = F.transform(
+        F.array(F.split(F.col(text), "\n", -1)), lambda lines: F.array_join(F.transform(left(lines), lambda i: lines[i]), "\n")
+    )[0]
     none = lambda c: F.coalesce(c, F.array().cast(dropped.schema[c].dataType))
     return both.select(
-        *[fresh.alias(text) if c == text else docs[c] for c in docs.columns],
-        none("__dropped").alias(dropped_as),
-        none("__twins").alias(twins_as),
-        *([F.coalesce("__links", F.lit(0)).alias(links_as)] if links_as else []),
+        *[F.when(F.size(gone) > 0, cut).otherwise(F.col(text)).alias(text) if c == text else docs[c] for c in docs.columns],
+        none(gone).alias(dropped_as),
+        none(twins).alias(twins_as),
+        *([F.coalesce(links, F.lit(0)).alias(links_as)] if links_as else []),
     )
 
 

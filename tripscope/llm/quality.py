@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripscope.llm.common import held_out, mapped, slices, table
+from tripscope.llm.common import drawn, held_out, mapped, of_one_task, slices, table
 
 BITS = 18
 #: About so many labelled documents are learnt from, picked by a hash of the id.
@@ -41,7 +41,7 @@ class _WordHash(dict):
         return value
 
 
-_HASHES = _WordHash()
+_HASHES = of_one_task(_WordHash())
 
 
 def features(text: str | None, bits: int = BITS) -> np.ndarray:
@@ -112,7 +112,7 @@ def fit_quality(
     order = F.xxhash64(F.lit(8), "key")
     total = known.count()
     if total > max_trained:
-        known = known.where(F.pmod(order, F.lit(1 << 20)) < (1 << 20) * max_trained // total)
+        known = known.where(drawn(F.col("key"), 8, max_trained, total))
     # At most about max_trained short rows: a bounded broadcast.
     picked = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(known), "key")
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripscope.llm.common import mapped, slices, table, written
+from tripscope.llm.common import mapped, of_one_task, slices, table, written
 from tripscope.llm.components import stars
 
 REGISTERS, ROWS = 160, 5  # 32 bands of 5
@@ -55,12 +55,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 _ODD = mixed(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(_GOLDEN)) | np.uint64(1)
 _PLACE = mixed(np.arange(1001, 1001 + SHINGLE, dtype=np.uint64) * np.uint64(_GOLDEN)) | np.uint64(1)
-_POWERS: list[np.ndarray] = []
+_POWERS: list[np.ndarray] = of_one_task([])
 
 
 def _powers(n: int) -> list[np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
-        size = 1 << max(16, int(n).bit_length())
+        size = max(1 << 16, n + n // 8)
         _POWERS[:] = []
         for factor in (_GOLDEN, _INVERSE):
             p = np.full(size, factor, np.uint64)
