@@ -122,6 +122,31 @@ def zone_imbalance_union(
     return _metrics(_counts_union(activity_filter(trips), hour_col), zones, min_activity, digits)
 
 
+#: The imbalance as one chain of common table expressions; ``{trips}`` and
+#: ``{zones}`` are DataFrame arguments.  A duration above 0 implies both times.
+ZONE_IMBALANCE_SQL = """
+WITH valid AS (
+  SELECT pickup_hour, pu_location_id, do_location_id FROM {trips} WHERE duration_minutes > 0 AND total_amount > 0),
+sides AS (
+  SELECT pickup_hour, stack(2, pu_location_id, 1, 0, do_location_id, 0, 1) AS (location_id, p, d) FROM valid),
+counts AS (
+  SELECT pickup_hour, location_id, sum(p) AS pickups, sum(d) AS dropoffs FROM sides GROUP BY pickup_hour, location_id),
+active AS (
+  SELECT *, pickups + dropoffs AS activity, pickups - dropoffs AS net_pickups FROM counts
+  WHERE pickups + dropoffs >= :min_activity),
+rated AS (
+  SELECT *, CASE WHEN activity > 0 THEN net_pickups / activity ELSE 0D END AS imbalance_ratio FROM active)
+SELECT pickup_hour, location_id, Borough AS borough, Zone AS zone, pickups, dropoffs, activity, net_pickups, imbalance_ratio,
+       abs(imbalance_ratio) AS abs_imbalance_ratio
+FROM rated JOIN {zones} ON location_id = LocationID
+"""
+
+
+def zone_imbalance_sql(trips: DataFrame, zones: DataFrame, min_activity: int = 30) -> DataFrame:
+    """``zone_imbalance`` through the SQL surface."""
+    return trips.sparkSession.sql(ZONE_IMBALANCE_SQL, args={"min_activity": min_activity}, trips=trips, zones=zones)
+
+
 _NET = ["pickup_hour", "borough", "zone", "pickups", "dropoffs", "net_pickups"]
 
 

@@ -495,6 +495,7 @@ FROM flow WHERE is_airport = 1 GROUP BY pu_zone, do_zone
     ma = p["imbalance_min_activity"]
     imb = W(*IMB_BASE, _imbalance(ma, False))
     q["zone_imbalance"] = imb + "SELECT * FROM zi"
+    q["zone_imbalance_sql"] = q["zone_imbalance"]
     q["zone_imbalance_union"] = W(*IMB_BASE, _imbalance(ma, True)) + "SELECT * FROM zi"
     q["imbalance_top_surplus"] = imb + """SELECT pickup_hour, borough, zone, pickups, dropoffs, net_pickups FROM zi
 ORDER BY net_pickups DESC, pickup_hour, borough, zone, pickups, dropoffs, location_id LIMIT 5"""

@@ -342,6 +342,7 @@ def _imbalance() -> dict[str, Query]:
     return {
         "zone_imbalance": found,
         "zone_imbalance_union": lambda s, d: imbalance.zone_imbalance_union(*_tz(s, d), min_activity=m),
+        "zone_imbalance_sql": lambda s, d: imbalance.zone_imbalance_sql(*_tz(s, d), min_activity=m),
         "imbalance_top_surplus": lambda s, d: imbalance.top_surplus(found(s, d), k=5),
         "imbalance_top_deficit": lambda s, d: imbalance.top_deficit(found(s, d), k=5),
         "imbalance_top_ratio": lambda s, d: imbalance.top_ratio(found(s, d), k=5),
