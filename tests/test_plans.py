@@ -7,7 +7,7 @@ from tests.conftest import SF_MID
 from tripscope import registry
 from tripscope.operators import flows, geo, od, revenue
 from tripscope.plans.inspect import plan_text, scan_nodes
-from tripscope.sources.store import prepared_trips, zone_table
+from tripscope.sources.store import prepared_frame, prepared_trips, zone_table
 
 
 def _q(spark, key):
@@ -115,3 +115,18 @@ def test_flows_aggregate_before_joining(spark):
 def test_top_k_is_take_ordered(spark):
     for key in ("demand_profile_by_date", "zone_top_revenue", "imbalance_top_surplus", "od_top_growth"):
         assert "TakeOrderedAndProject" in plan_text(_q(spark, key)), key
+
+
+def test_trips_are_dealt_out_once_before_their_columns_are_made(spark):
+    frame = prepared_frame(spark, SF_MID)
+    dealt = [node for node in plan_text(frame).split("\n\n") if "REBALANCE_PARTITIONS" in node]
+    assert len(dealt) == 1 and "REBALANCE_PARTITIONS_BY_COL" in dealt[0] and "l_extendedprice" in dealt[0]
+    assert all(c not in dealt[0] for c in ("fare_amount", "tpep_pickup_datetime", "pickup_latitude", "duration_minutes"))
+    # what the write asks for is there already: it sorts no wide rows
+    ordering = frame._jdf.queryExecution().optimizedPlan().outputOrdering()
+    assert ordering.size() == 1 and ordering.apply(0).toString().startswith("pickup_day#")
+
+
+def test_stored_trips_lie_under_their_day(spark):
+    t = prepared_trips(spark, SF_MID)
+    assert t.where("pickup_day is distinct from dayofmonth(pickup_ts)").isEmpty()

@@ -132,6 +132,7 @@ def write_partitioned(
     path: str,
     by: Sequence[str] = ("pickup_day",),
     files_per_value: int | None = None,
+    dealt: bool = False,
 ) -> None:
     """Overwrite ``path`` with ``df`` partitioned by ``by``.
 
@@ -144,9 +145,14 @@ def write_partitioned(
     ``files_per_value=k`` instead fixes k files per value: rows are hashed
     on the partition columns plus a deterministic row hash (not ``rand``,
     so a stage retried after an executor loss sends rows to the same place).
+
+    ``dealt``: the rows of ``df`` have been dealt out by ``by`` already, before
+    its columns were made; they are written where they are.
     """
     by = list(by)
-    if files_per_value:
+    if dealt:
+        pass
+    elif files_per_value:
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
         df = df.repartition(*[F.col(c) for c in by], salt)
     else:

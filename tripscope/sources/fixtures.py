@@ -72,8 +72,8 @@ def _dec(c: Column, scale: str = "decimal(4,2)") -> Column:
     return c.cast(scale)
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One trip per line item, in the reference's enriched column names.
+def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per trip with the driver's columns that it is made of.
 
     Joins: orders with customer first (the smaller pair), then line items,
     then suppliers.  Sizes are left to adaptive execution: at the driver's
@@ -88,16 +88,32 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     supplier = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
 
-    oc = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    joined = li.join(oc, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        supplier, F.col("l_suppkey") == F.col("s_suppkey")
+    oc = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
+    return (
+        li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .drop("o_orderkey", "s_suppkey")
     )
 
+
+def second_of_day() -> Column:
     w_ok, w_pk, w_ln = SECOND_OF_DAY_WEIGHTS
+    return (F.col("l_orderkey") * w_ok + F.col("l_partkey") * w_pk + F.col("l_linenumber") * w_ln) % SECONDS_PER_DAY
+
+
+def pickup_time() -> Column:
+    """The pick-up time of a row of ``trip_rows``."""
+    return _seconds(F.col("o_orderdate"), second_of_day())
+
+
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One trip per line item, in the reference's enriched column names."""
+    return trips_of(trip_rows(spark, sf_dir))
+
+
+def trips_of(rows: DataFrame, *carried: str) -> DataFrame:
+    """The trips of ``trip_rows``; ``carried`` columns stay at the end."""
     d_pk, d_sk = DURATION_WEIGHTS
-    sec_of_day = (
-        F.col("l_orderkey") * w_ok + F.col("l_partkey") * w_pk + F.col("l_linenumber") * w_ln
-    ) % SECONDS_PER_DAY
     dur_sec = (F.col("l_partkey") * d_pk + F.col("l_suppkey") * d_sk) % DURATION_MODULUS - DURATION_OFFSET
     fare = _dec(
         F.when(
@@ -123,13 +139,13 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     def coord(base: float, key: str, modulus: int, divisor: int) -> Column:
         return F.lit(base) + (F.col(key) % modulus).cast("double") / divisor
 
-    return joined.select(
+    return rows.select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
         (1 + F.col("l_suppkey") % 3).cast("int").alias("vendor_id"),
-        _seconds(F.col("o_orderdate"), sec_of_day).alias("pickup_ts"),
-        _seconds(F.col("o_orderdate"), sec_of_day + dur_sec).alias("dropoff_ts"),
+        pickup_time().alias("pickup_ts"),
+        _seconds(F.col("o_orderdate"), second_of_day() + dur_sec).alias("dropoff_ts"),
         F.nullif(F.col("l_partkey") % 7, F.lit(0)).cast("int").alias("passenger_count"),
         ((F.col("l_quantity") - 1) / 4).alias("trip_distance"),
         F.col("s_nationkey").cast("int").alias("pu_location_id"),
@@ -145,6 +161,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         coord(-74.25, "l_suppkey", 37, 50).alias("pickup_longitude"),
         coord(40.5, "o_custkey", 50, 100).alias("dropoff_latitude"),
         coord(-74.25, "o_custkey", 37, 50).alias("dropoff_longitude"),
+        *carried,
     )
 
 

@@ -28,10 +28,14 @@ from pyspark.sql import functions as F
 
 from tripscope.operators.prepare import enrich_trips, prepare_trips, write_partitioned
 from tripscope.session import shared_dir
-from tripscope.sources.fixtures import FIXTURE_VERSION, INPUT_TABLES, text_timestamps, trips, trips_raw, zones
+from tripscope.sources.fixtures import (
+    FIXTURE_VERSION, INPUT_TABLES, pickup_time, text_timestamps, trip_rows, trips_of, trips_raw, zones,
+)
 from tripscope.sources.tables import table_path
 
 PARTITION_COLUMN = "pickup_day"
+#: The same day, as the rows that become trips carry it.
+DEALT_DAY = "dealt_day"
 LAYOUT_MODULES = ("tripscope.sources.fixtures", "tripscope.operators.prepare", "tripscope.sources.store")
 #: Modules that define what stored aggregates and states hold.
 AGGREGATE_MODULES = tuple(
@@ -131,12 +135,17 @@ def prepared_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     lossless for whole-second timestamps), without parsing text.
 
     The joins may all be broadcast, which leaves the rows in the partitions of
-    the line items' files (one for one file): they are dealt out anew before the
-    costly columns are made, into as many partitions as adaptive execution sees fit."""
-    t = text_timestamps(trips(spark, sf_dir).hint("rebalance"))
+    the line items' files (one for one file).  So they are dealt out anew, once:
+    by the day of pick-up, for the write, and as the few columns that the joins
+    give; the prepared ones, several times as wide, are made behind that shuffle
+    and behind the sort that the write needs."""
+    day = F.dayofmonth(pickup_time().cast("timestamp")).alias(DEALT_DAY)
+    rows = trip_rows(spark, sf_dir).select("*", day).hint("rebalance", DEALT_DAY).sortWithinPartitions(DEALT_DAY)
+    t = text_timestamps(trips_of(rows, DEALT_DAY))
     t = t.withColumns({"pickup_ts": F.col("pickup_ts").cast("timestamp"),
                        "dropoff_ts": F.col("dropoff_ts").cast("timestamp")})
-    return enrich_trips(t).select(*prepare_trips(trips_raw(spark, sf_dir)).columns)
+    columns = prepare_trips(trips_raw(spark, sf_dir)).columns
+    return enrich_trips(t).select(*[F.col(DEALT_DAY).alias(c) if c == PARTITION_COLUMN else c for c in columns])
 
 
 def _framed(spark: SparkSession, place: str, make: Callable[[], DataFrame]) -> DataFrame:
@@ -152,7 +161,7 @@ def prepared_trips(spark: SparkSession, sf_dir: str, rebuild: bool = False, stat
     coordinates and whole-second durations), partitioned by ``pickup_day``."""
     path = built_table(
         spark, sf_dir, "trips",
-        lambda path: write_partitioned(prepared_frame(spark, sf_dir), path, by=[PARTITION_COLUMN]), rebuild, state,
+        lambda path: write_partitioned(prepared_frame(spark, sf_dir), path, by=[PARTITION_COLUMN], dealt=True), rebuild, state,
     )
     return _framed(spark, path, lambda: spark.read.parquet(path))
 
