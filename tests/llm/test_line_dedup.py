@@ -218,3 +218,33 @@ def test_repeats_meet_once_and_hot_segments_are_dealt(spark, monkeypatch):
     meet = kept["lines-meet"]
     assert meet.count() == meet.distinct().count() and meet.groupBy("seg").count().agg({"count": "max"}).first()[0] <= 80
     assert kept["lines-parts"].agg({"parts": "max"}).first()[0] == 10
+
+
+def test_an_edit_changes_four_grams_at_most(spark):
+    r = random.Random(12)
+    texts = ["".join(r.choice("abcé z😀") for _ in range(r.randint(9, 40))) for _ in range(300)]
+    for most in (1, 2):
+        lines = Lines([x for t in texts for x in (t, edited(r, t, most))], 0)
+        grams = lines.grams(np.arange(len(lines.start)))
+        assert (np.bitwise_count(grams[::2] ^ grams[1::2]) <= 4 * most).all() and len(set(grams.tolist())) > 500
+    assert Lines(["", "x"], 0).grams(np.arange(2)).tolist() == [0, 0]
+
+
+def test_variants_of_one_line_with_a_word_each_do_not_all_meet(spark, monkeypatch):
+    kept = {}
+
+    def spy(df, name, f=line_dedup.written):
+        kept[name] = f(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(line_dedup, "written", spy)
+    r, base, texts = random.Random(13), prose(6, 60), set()
+    while len(texts) < 200:
+        at = r.randrange(len(base))
+        texts.add(base[:at] + "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) + base[at:])
+    texts = sorted(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    links = line_dedup.near_lines(line_dedup._rows(df, "doc_id", "text"), max_edits=2, min_chars=9).count()
+    both = [(a, b) for i, a in enumerate(texts) for b in texts[:i]]
+    assert links == (edit_distances([a for a, _ in both], [b for _, b in both], 2) <= 2).sum()
+    assert kept["lines-pairs"].count() < len(texts) * (len(texts) - 1) / 2 / 5

@@ -4,9 +4,11 @@ Two lines within ``max_edits`` edits, one cut into ``max_edits + 1`` segments:
 the other holds one of the segments whole, at nearly its place.  So every
 distinct line is indexed under its segments (with its length), and probes,
 for every length it may be near to, the substrings of itself that can be that
-segment.  What meets is tested by a signature (the parity of the counts of 24
-classes of characters: an edit changes two bits at most), then verified by a
-banded bit-parallel edit distance over many pairs at once.
+segment.  What meets is tested by two signatures (the parity of the counts of 24
+classes of characters, of which an edit changes two bits at most, and of 64
+classes of neighbouring characters: four bits at most), then verified by a
+banded bit-parallel edit distance over many pairs at once.  The second tells
+variants of one text, each with a word of its own changed, from near lines.
 
 Of equal lines the first stays, by (key, line number).  Lines are decided in
 the order of their names (hashes of their texts): one stays unless a line near
@@ -19,6 +21,7 @@ of a third of all documents meets others once.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +46,7 @@ _U = np.uint64
 _FACTORS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _INVERSES = tuple(pow(f, -1, 1 << 64) for f in _FACTORS)
 _TABLES: list[np.ndarray] = of_one_task([])
+_CLASSES: list[np.ndarray] = []
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -51,6 +55,14 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
+def _class_bits(points: np.ndarray) -> np.ndarray:
+    """The bit of each code point's class, by a table of all of them (4 MB)."""
+    if not _CLASSES:
+        every = _mixed(np.arange(1, 0x110001, dtype=_U)) % _U(SIGNATURE)
+        _CLASSES.append(np.left_shift(np.uint32(1), every.astype(np.uint32)))
+    return _CLASSES[0][points]
+
+
 def _powers(n: int) -> list[np.ndarray]:
     if not _TABLES or len(_TABLES[0]) < n:
         size = max(1 << 16, n + n // 8)
@@ -73,7 +85,7 @@ class Lines:
         self.points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         n = len(self.points)
         tables = _powers(n + 1)
-        self.up, self.down = tables[0], tables[2]
+        self.down, self.other = tables[2], (tables[1], tables[3])
         ends = np.flatnonzero(self.points == 10)
         starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64) if n else ends
         first = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
@@ -82,17 +94,33 @@ class Lines:
         long = ends - starts >= min_chars
         self.text, self.number = text[long], number[long]
         self.start, self.length = starts[long], (ends - starts)[long]
-        wide = self.points.astype(_U) + _U(1)
-        self.sums = self._sums(wide, tables[0])
-        bits = _U(1) << (_mixed(wide) % _U(SIGNATURE))
-        parity = np.zeros(n + 1, _U)
-        np.bitwise_xor.accumulate(bits, out=parity[1:])
+        self.wide = self.points.astype(_U) + _U(1)
+        self.sums = self._sums(self.wide, tables[0])
+        parity = np.zeros(n + 1, np.uint32)
+        np.bitwise_xor.accumulate(_class_bits(self.points), out=parity[1:])
         stop = self.start + self.length
-        sign = (parity[stop] ^ parity[self.start]) << _U(64 - SIGNATURE)
+        sign = (parity[stop] ^ parity[self.start]).astype(_U) << _U(64 - SIGNATURE)
         one = _mixed((self.sums[stop] - self.sums[self.start]) * self.down[self.start] + self.length.astype(_U))
-        other = self._sums(wide, tables[1])
         self.name1 = sign | (one >> _U(SIGNATURE))
-        self.name2 = _mixed((other[stop] - other[self.start]) * tables[3][self.start] + self.length.astype(_U))
+
+    @functools.cached_property
+    def name2(self) -> np.ndarray:
+        up, down = self.other
+        sums = self._sums(self.wide, up)
+        return _mixed((sums[self.start + self.length] - sums[self.start]) * down[self.start] + self.length.astype(_U))
+
+    def grams(self, rows: np.ndarray) -> np.ndarray:
+        """Of each of ``rows``, the parity of the counts of 64 classes of
+        neighbouring code points."""
+        n = np.maximum(self.length[rows] - 1, 0)
+        out = np.zeros(len(rows), _U)
+        first = np.cumsum(n) - n
+        at = np.arange(int(n.sum())) + np.repeat(self.start[rows] - first, n)
+        some = n > 0
+        if some.any():
+            classes = (self.wide[at] * _U(_FACTORS[0]) + self.wide[at + 1] * _U(_FACTORS[1])) * _U(0xBF58476D1CE4E5B9) >> _U(58)
+            out[some] = np.bitwise_xor.reduceat(_U(1) << classes, first[some])
+        return out
 
     @staticmethod
     def _sums(wide: np.ndarray, up: np.ndarray) -> np.ndarray:
@@ -115,10 +143,11 @@ class Lines:
             of.append(rows)
         return np.concatenate(keys), np.concatenate(of)
 
-    def probes(self, rows: np.ndarray, max_edits: int, min_chars: int) -> tuple[np.ndarray, np.ndarray]:
+    def probes(self, rows: np.ndarray, max_edits: int, min_chars: int, own: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """(keys, row of each) of the substrings that can be a segment of a
         line that is not longer.  With i edits at most before the i-th segment
-        and the others behind it, its shift is bounded from both ends."""
+        and the others behind it, its shift is bounded from both ends.  Without
+        ``own``: those that are not a line's own segments."""
         keys, of = [], []
         for less in range(max_edits + 1):
             some = rows[self.length[rows] - less >= min_chars]
@@ -127,6 +156,8 @@ class Lines:
                 at, size = segment(length, i, max_edits + 1)
                 behind = max_edits - i
                 for shift in range(max(-i, less - behind), min(i, less + behind) + 1):
+                    if less == shift == 0 and not own:
+                        continue
                     place = at + shift
                     fits = (place >= 0) & (place + size <= self.length[some])
                     r = some[fits]
@@ -221,8 +252,9 @@ def _occurrences(rows: DataFrame, min_chars: int) -> DataFrame:
 
 
 def _signed(rows: DataFrame, min_chars: int, max_edits: int, bloom: np.ndarray | None = None) -> DataFrame:
-    """(seg, name, probing) of the index and the probes of every line; with a
-    filter, of the segments in it."""
+    """(seg, name, probing) of every line: its segments, which it is indexed
+    under and probes as well, and what else it probes (``probing``).  With a
+    filter, of the segments in it, and with the line's other signature, grams."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -232,15 +264,19 @@ def _signed(rows: DataFrame, min_chars: int, max_edits: int, bloom: np.ndarray |
                 new = _first_seen(lines.name1, seen)
                 if len(new):
                     for probing in (False, True):
-                        keys, of = lines.probes(new, max_edits, min_chars) if probing else lines.index(new, max_edits)
+                        keys, of = lines.probes(new, max_edits, min_chars, own=False) if probing else lines.index(new, max_edits)
+                        more = []
                         if bloom is not None:
                             some = _in_bloom(bloom, keys)
                             keys, of = keys[some], of[some]
+                            each, at = np.unique(of, return_inverse=True)
+                            more = [_long(lines.grams(each)[at])]
                         yield pa.RecordBatch.from_arrays(
-                            [_long(keys), _long(lines.name1[of]), pa.array(np.full(len(of), probing))], ["seg", "name", "probing"]
+                            [_long(keys), _long(lines.name1[of]), pa.array(np.full(len(of), probing)), *more],
+                            ["seg", "name", "probing", "grams"][: 3 + len(more)],
                         )
 
-    return rows.select("text").transform(mapped, cut, "seg long, name long, probing boolean")
+    return rows.select("text").transform(mapped, cut, "seg long, name long, probing boolean" + ", grams long" * (bloom is not None))
 
 
 def bloom_words(names: DataFrame, column: str) -> np.ndarray:
@@ -321,24 +357,30 @@ def near_lines(rows: DataFrame, *, max_edits: int, min_chars: int) -> DataFrame:
     # A segment matters if an index and a probe of different lines share it.
     shared = (
         _signed(rows, min_chars, max_edits).groupBy("seg")
-        .agg(F.min("name").alias("low"), F.max("name").alias("high"), F.min("probing").alias("some"), F.max("probing").alias("all"))
-        .where("low < high and some != all")
+        .agg(F.min("name").alias("low"), F.max("name").alias("high"), F.min("probing").alias("all"))
+        .where("low < high and not all")
     )
     bloom = bloom_words(shared, "seg")
     meet = written(_signed(rows, min_chars, max_edits, bloom).distinct(), "lines-meet")
     # Probes of a hot segment are dealt over parts, each with the whole index.
     parts = written(
-        meet.groupBy("seg").agg(F.count_if("probing").alias("n"), F.count("*").alias("size"), F.min("name").alias("low"), F.max("name").alias("high"))
-        .where("low < high and n > 0 and n < size").select("seg", F.expr(f"cast((n - 1) div {HOT_PROBES} + 1 as int)").alias("parts")),
+        meet.groupBy("seg").agg(F.count("*").alias("n"), F.min("probing").alias("all"), F.min("name").alias("low"), F.max("name").alias("high"))
+        .where("low < high and not all").select("seg", F.expr(f"cast((n - 1) div {HOT_PROBES} + 1 as int)").alias("parts")),
         "lines-parts",
     )
     dealt = written(meet.join(parts, "seg"), "lines-dealt")
-    index = dealt.where("not probing").select("seg", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("name").alias("x"))
-    probes = dealt.where("probing").select("seg", F.pmod(F.xxhash64("name"), "parts").cast("int").alias("part"), F.col("name").alias("y"))
-    apart = F.bit_count(F.shiftrightunsigned(F.col("x").bitwiseXOR(F.col("y")), 64 - SIGNATURE))
+    index = dealt.where("not probing").select(
+        "seg", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("name").alias("x"), F.col("grams").alias("gx")
+    )
+    probes = dealt.select(
+        "seg", F.pmod(F.xxhash64("name"), "parts").cast("int").alias("part"), F.col("name").alias("y"), F.col("grams").alias("gy"), "probing"
+    )
+    apart = F.bit_count(F.shiftrightunsigned(F.col("x").bitwiseXOR(F.col("y")), 64 - SIGNATURE)) <= 2 * max_edits
+    apart &= F.bit_count(F.col("gx").bitwiseXOR(F.col("gy"))) <= 4 * max_edits
+    # Of two lines that are both indexed under the segment, one probes.
+    once = (F.col("x") < F.col("y")) | (F.col("probing") & (F.col("x") != F.col("y")))
     pairs = written(
-        index.join(probes, ["seg", "part"]).where((F.col("x") != F.col("y")) & (apart <= 2 * max_edits))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
+        index.join(probes, ["seg", "part"]).where(once & apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
         "lines-pairs",
     )
     bloom = bloom_words(pairs.select(F.explode(F.array("a", "b")).alias("name")), "name")
