@@ -248,3 +248,57 @@ def test_variants_of_one_line_with_a_word_each_do_not_all_meet(spark, monkeypatc
     both = [(a, b) for i, a in enumerate(texts) for b in texts[:i]]
     assert links == (edit_distances([a for a, _ in both], [b for _, b in both], 2) <= 2).sum()
     assert kept["lines-pairs"].count() < len(texts) * (len(texts) - 1) / 2 / 5
+
+
+def plain(points, factor):
+    """Sum of a line's or substring's points under powers of a factor."""
+    return sum((p + 1) * pow(factor, i, 1 << 64) for i, p in enumerate(points)) % (1 << 64)
+
+
+def test_names_and_keys_equal_plain_sums_whatever_stands_beside(spark):
+    r = random.Random(14)
+    mixed = lambda x: int(line_dedup._mixed(np.array([x % (1 << 64)], np.uint64))[0])
+    for letters in ("ab \n", "aé\nÿ\0", "a\u2013é😀\n", "ab\ud800\n"):
+        texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 40))) for _ in range(30)]
+        lines = Lines(texts, 0)
+        of = [(i, j, x) for i, t in enumerate(texts) for j, x in enumerate(t.split("\n"))]
+        assert [(a, b, lines.text_of(k)) for k, (a, b) in enumerate(zip(lines.text, lines.number, strict=True))] == of
+        for k, (_, _, x) in enumerate(of):
+            one, two = (mixed(plain(map(ord, x), f) + len(x)) for f in line_dedup._FACTORS)
+            sign = 0
+            for c in x:
+                sign ^= 1 << mixed(ord(c) + 1) % line_dedup.SIGNATURE
+            assert int(lines.name1[k]) == sign << 40 | one >> 24 and int(lines.name2[k]) == two
+        keys, rows = lines.index(np.arange(len(of)), 2)
+        for n, (key, k) in enumerate(zip(keys.tolist(), rows.tolist(), strict=True)):
+            x, i = of[k][2], n // len(of)
+            at, size = (int(v[0]) for v in line_dedup.segment(np.array([len(x)]), i, 3))
+            h = plain(map(ord, x[at : at + size]), line_dedup._FACTORS[0])
+            assert key == mixed(mixed(h + len(x) * line_dedup._FACTORS[1]) + i + 1)
+        # Beside points of any size: the same names, keys and grams.
+        beside = Lines([*texts, "\u4e2d😀"], 0)
+        n = np.arange(len(of))
+        assert (beside.name1[n] == lines.name1).all() and (beside.name2[n] == lines.name2).all()
+        assert all((a == b).all() for a, b in zip(beside.probes(n, 2, 0), lines.probes(n, 2, 0), strict=True))
+        assert (beside.grams(n) == lines.grams(n)).all()
+
+
+def test_names_cost_less_than_sums_before_every_point(spark):
+    texts = [prose(400 + i, 3000) + "\n" + prose(500 + i, 30) for i in range(30)]
+    table, n = np.arange(0x110000, dtype=np.uint32), sum(map(len, texts)) + len(texts)
+    weights = np.arange(n, dtype=np.uint64)
+
+    def every_point():
+        points = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le"), np.uint32)
+        np.cumsum((points.astype(np.uint64) + np.uint64(1)) * weights)
+        np.bitwise_xor.accumulate(table[points])
+
+    def least(f):
+        spent = []
+        for _ in range(9):
+            started = time.process_time()
+            f()
+            spent.append(time.process_time() - started)
+        return min(spent)
+
+    assert least(lambda: Lines(texts, 9)) < 0.8 * least(every_point)

@@ -15,14 +15,15 @@ the order of their names (hashes of their texts): one stays unless a line near
 it already does.  So a line is dropped if and only if a near line is kept, or
 an equal one stands before it.  Every link between two different lines is found
 and counted.  Lines of fewer than ``min_chars`` code points have no near lines;
-equal ones are judged whatever their length, but for empty lines.  Index and probes are made distinct before they are joined, so a line
-of a third of all documents meets others once.
+equal ones are judged whatever their length, but for empty lines.  Index and
+probes are made distinct before they are joined, so a line of a third of all
+documents meets others once.
 """
 
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,8 @@ HOT_PROBES = 1024
 _U = np.uint64
 _FACTORS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _INVERSES = tuple(pow(f, -1, 1 << 64) for f in _FACTORS)
+_SQUARES = tuple(f * f % (1 << 64) for f in _FACTORS)
 _TABLES: list[np.ndarray] = of_one_task([])
-_CLASSES: list[np.ndarray] = []
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -55,19 +56,27 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-def _class_bits(points: np.ndarray) -> np.ndarray:
-    """The bit of each code point's class, by a table of all of them (4 MB)."""
-    if not _CLASSES:
-        every = _mixed(np.arange(1, 0x110001, dtype=_U)) % _U(SIGNATURE)
-        _CLASSES.append(np.left_shift(np.uint32(1), every.astype(np.uint32)))
-    return _CLASSES[0][points]
+@functools.cache
+def _classes() -> np.ndarray:
+    """The bit of each code point's class (4 MB)."""
+    every = _mixed(np.arange(1, 0x110001, dtype=_U)) % _U(SIGNATURE)
+    return np.left_shift(np.uint32(1), every.astype(np.uint32))
+
+
+@functools.cache
+def _byte_pairs() -> tuple[np.ndarray, ...]:
+    """Of two code points under 256, side by side in 16 bits: their sums under
+    both factors, and their classes (1.3 MB)."""
+    low, high = (x.astype(_U) for x in np.arange(1 << 16, dtype="<u2").view(np.uint8).reshape(-1, 2).T)
+    sums = [(low + _U(1)) + (high + _U(1)) * _U(f) for f in _FACTORS]
+    return *sums, _classes()[low.astype(np.intp)] ^ _classes()[high.astype(np.intp)]
 
 
 def _powers(n: int) -> list[np.ndarray]:
     if not _TABLES or len(_TABLES[0]) < n:
         size = max(1 << 16, n + n // 8)
         _TABLES[:] = []
-        for factor in (*_FACTORS, *_INVERSES):
+        for factor in (*_SQUARES, *_INVERSES):
             p = np.full(size, factor, _U)
             p[0] = 1
             _TABLES.append(np.multiply.accumulate(p))
@@ -78,15 +87,24 @@ class Lines:
     """The lines (between newlines) of some texts, those of ``min_chars`` code
     points or more, as arrays: text number, line number, start, length, and
     the two halves of their 128-bit names.  The upper bits of the first half
-    are the signature."""
+    are the signature.
+
+    Code points are taken two by two, those under 256 (if there are no others)
+    from tables of all pairs.  Sums over lines go by whole pairs, and by the
+    single points at the ends."""
 
     def __init__(self, texts: list[str], min_chars: int):
         joined = "".join(t + "\n" for t in texts)
-        self.points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        n = len(self.points)
-        tables = _powers(n + 1)
-        self.down, self.other = tables[2], (tables[1], tables[3])
-        ends = np.flatnonzero(self.points == 10)
+        n = len(joined)
+        joined += "\0" * (2 - n % 2)
+        try:
+            self.coding, points = "latin-1", np.uint8
+            self.points = np.frombuffer(joined.encode(self.coding), points)
+        except UnicodeEncodeError:
+            self.coding, points = "utf-32-le", np.uint32
+            self.points = np.frombuffer(joined.encode(self.coding, "surrogatepass"), points)
+        self.powers = _powers(n + 2)
+        ends = np.flatnonzero(self.points[:n] == 10)
         starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64) if n else ends
         first = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
         text = np.searchsorted(first, starts, side="right") - 1
@@ -94,20 +112,22 @@ class Lines:
         long = ends - starts >= min_chars
         self.text, self.number = text[long], number[long]
         self.start, self.length = starts[long], (ends - starts)[long]
-        self.wide = self.points.astype(_U) + _U(1)
-        self.sums = self._sums(self.wide, tables[0])
-        parity = np.zeros(n + 1, np.uint32)
-        np.bitwise_xor.accumulate(_class_bits(self.points), out=parity[1:])
-        stop = self.start + self.length
-        sign = (parity[stop] ^ parity[self.start]).astype(_U) << _U(64 - SIGNATURE)
-        one = _mixed((self.sums[stop] - self.sums[self.start]) * self.down[self.start] + self.length.astype(_U))
-        self.name1 = sign | (one >> _U(SIGNATURE))
+        bits = lambda at: _classes()[self.points[at]]
+        if points is np.uint8:
+            classes = _byte_pairs()[2].take(self.points.view("<u2"), mode="clip")
+        else:
+            each = _classes().take(self.points, mode="clip")
+            classes = each[::2] ^ each[1::2]
+        sign = self._folded(np.bitwise_xor, classes, bits).astype(_U) << _U(64 - SIGNATURE)
+        self.name1 = sign | (self._names(0) >> _U(SIGNATURE))
 
     @functools.cached_property
     def name2(self) -> np.ndarray:
-        up, down = self.other
-        sums = self._sums(self.wide, up)
-        return _mixed((sums[self.start + self.length] - sums[self.start]) * down[self.start] + self.length.astype(_U))
+        return self._names(1)
+
+    def text_of(self, row: int) -> str:
+        points = self.points[self.start[row] : self.start[row] + self.length[row]]
+        return points.tobytes().decode(self.coding, "surrogatepass" if self.coding != "latin-1" else "strict")
 
     def grams(self, rows: np.ndarray) -> np.ndarray:
         """Of each of ``rows``, the parity of the counts of 64 classes of
@@ -118,20 +138,60 @@ class Lines:
         at = np.arange(int(n.sum())) + np.repeat(self.start[rows] - first, n)
         some = n > 0
         if some.any():
-            classes = (self.wide[at] * _U(_FACTORS[0]) + self.wide[at + 1] * _U(_FACTORS[1])) * _U(0xBF58476D1CE4E5B9) >> _U(58)
+            classes = (self._wide(at) * _U(_FACTORS[0]) + self._wide(at + 1) * _U(_FACTORS[1])) * _U(0xBF58476D1CE4E5B9) >> _U(58)
             out[some] = np.bitwise_xor.reduceat(_U(1) << classes, first[some])
         return out
 
-    @staticmethod
-    def _sums(wide: np.ndarray, up: np.ndarray) -> np.ndarray:
-        sums = np.zeros(len(wide) + 1, _U)
-        np.cumsum(wide * up[: len(wide)], out=sums[1:])
+    def _wide(self, at: np.ndarray) -> np.ndarray:
+        return self.points[at].astype(_U) + _U(1)
+
+    def _weighed(self, which: int) -> np.ndarray:
+        """Each pair's part in the sums under a factor."""
+        if self.coding == "latin-1":
+            pairs = _byte_pairs()[which].take(self.points.view("<u2"), mode="clip")
+        else:
+            pairs = self.points[1::2] + _U(1)
+            pairs *= _U(_FACTORS[which])
+            pairs += self.points[::2]
+            pairs += _U(1)
+        pairs *= self.powers[which][: len(pairs)]
+        return pairs
+
+    @functools.cached_property
+    def _pairs(self) -> np.ndarray:
+        return self._weighed(0)
+
+    def _folded(self, fold: np.ufunc, pairs: np.ndarray, single: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """``fold`` over each line."""
+        stop = self.start + self.length
+        first, last = (self.start + 1) >> 1, stop >> 1
+        out = fold.reduceat(pairs, np.stack([first, last], axis=1).ravel())[::2]
+        out[first >= last] = 0
+        for at, alone in ((self.start, self.start & 1), (stop - 1, stop & 1)):
+            some = np.flatnonzero((alone == 1) & (self.length > 0))
+            out[some] = fold(out[some], single(at[some]))
+        return out
+
+    def _names(self, which: int) -> np.ndarray:
+        odd = lambda at: np.where(at & 1, _U(_FACTORS[which]), _U(1))
+        single = lambda at: self._wide(at) * self.powers[which][at >> 1] * odd(at)
+        sums = self._folded(np.add, self._weighed(which) if which else self._pairs, single)
+        return _mixed(sums * self.powers[2 + which][self.start] + self.length.astype(_U))
+
+    @functools.cached_property
+    def _sums(self) -> np.ndarray:
+        """The sum of all points before each."""
+        sums = np.zeros(2 * len(self._pairs) + 1, _U)
+        np.cumsum(self._pairs, out=sums[2::2])
+        ahead = self.points[::2] + _U(1)
+        ahead *= self.powers[0][: len(ahead)]
+        np.add(sums[:-1:2], ahead, out=sums[1::2])
         return sums
 
-    def _keys(self, rows, at, size, length, segment) -> np.ndarray:
+    def _keys(self, at, size, length, segment) -> np.ndarray:
         """Key of the substring of ``size`` at ``at``, as segment ``segment``
         of a line of ``length``."""
-        h = (self.sums[at + size] - self.sums[at]) * self.down[at]
+        h = (self._sums[at + size] - self._sums[at]) * self.powers[2][at]
         return _mixed(_mixed(h + length.astype(_U) * _U(_FACTORS[1])) + _U(segment + 1))
 
     def index(self, rows: np.ndarray, max_edits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +199,7 @@ class Lines:
         keys, of = [], []
         for i in range(max_edits + 1):
             at, size = segment(self.length[rows], i, max_edits + 1)
-            keys.append(self._keys(rows, self.start[rows] + at, size, self.length[rows], i))
+            keys.append(self._keys(self.start[rows] + at, size, self.length[rows], i))
             of.append(rows)
         return np.concatenate(keys), np.concatenate(of)
 
@@ -161,7 +221,7 @@ class Lines:
                     place = at + shift
                     fits = (place >= 0) & (place + size <= self.length[some])
                     r = some[fits]
-                    keys.append(self._keys(r, self.start[r] + place[fits], size[fits], length[fits], i))
+                    keys.append(self._keys(self.start[r] + place[fits], size[fits], length[fits], i))
                     of.append(r)
         return np.concatenate(keys), np.concatenate(of)
 
@@ -311,10 +371,7 @@ def _texts(rows: DataFrame, bloom: np.ndarray, min_chars: int) -> DataFrame:
                 lines = Lines(texts, min_chars)
                 some = np.flatnonzero(_in_bloom(bloom, lines.name1))
                 some = some[_first_seen(lines.name1[some], seen)] if len(some) else some
-                found = [
-                    lines.points[a : a + n].tobytes().decode("utf-32-le", "surrogatepass")
-                    for a, n in zip(lines.start[some], lines.length[some], strict=True)
-                ]
+                found = [lines.text_of(row) for row in some]
                 yield pa.RecordBatch.from_arrays(
                     [_long(lines.name1[some]), _long(lines.name2[some]), pa.array(found, pa.string())],
                     ["name1", "name2", "line"],
