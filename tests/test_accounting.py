@@ -7,6 +7,7 @@ import os
 from collections import Counter
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -126,6 +127,48 @@ def test_day_filters_prune_and_days_can_end(spark, table):
     assert set(builds) == {"2", "3", "4"} and builds["3"] == builds["4"] != builds["2"]
 
 
+@pytest.fixture()
+def written(monkeypatch):
+    """Path -> plan of each frame as it is written."""
+    plans, plain = {}, DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **kwargs):
+        plans[path] = plan_text(self._df)
+        return plain(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return plans
+
+
+def test_rows_that_lie_by_day_are_written_without_a_shuffle(spark, table, written):
+    place = fresh_path(spark, "test-by-day")
+    rows = spark.range(0, 600, 1, 5).selectExpr("id", "cast(id % 4 as int) as passenger_count", "nullif(cast(id % 6 as int), 0) as pickup_day")
+    rows = rows.unionAll(rows.where("id % 10 = 1"))  # some rows twice
+    prepare.write_partitioned(rows, place)
+    written.clear()
+    stored = spark.read.parquet(place)
+    table.replace(stored.withColumn("passenger_count", F.when(F.col("pickup_day") == 2, None).otherwise(F.col("passenger_count"))), dealt=True)
+    first = table.read()
+    assert table.replace(stored.where("pickup_day = 2"), dealt=True) == 2
+    assert len(written) == 2 and not any("Exchange" in p for p in written.values())
+    assert len(set(table.builds().values())) == 2 and set(table.builds()) == {"1", "2", "3", "4", "5", "__HIVE_DEFAULT_PARTITION__"}
+    plain = lambda df: Counter(map(tuple, df.select("id", "passenger_count", "pickup_day").collect()))
+    assert plain(table.read()) == plain(rows)
+    assert plain(first) == Counter((i, None if d == 2 else c, d) for i, c, d in plain(rows).elements())
+    table.replace(rows)  # rows that lie anyhow are still dealt out by day
+    assert "REBALANCE_PARTITIONS_BY_COL" in list(written.values())[-1]
+
+
+def test_the_late_day_is_written_without_a_shuffle(spark, written):
+    prepared_trips(spark, SF_SMALL)
+    written.clear()
+    got = {r.pickup_day: r for r in registry.queries()["prepare_late_day"](spark, SF_SMALL).collect()}
+    assert len(written) == 2 and not any("Exchange" in p for p in written.values())
+    want = _days(prepared_trips(spark, SF_SMALL))
+    assert {d: (r.trips, r.passengers) for d, r in got.items()} == want
+    assert {d for d, r in got.items() if r.rewritten} == {registry.LATE_DAY}
+
+
 def test_a_lost_race_publishes_again(spark, table, monkeypatch):
     trips = prepared_trips(spark, SF_SMALL).where("pickup_day in (1, 2)")
     table.replace(trips)

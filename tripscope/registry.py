@@ -154,12 +154,13 @@ def _ingest() -> dict[str, Query]:
 
     def late_day(s, d):
         """A day that was delivered without its passenger counts is prepared
-        anew; the other days' files stay as they are."""
+        anew; the other days' files stay as they are.  The prepared trips are
+        stored by day: their files' rows are written without a shuffle."""
         trips = _t(s, d)
         table = DayTable(s, fresh_path(s, "days"))
         missing = F.when(F.col("pickup_day") == LATE_DAY, F.lit(None)).otherwise(F.col("passenger_count"))
-        table.replace(trips.withColumn("passenger_count", missing.cast("int")))
-        table.replace(trips.where(F.col("pickup_day") == LATE_DAY))
+        table.replace(trips.withColumn("passenger_count", missing.cast("int")), dealt=True)
+        table.replace(trips.where(F.col("pickup_day") == LATE_DAY), dealt=True)
         late = table.builds()[str(LATE_DAY)]
         return table.read().groupBy("pickup_day").agg(
             F.count(F.lit(1)).alias("trips"), F.sum("passenger_count").alias("passengers"),

@@ -67,16 +67,17 @@ class DayTable:
         paths = [f"{self.folder}/build={b}/{self.day}={d}" for d, b in sorted(builds.items())]
         return self.spark.read.option("basePath", self.folder).parquet(*paths).drop("build")
 
-    def replace(self, rows: DataFrame, days: Iterable | None = None) -> int:
+    def replace(self, rows: DataFrame, days: Iterable | None = None, dealt: bool = False) -> int:
         """Write ``rows`` as the whole new content of the days they belong to, or
         of ``days`` (other rows are left out; a day without rows ends).  Returns
-        the number of the published version."""
+        the number of the published version.  ``dealt``: the rows lie by day
+        already, as those of a table stored by day do; they are not shuffled."""
         build = f"b{uuid.uuid4().hex}"
         listed = None if days is None else list(days)
         if listed is not None:
             rows = rows.where(F.col(self.day).isin(listed))
         path = f"{self.folder}/build={build}"
-        write_partitioned(rows, path, [self.day])
+        write_partitioned(rows, path, [self.day], dealt=dealt)
         found = re.compile(rf"/{re.escape(self.day)}=([^/]+)/")
         written = {m[1] for f in self.spark.read.format("binaryFile").load(path).inputFiles() if (m := found.search(f))}
         gone = set() if listed is None else {_NULL_DAY if d is None else str(d) for d in listed} - written
